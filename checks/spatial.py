@@ -82,7 +82,7 @@ def geogcs_name(spark, sf_dir):
     "reproject_to_mercator",
     f"""
     select c_custkey, round({EARTH_RADIUS} * radians({X}), 3) as x,
-           round({EARTH_RADIUS} * ln(tan(pi() / 4 + radians({Y}) / 2)), 3) as y, cast(3857 as integer) as srid
+           round({EARTH_RADIUS} * ln(tan(pi() / 4 + radians({Y}) / 2)), 3) + 0.0e0 as y, cast(3857 as integer) as srid
     from customer
     """,
 )

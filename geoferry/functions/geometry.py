@@ -79,7 +79,7 @@ def to_mercator(p: Column) -> Column:
     """Degrees to Web Mercator metres. The poles have no image: their coordinates become null."""
     inside = F.abs(p["y"]) < 90
     x = F.when(inside, F.radians(p["x"]) * EARTH_RADIUS)
-    y = F.when(inside, F.log(F.tan(F.radians(p["y"]) / 2 + math.pi / 4)) * EARTH_RADIUS)
+    y = F.when(inside, F.asinh(F.tan(F.radians(p["y"]))) * EARTH_RADIUS)
     return coordinate(x, y)
 
 

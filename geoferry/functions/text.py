@@ -68,22 +68,15 @@ def normalize_tags(parent_tags: Column, layer_tags: Column) -> Column:
 
 
 # Order matters: dropped elements first, then inline marks, then blocks, then whatever tags are left.
-# Only syntax that reads the same in Java and in RE2 is used.
+# Each replacement is a pass over the text, so one pass does what it can.
 _MARKUP = [
-    (r"(?s)<!--.*?-->", ""),
-    (r"(?is)<script(\s[^>]*)?>.*?</script\s*>", ""),
-    (r"(?is)<style(\s[^>]*)?>.*?</style\s*>", ""),
+    (r"(?is)<!--.*?-->|<script(\s[^>]*)?>.*?</script\s*>|<style(\s[^>]*)?>.*?</style\s*>", ""),
     (r"(?is)<head(\s[^>]*)?>.*?</head\s*>", ""),
-    (r"[ \t\r\n\f]+", " "),
+    (r"[ \t\r\n\f]{2,}|[\t\r\n\f]", " "),
     (r"(?i)</?(b|strong)(\s[^>]*)?>", "**"),
     (r"(?i)</?(i|em)(\s[^>]*)?>", "_"),
     (r'(?is)<a\s[^>]*href\s*=\s*"([^"]*)"[^>]*>(.*?)</a\s*>', r"[$2]($1)"),
-    (r"(?i)<h1(\s[^>]*)?>", "\n\n# "),
-    (r"(?i)<h2(\s[^>]*)?>", "\n\n## "),
-    (r"(?i)<h3(\s[^>]*)?>", "\n\n### "),
-    (r"(?i)<h4(\s[^>]*)?>", "\n\n#### "),
-    (r"(?i)<h5(\s[^>]*)?>", "\n\n##### "),
-    (r"(?i)<h6(\s[^>]*)?>", "\n\n###### "),
+    (r"(?i)<h([1-6])(\s[^>]*)?>", "\n\n\u0001$1 "),
     (r"(?i)<li(\s[^>]*)?>", "\n  * "),
     (r"(?i)<br\s*/?>", "  \n"),
     (
@@ -93,6 +86,7 @@ _MARKUP = [
     ),
     (r"(?s)<[/!a-zA-Z][^>]*>", ""),
 ]
+_HEADINGS = [(f"\u0001{level} ", "#" * level + " ") for level in range(1, 7)]
 # The ampersand comes last, so that an escaped entity is decoded once.
 _ENTITIES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")]
 _SPACING = [(r"\n ([^ ])", "\n$1"), (r"\n[ \n]*\n", "\n\n")]
@@ -103,8 +97,8 @@ def html_to_markdown(html: Column) -> Column:
     text = F.coalesce(html, F.lit(""))
     for pattern, replacement in _MARKUP:
         text = F.regexp_replace(text, pattern, replacement)
-    for entity, character in _ENTITIES:
-        text = F.replace(text, F.lit(entity), F.lit(character))
+    for mark, plain in _HEADINGS + _ENTITIES:
+        text = F.replace(text, F.lit(mark), F.lit(plain))
     for pattern, replacement in _SPACING:
         text = F.regexp_replace(text, pattern, replacement)
     return F.btrim(text, F.lit(" \n"))
