@@ -196,11 +196,12 @@ def batch_export(
             with _deadline(spark, timeout_minutes) as late:
                 try:
                     sink(spread_chunks(wanted, parallelism), target, "static" if replace_all else "dynamic", attempt)
-                    replace_all = False
                 except Exception as error:
                     problem = (str(error).strip().splitlines() or [type(error).__name__])[0]
                     _logger.error("attempt %s failed: %s", attempt, problem)
             outcome = _compare(spark, pending, target, run_id)
+            # A failed attempt may have written some batches all the same.
+            replace_all = replace_all and problem is not None and outcome.where(F.col(_WRITTEN) > 0).isEmpty()
             is_there = F.col(_WRITTEN) == F.col(_EXPECTED)
             shortfall = F.concat_ws(" ", F.col(_WRITTEN), F.lit("of"), F.col(_EXPECTED), F.lit("rows written"))
             entries = batch_log_rows(
