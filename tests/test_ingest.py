@@ -1,0 +1,98 @@
+import pytest
+from pyspark.sql import functions as F
+
+import geoferry as gf
+from geoferry.functions import geometry as g
+
+LAYER = "struct<id:int,name:string,url:string,description:string,tags:array<string>>"
+ITEMS = f"id string, title string, description string, tags array<string>, layers array<{LAYER}>"
+
+
+@pytest.fixture
+def sources(spark, folder):
+    root = folder("sources")
+    spark.range(4).write.parquet(f"{root}/plain")
+    shape = g.point(F.col("id") * 100000, F.lit(0))
+    spark.range(3).select("id", g.with_srid(shape, "shape", 3857)).write.parquet(f"{root}/points")
+    spark.range(2).select("id", g.with_srid(shape, "shape", 2263)).write.parquet(f"{root}/odd")
+    return root
+
+
+def items(spark, *rows):
+    return spark.createDataFrame(list(rows), ITEMS)
+
+
+def test_folder_target(spark, sources, folder):
+    target, log_path = folder("tables"), folder("log")
+    registry = items(
+        spark,
+        ("a", "A", "<p>The <b>parent</b></p>", ["z", "y.y"], [
+            (0, "Plain", f"{sources}/plain", "<i>own</i>", ["x"]),
+            (1, "Points", f"{sources}/points", None, None),
+            (2, "Odd", f"{sources}/odd", None, None),
+            (3, "Gone", f"{sources}/gone", None, None),
+        ]),
+        ("b", "B", None, None, []),
+        ("c", "C", None, None, None),
+    )
+    result = gf.layer_ingest(registry, target, log_path=log_path, postfix="v2", load_id="run")
+    rows = {row.layer_name: row for row in result.collect()}
+    assert {name: (row.status, row.row_count) for name, row in rows.items()} == {
+        "Plain": ("Complete", 4), "Points": ("Complete", 3), "Odd": ("Failed", None), "Gone": ("Failed", None)
+    }
+    assert "2263 to 4326" in rows["Odd"].error_message and "PATH_NOT_FOUND" in rows["Gone"].error_message
+    assert rows["Plain"].tags == ["x", "y_y", "z"]
+    assert "- Description: _own_\n\n--- Parent Item Description ---\nThe **parent**\n" in rows["Plain"].description
+    assert "    - Spatial Reference WKID : 4326\n" in rows["Points"].description
+    assert "    - Geometry Column : None\n" in rows["Plain"].description
+
+    points = spark.read.parquet(f"{target}/points_v2").orderBy("id")
+    assert points.columns == ["id", "geometry_wkt"] and points.first().geometry_wkt == "POINT (0 0)"
+
+    log = {row.layer_name: row for row in gf.ingest_log(spark, log_path).collect()}
+    assert {name: row.status for name, row in log.items()} == {name: row.status for name, row in rows.items()}
+    assert {row.load_id for row in log.values()} == {"run"}
+    phases = spark.read.parquet(log_path).where("layer_name = 'Points'").orderBy("sequence").collect()
+    assert [row.status for row in phases] == ["Pending", "Read & Reprojected", "Complete"]
+
+    # A second run replaces the rows and keeps the columns of the first.
+    again = items(spark, ("a", "A", None, None, [(0, "Plain", f"{sources}/points", None, None)]))
+    gf.layer_ingest(again, target, postfix="v2", output_srid=3857)
+    table = spark.read.parquet(f"{target}/plain_v2")
+    assert table.columns == ["id", "geometry_wkt"] and table.count() == 3
+
+
+def test_catalog_target(spark, sources):
+    spark.sql("create database if not exists ingested")
+    text = "It's a \\ back-slash,\n\x07 and 'quotes'"
+    registry = items(spark, ("a", "A", None, ["t'1", "t2"], [(0, "Plain Table", f"{sources}/plain", text, None)]))
+    row = gf.layer_ingest(registry, "ingested").first()
+    assert (row.target_path, row.status) == ("ingested.plain_table", "Complete")
+    assert spark.table("ingested.plain_table").count() == 4
+    described = {
+        r.col_name: r.data_type for r in spark.sql("describe table extended ingested.plain_table").collect()
+    }
+    assert described["Comment"] == row.description and "It's a \\ back-slash, \x07 and 'quotes'" in row.description
+    properties = {r.key: r.value for r in spark.sql("show tblproperties ingested.plain_table").collect()}
+    assert properties["tags"] == "t'1,t2"
+
+
+def test_name_collisions(spark, sources, folder):
+    registry = items(
+        spark,
+        ("a", "A", None, None, [(0, "One Layer", f"{sources}/plain", None, None)]),
+        ("b", "B", None, None, [(0, "one-layer", f"{sources}/points", None, None), (1, "Two", f"{sources}/plain", None, None)]),
+    )
+    target = folder()
+    with pytest.raises(ValueError, match="one_layer"):
+        gf.layer_ingest(registry, target)
+    result = gf.layer_ingest(registry, target, on_collision="suffix").collect()
+    names = sorted(row.target_path.rsplit("/", 1)[1] for row in result)
+    assert len(set(names)) == 3 and names[2] == "two" and all(name.startswith("one_layer_") for name in names[:2])
+    assert sum(row.row_count for row in result) == 11
+
+
+def test_own_reader(spark, folder):
+    registry = items(spark, ("a", "A", None, None, [(0, "n", "https://example.org/5", None, None)]))
+    read = lambda session, url: session.range(int(url.rsplit("/", 1)[1]))
+    assert gf.layer_ingest(registry, folder(), reader=read).first().row_count == 5

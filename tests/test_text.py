@@ -1,0 +1,135 @@
+import datetime
+import hashlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from geoferry.functions import text
+
+
+def one(spark, column):
+    return spark.range(1).select(column.alias("v")).first().v
+
+
+def value(spark, *values):
+    return [F.lit(v).cast("string") for v in values]
+
+
+@pytest.mark.parametrize(
+    "parts, expected",
+    [
+        (("A - B (c)", None, None), "a_b_c"),
+        (("__x__", None, None), "x"),
+        (("a_-b", None, None), "a__b"),
+        (("name", "pre", "post"), "pre_name_post"),
+        (("name", "", ""), "name"),
+        (("Größe/é", None, None), "gr_e"),
+        (("x" * 300, None, None), "x" * 255),
+        (("---", None, None), ""),
+    ],
+)
+def test_table_names(spark, parts, expected):
+    name, prefix, postfix = value(spark, *parts)
+    assert one(spark, text.clean_table_name(name, prefix, postfix)) == expected
+
+
+@pytest.mark.parametrize(
+    "html, expected",
+    [
+        (None, ""),
+        ("", ""),
+        ("plain  text\n here", "plain text here"),
+        ('<p>a <b>bold</b> and <strong><a href="http://x/?a=1&amp;b=2">link</a></strong></p>', "a **bold** and **[link](http://x/?a=1&b=2)**"),
+        ("<ul><li>one</li><li class='c'>two</li></ul>after", "* one\n  * two\n\nafter"),
+        ('<script>var t="</p>";</script>x<style>p{}</style>', "x"),
+        ("a<!-- <p>hidden</p> -->b", "ab"),
+        ("<SCRIPT type='a'>x < y</SCRIPT ><P>A</P>", "A"),
+        ("<head><title>t</title></head><header>h</header>", "h"),
+        ("&amp;lt; &lt;b&gt; &quot;q&quot;&nbsp;&#39;", "&lt; <b> \"q\" '"),
+        ("<p>open <b>never closed", "open **never closed"),
+        ("<h1>Ü</h1><h3 id='x'>ß</h3>text", "# Ü\n\n### ß\n\ntext"),
+        ("a<br>b<br/>c", "a  \nb  \nc"),
+        ("1 < 2 > 1", "1 < 2 > 1"),
+        ("<link rel='x'><p>p</p><hr><pre>k</pre>", "p\n\nk"),
+        ("<em>e</em> <i>i</i> <img src='x'><input>", "_e_ _i_"),
+    ],
+)
+def test_markdown(spark, html, expected):
+    assert one(spark, text.html_to_markdown(F.lit(html).cast("string"))) == expected
+
+
+def test_markdown_of_a_whole_long_text(spark):
+    html = "<p>" + "word <b>b</b> " * 200_000 + "</p><p>end</p>"
+    found = one(spark, text.html_to_markdown(F.lit(html)))
+    assert found.count("**b**") == 200_000 and found.endswith("\n\nend")
+
+
+def tags(*values):
+    return list(values)
+
+
+def tag_column(values):
+    if values is None:
+        return F.lit(None).cast("array<string>")
+    return F.array(*[F.lit(v) for v in values]).cast("array<string>")
+
+
+@pytest.mark.parametrize(
+    "parent, layer, expected",
+    [
+        (tags("b", None, ""), tags("a"), ["a", "b"]),
+        (tags("a.b", "a,b", "a-b", "a=b", "a/b", "a:b"), tags("a_b"), ["a_b"]),
+        (tags("x" * 300), tags(), ["x" * 255]),
+        (tags(), tags(), []),
+        (None, tags("a"), ["a"]),
+        (tags(*[f"t{i:02}" for i in range(60)]), tags(), [f"t{i:02}" for i in range(50)]),
+    ],
+)
+def test_tags(spark, parent, layer, expected):
+    assert one(spark, text.normalize_tags(tag_column(parent), tag_column(layer))) == expected
+
+
+def test_scalar_tag(spark):
+    df = spark.createDataFrame([("a", ["b"])], "one string, many array<string>")
+    found = df.select(text.normalize_tags(text.as_tag_array(df, "many"), text.as_tag_array(df, "one")).alias("v"))
+    assert found.first().v == ["a", "b"]
+
+
+@pytest.mark.parametrize(
+    "wkt, expected",
+    [
+        ('GEOGCS["GCS_WGS_1984",DATUM["D"]]', "GCS_WGS_1984"),
+        ('PROJCS["P",GEOGCS["Base"]]', "Base"),
+        ('GEOGCS[ "x"', "x"),
+        ('LOCAL_CS["y"]', None),
+        (None, None),
+    ],
+)
+def test_geographic_name(spark, wkt, expected):
+    assert one(spark, text.geogcs_name(F.lit(wkt).cast("string"))) == expected
+
+
+def test_description(spark):
+    entries = {
+        "geometry_column": F.lit("shape"),
+        "wkid": F.lit(3857),
+        "wkt": F.lit("W"),
+        "is_projected": F.lit(True),
+        "units": F.lit("Meter"),
+        "name": F.lit(None).cast("string"),
+    }
+    found = one(spark, text.compose_description(F.lit("t"), F.lit("id1"), F.lit("own"), F.lit("parent"), entries))
+    assert found == (
+        "# Table Name : t\n- ArcGIS Online ID: `id1`\n- Description: own\n\n--- Parent Item Description ---\nparent\n"
+        "- Spatial Reference Properties:\n    - Geometry Column : shape\n    - Spatial Reference WKID : 3857\n"
+        "    - Spatial Reference WKT : W\n    - Spatial Reference is Projected : True\n"
+        "    - Spatial Reference Units : Meter\n    - Spatial Reference Name : None\n"
+    )
+
+
+def test_attempt_id_and_dates(spark):
+    moment = datetime.datetime(2024, 2, 3, 4, 5, 6, 78)
+    found = one(spark, text.attempt_id(F.lit("s.t"), F.lit(moment)))
+    assert found == hashlib.md5(b"s.t-2024-02-03 04:05:06.000078").hexdigest()
+    assert one(spark, text.epoch_millis_to_string(F.lit(1704067199999).cast("bigint"))) == "2023-12-31 23:59:59"
+    assert one(spark, text.epoch_millis_to_string(F.lit(-1).cast("bigint"))) == "1969-12-31 23:59:59"
