@@ -22,7 +22,7 @@ from geoferry.workspace import drop_staged, stage
 
 # One task may sort this many rows of one batch; a larger batch is spread.
 ROWS_PER_TASK = 5_000_000
-# Rows aimed at per range partition when a batch is spread.
+# Rows aimed at per partition.
 ROWS_PER_RANGE = 1_000_000
 # A list of at most this many short rows is broadcast; a longer one is joined by shuffle.
 BROADCAST_ROWS = 1_000_000
@@ -64,8 +64,14 @@ def _small(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
-def _number_by_window(df: DataFrame, batch: str | None, order: list[Column], chunk_rows: int, chunk: str) -> DataFrame:
+def _number_by_window(
+    df: DataFrame, batch: str | None, order: list[Column], chunk_rows: int, chunk: str, rows: int
+) -> DataFrame:
     by = [quoted(batch)] if batch else [F.lit(0)]
+    n = math.ceil(rows / ROWS_PER_RANGE)
+    if batch and n > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        # More rows than the session's partitions are meant for.
+        df = df.repartition(n, *by)
     window = Window.partitionBy(*by).orderBy(*order, F.col(_TIE))
     return df.withColumn(chunk, _chunk_number(F.row_number().over(window), chunk_rows))
 
@@ -133,7 +139,7 @@ def chunk_rows_of(
     staged = [counts_path]
 
     if sizes.spread == 0:
-        frame = _number_by_window(rows, batch, order, chunk_rows, chunk)
+        frame = _number_by_window(rows, batch, order, chunk_rows, chunk, sizes.total)
     else:
         # No more large batches than total / rows_per_task.
         if sizes.spread == sizes.total:
@@ -146,7 +152,8 @@ def chunk_rows_of(
         staged.append(path)
         if sizes.spread != sizes.total:
             small_rows = rows.join(wanted, match, "left_anti")
-            frame = frame.unionByName(_number_by_window(small_rows, batch, order, chunk_rows, chunk))
+            rest = sizes.total - sizes.spread
+            frame = frame.unionByName(_number_by_window(small_rows, batch, order, chunk_rows, chunk, rest))
     return Chunked(frame.select(*[quoted(name) for name in [*df.columns, chunk]]), counts, sizes.total, staged)
 
 

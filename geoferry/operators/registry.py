@@ -13,23 +13,24 @@ from pyspark.sql import functions as F
 
 from geoferry.fixed_values import NEW_SERVICE_TAGS, NO_SUBLAYER_ID, SERVICE_TYPE
 from geoferry.functions.text import quoted
+from geoferry.operators.joins import join_to_grouped, key_names
 
 
 def find_service(services: DataFrame, names: DataFrame, owner: str | None = None) -> DataFrame:
     """Look each row of ``names`` up by exact title in its column ``name``; adds ``found, url, id``.
 
-    Only feature services count, of one owner if given; of several, the one with the smallest id. The
-    registry is reduced to one row per title before it is joined, so a title that fills it is no burden.
+    Only feature services count, of one owner if given; of several, the one with the smallest id.
     """
     candidates = services.where(F.col("type") == SERVICE_TYPE)
     if owner:
         candidates = candidates.where(F.col("owner") == owner)
-    first = candidates.groupBy(F.col("title").alias("__title")).agg(
+    (title,) = key_names(["name"])
+    first = candidates.groupBy(F.col("title").alias(title)).agg(
         F.min("id").alias("__id"), F.min_by("url", "id").alias("__url")
     )
-    return names.join(first, F.col("name") == F.col("__title"), "left").select(
+    return join_to_grouped(names, first, ["name"], "left").select(
         *[quoted(column) for column in names.columns],
-        F.col("__title").isNotNull().alias("found"),
+        F.col(title).isNotNull().alias("found"),
         F.col("__url").alias("url"),
         F.col("__id").alias("id"),
     )

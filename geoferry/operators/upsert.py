@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from geoferry.functions.text import quoted
+from geoferry.operators.joins import join_to_grouped, key_names
 
 
 def _all(conditions: list[Column]) -> Column:
@@ -25,36 +26,28 @@ def upsert(
     keys) and keeps the rest. Source rows whose key is not in the target are added. Null keys match
     nothing. Two source rows for one target row raise when the result is computed.
 
-    The source is reduced to one row per key before it is joined, and both joins keep one side whole, so
-    a hot key on either side can be split and a small source is broadcast by Spark itself.
+    Both joins are to a side reduced to one row per key, and split a hot key of the other side.
     """
     others = [name for name in target.columns if name not in keys]
     updated = set(others if update_columns is None else update_columns)
+    as_keys = [quoted(key).alias(name) for key, name in zip(keys, key_names(keys))]
 
-    known = source.where(_all([quoted(k).isNotNull() for k in keys]))
-    per_key = known.groupBy(*[quoted(k) for k in keys]).agg(
+    known = source.where(_all([quoted(key).isNotNull() for key in keys]))
+    news = known.groupBy(*as_keys).agg(
         F.count(F.lit(1)).alias("__n"), F.any_value(F.struct(*[quoted(c) for c in others])).alias("__new")
     )
-    per_key = per_key.select(*[quoted(k).alias(f"__key{i}") for i, k in enumerate(keys)], "__n", "__new")
-    matched = _all([quoted(k) == F.col(f"__key{i}") for i, k in enumerate(keys)])
     one_each = F.when(F.coalesce(F.col("__n"), F.lit(1)) == 1, True).otherwise(
         F.raise_error("two or more source rows match one target row").cast("boolean")
     )
-    in_place = (
-        target.join(per_key, matched, "left")
-        .where(one_each)
-        .select(
-            *[
-                F.when(F.col("__n").isNotNull(), F.col("__new")[c]).otherwise(quoted(c)).alias(c)
-                if c in updated
-                else quoted(c)
-                for c in target.columns
-            ]
-        )
-    )
 
-    target_keys = target.select(*[quoted(k).alias(f"__key{i}") for i, k in enumerate(keys)])
-    added = source.select(*[quoted(c) for c in target.columns]).join(target_keys, matched, "left_anti")
+    def value(column: str) -> Column:
+        if column not in updated:
+            return quoted(column)
+        return F.when(F.col("__n").isNotNull(), F.col("__new")[column]).otherwise(quoted(column)).alias(column)
+
+    in_place = join_to_grouped(target, news, keys, "left").where(one_each).select(*[value(c) for c in target.columns])
+    rows = source.select(*[quoted(c) for c in target.columns])
+    added = join_to_grouped(rows, target.select(*as_keys).distinct(), keys, "left_anti")
     return in_place.unionByName(added)
 
 

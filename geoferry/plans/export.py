@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import contextlib
 import logging
+import re
 import threading
 import time
 import uuid
@@ -31,8 +32,8 @@ from geoferry.operators.registry import find_service
 from geoferry.operators.upsert import current_state
 from geoferry.sources.chunked import BATCH_KEY, CHUNK, check_names, spread_chunks
 from geoferry.sources.layers import layer_read
-from geoferry.sources.tables import append, existing_schema
-from geoferry.workspace import drop_staged, new_folder, stage
+from geoferry.sources.tables import append
+from geoferry.workspace import drop_staged, folder_exists, new_folder, stage
 
 _logger = logging.getLogger(__name__)
 
@@ -54,22 +55,16 @@ def _runs(target: str) -> str:
     return f"{target.rstrip('/')}/_runs"
 
 
-def _read_layout(spark: SparkSession, target: str, schema: T.StructType) -> DataFrame:
-    layout = T.StructType(
-        [
-            *schema.fields,
-            T.StructField(RUN_ID, T.StringType()),
-            T.StructField(BATCH_KEY, T.StringType()),
-            T.StructField(CHUNK, T.IntegerType()),
-        ]
-    )
-    return spark.read.schema(layout).parquet(target)
+def _layout(schema: T.StructType) -> T.StructType:
+    keys = [(RUN_ID, T.StringType()), (BATCH_KEY, T.StringType()), (CHUNK, T.IntegerType())]
+    return T.StructType([*schema.fields, *[T.StructField(name, kind) for name, kind in keys]])
 
 
 def read_export(spark: SparkSession, target: str, schema: T.StructType) -> DataFrame:
     """The rows of all complete runs, with their ``run_id``, ``batch_key`` and ``chunk``."""
     complete = spark.read.schema(f"{RUN_ID} string, rows bigint").parquet(_runs(target)).select(RUN_ID).distinct()
-    return _read_layout(spark, target, schema).join(complete, RUN_ID, "left_semi")
+    rows = spark.read.schema(_layout(schema)).parquet(target)
+    return rows.join(complete, RUN_ID, "left_semi").select(*rows.columns)
 
 
 def batch_log(spark: SparkSession, log_path: str) -> DataFrame:
@@ -107,9 +102,11 @@ def _compare(spark: SparkSession, expected: DataFrame, target: str, run_id: str)
 
     The target's rows are counted from folder names and file footers.
     """
-    if existing_schema(spark, target) is None:
+    folder = f"{target.rstrip('/')}/{RUN_ID}={run_id}"
+    if not folder_exists(spark, folder):
         return expected.withColumn(_WRITTEN, F.lit(0).cast("bigint"))
-    found = _read_layout(spark, target, T.StructType([])).where(F.col(RUN_ID) == run_id)
+    # Only this run's folders are listed.
+    found = spark.read.schema(_layout(T.StructType([]))).option("basePath", target).parquet(folder)
     counts = found.groupBy(BATCH_KEY).agg(F.count(F.lit(1)).alias(_WRITTEN))
     return expected.join(counts, BATCH_KEY, "left").fillna(0, [_WRITTEN])
 
@@ -138,6 +135,8 @@ def batch_export(
 ) -> bool:
     """Publish the frame to a folder, batch by batch; True once every batch is there.
 
+    The timeout is per batch: an attempt has that long for each of the batches it writes.
+
     ``overwrite`` leaves exactly the frame in the target, ``append`` adds it. Each attempt is one job over
     the batches still missing. Afterwards a batch is a success if the target holds as many of its rows as
     the input; each gets a log row. An attempt that fails or runs past the timeout is logged for the
@@ -159,6 +158,8 @@ def batch_export(
     if fields is not None:
         df = conform_schema(df, fields)
     check_names(df, _LAYOUT)
+    if run_id is not None and not re.fullmatch(r"[A-Za-z0-9_.\-]{1,100}", run_id):
+        raise ValueError("a run id is made of at most 100 letters, digits, dots, dashes and underscores")
     resumed, run_id = run_id is not None, run_id or uuid.uuid4().hex
     private_log = None if log_path else new_folder(spark, "batch-log")
     log_path = log_path or private_log
@@ -188,12 +189,13 @@ def batch_export(
         for attempt in range(1, max_attempts + 1):
             if attempt > 1:
                 pending = pending_batches(expected, log_of_run(), batch, service)
-            if pending.isEmpty():
+            n_pending = pending.count()
+            if n_pending == 0:
                 break
             if attempt > 1 or resumed:
                 wanted = rows.join(pending.select(BATCH_KEY), BATCH_KEY, "left_semi").select(*rows.columns)
             problem = None
-            with _deadline(spark, timeout_minutes) as late:
+            with _deadline(spark, timeout_minutes and timeout_minutes * n_pending) as late:
                 try:
                     sink(spread_chunks(wanted, parallelism), target, "static" if replace_all else "dynamic", attempt)
                 except Exception as error:

@@ -115,3 +115,12 @@ def test_partition_keys_differ(spark):
     df = spark.createDataFrame([(value,) for value in values], "b string")
     keys = [row.key for row in df.select(partition_key(F.col("b")).alias("key")).collect()]
     assert len(set(keys)) == len(values) and max(map(len, keys)) <= 102
+
+
+def test_partitions_follow_the_rows(tables, monkeypatch):
+    monkeypatch.setattr(chunks, "ROWS_PER_RANGE", 3000)
+    lineitem = tables("lineitem").select(*ORDER)
+    df = assign_chunks(lineitem, 500, "l_suppkey", ORDER)
+    plan = plan_of(df)
+    assert "hashpartitioning(l_suppkey" in plan and ", 20), REPARTITION_BY_NUM" in plan and plan.count("Exchange") == 1
+    assert df.groupBy("l_suppkey", "chunk").count().agg(F.max("count")).first()[0] <= 500

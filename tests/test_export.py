@@ -133,7 +133,7 @@ def test_timeout_is_logged(spark, rows, folder):
             spark.range(10**13).select(F.sum(F.hash("id"))).write.format("noop").mode("overwrite").save()
         write_partitions(frame, path, overwrite, attempt)
 
-    assert export(rows, target, sink=sink, timeout_minutes=0.05, max_attempts=1, log_path=log_path) is False
+    assert export(rows, target, sink=sink, timeout_minutes=0.01, max_attempts=1, log_path=log_path) is False
     assert {row.status for row in log_of(spark, log_path).values()} == {"Timeout"}
     assert export(rows, target, timeout_minutes=5)
 
