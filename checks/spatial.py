@@ -114,6 +114,44 @@ def reproject_same_srid(spark, sf_dir):
     return _coordinates(gf.reproject(layer, 4326), 8)
 
 
+_ULON, _ULAT = "(cast((c_custkey * 7919) % 600 as double) / 100)", "(cast((c_custkey * 104729) % 8400 as double) / 100)"
+_F = 1 / 298.257223563
+
+
+@check(
+    "reproject_to_utm",
+    f"""
+    with constants as (
+        select {_F} / (2 - {_F}) as n
+    ), more as (
+        select n, 2 * sqrt(n) / (1 + n) as c, 0.9996e0 * {EARTH_RADIUS} / (1 + n) * (1 + n * n / 4 + pow(n, 4) / 64) as r,
+               n / 2 - 2 * n * n / 3 + 5 * pow(n, 3) / 16 as a1, 13 * n * n / 48 - 3 * pow(n, 3) / 5 as a2,
+               61 * pow(n, 3) / 240 as a3
+        from constants
+    ), placed as (
+        select c_custkey, radians({_ULON} - 3) as dl, sin(radians({_ULAT})) as s from customer
+    ), conformal as (
+        select c_custkey, dl, sinh(atanh(s) - c * atanh(c * s)) as t, r, a1, a2, a3 from placed cross join more
+    ), sphere as (
+        select *, atan(t / cos(dl)) as xi, atanh(sin(dl) / sqrt(1 + t * t)) as eta from conformal
+    )
+    select c_custkey,
+           round(500000 + r * (eta + a1 * cos(2 * xi) * sinh(2 * eta) + a2 * cos(4 * xi) * sinh(4 * eta)
+                 + a3 * cos(6 * xi) * sinh(6 * eta)), 3) as x,
+           round(r * (xi + a1 * sin(2 * xi) * cosh(2 * eta) + a2 * sin(4 * xi) * cosh(4 * eta)
+                 + a3 * sin(6 * xi) * cosh(6 * eta)), 3) as y,
+           cast(32631 as integer) as srid
+    from sphere
+    """,
+)
+def reproject_to_utm(spark, sf_dir):
+    """Into the UTM zone around 3 degrees east, from points inside it."""
+    x = ((F.col("c_custkey") * 7919) % 600).cast("double") / 100
+    y = ((F.col("c_custkey") * 104729) % 8400).cast("double") / 100
+    layer = table(spark, sf_dir, "customer").withColumn("shape", g.with_srid(g.point(x, y), "shape", 4326))
+    return _coordinates(gf.reproject(layer, 32631), 3)
+
+
 _X, _X1 = number_sql(X), number_sql(f"{X} + 1")
 _Y, _Y1 = number_sql(Y), number_sql(f"{Y} + 1")
 

@@ -88,8 +88,16 @@ SPATIAL_REFERENCE_LABELS = {
     "name": "Spatial Reference Name",
 }
 
-# --- Fixed values: the sphere of Web Mercator and the spatial references known here ---
+# --- Fixed values: the ellipsoid, the projections and the spatial references known here ---
 EARTH_RADIUS = 6378137.0
+FLATTENING = 1 / 298.257223563
+WGS84_SRID = 4326
+MERCATOR_SRIDS = [3857, 102100]
+UTM_NORTH = 32600
+UTM_SOUTH = 32700
+UTM_SCALE = 0.9996
+UTM_EASTING = 500000.0
+UTM_SOUTHERN_NORTHING = 10000000.0
 WGS84_WKT = (
     'GEOGCS["GCS_WGS_1984",DATUM["D_WGS_1984",SPHEROID["WGS_1984",6378137.0,298.257223563]],'
     'PRIMEM["Greenwich",0.0],UNIT["Degree",0.0174532925199433]]'
@@ -100,9 +108,23 @@ MERCATOR_WKT = (
     'PARAMETER["False_Northing",0.0],PARAMETER["Central_Meridian",0.0],'
     'PARAMETER["Standard_Parallel_1",0.0],PARAMETER["Auxiliary_Sphere_Type",0.0],UNIT["Meter",1.0]]'
 )
+
+
+def utm_wkt(zone: int, south: bool) -> str:
+    northing = UTM_SOUTHERN_NORTHING if south else 0.0
+    return (
+        f'PROJCS["WGS_1984_UTM_Zone_{zone}{"S" if south else "N"}",{WGS84_WKT},PROJECTION["Transverse_Mercator"],'
+        f'PARAMETER["False_Easting",{UTM_EASTING}],PARAMETER["False_Northing",{northing}],'
+        f'PARAMETER["Central_Meridian",{zone * 6 - 183}.0],PARAMETER["Scale_Factor",{UTM_SCALE}],'
+        'PARAMETER["Latitude_Of_Origin",0.0],UNIT["Meter",1.0]]'
+    )
+
+
 SPATIAL_REFERENCES = [
     # srid, wkt, is_projected, unit
     (4326, WGS84_WKT, False, "Degree"),
     (3857, MERCATOR_WKT, True, "Meter"),
     (102100, MERCATOR_WKT, True, "Meter"),
+    *[(UTM_NORTH + zone, utm_wkt(zone, False), True, "Meter") for zone in range(1, 61)],
+    *[(UTM_SOUTH + zone, utm_wkt(zone, True), True, "Meter") for zone in range(1, 61)],
 ]

@@ -17,15 +17,13 @@ attaches it again.
 
 from __future__ import annotations
 
-import math
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from geoferry.fixed_values import EARTH_RADIUS
-
 POINT_TYPE = "struct<x:double,y:double>"
 GEOMETRY_TYPE = f"struct<gtype:string,parts:array<array<array<{POINT_TYPE}>>>>"
 SRID = "srid"
@@ -66,28 +64,15 @@ def polygon(*corners: tuple[Column, Column]) -> Column:
     return of_kind("Polygon", F.array(F.array(F.array(*[coordinate(x, y) for x, y in corners]))))
 
 
-def map_points(geometry: Column, change: Callable[[Column], Column]) -> Column:
-    """The geometry with every point changed; null stays null."""
-    parts = F.transform(
-        geometry["parts"], lambda part: F.transform(part, lambda ring: F.transform(ring, lambda p: change(p)))
-    )
-    changed = F.struct(geometry["gtype"].alias("gtype"), parts.alias("parts"))
-    return F.when(geometry.isNotNull(), changed).cast(GEOMETRY_TYPE)
-
-
-def to_mercator(p: Column) -> Column:
-    """Degrees to Web Mercator metres. The poles have no image: their coordinates become null."""
-    inside = F.abs(p["y"]) < 90
-    x = F.when(inside, F.radians(p["x"]) * EARTH_RADIUS)
-    y = F.when(inside, F.asinh(F.tan(F.radians(p["y"]))) * EARTH_RADIUS)
-    return coordinate(x, y)
+def map_points(geometry: Column, steps: Sequence[Callable[[Column], Column]]) -> Column:
+    """The geometry with every point taken through the steps, the last of which gives a point; null stays null."""
 
+    def change(ring: Column) -> Column:
+        return reduce(F.transform, steps, ring)
 
-def to_degrees(p: Column) -> Column:
-    """Web Mercator metres to degrees."""
-    x = F.degrees(p["x"] / EARTH_RADIUS)
-    y = F.degrees(F.atan(F.exp(p["y"] / EARTH_RADIUS)) * 2 - math.pi / 2)
-    return coordinate(x, y)
+    parts = F.transform(geometry["parts"], lambda part: F.transform(part, change))
+    changed = F.struct(geometry["gtype"].alias("gtype"), parts.alias("parts"))
+    return F.when(geometry.isNotNull(), changed).cast(GEOMETRY_TYPE)
 
 
 def _number(value: Column, decimals: int) -> Column:

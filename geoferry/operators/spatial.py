@@ -7,11 +7,9 @@ from pyspark.sql import functions as F
 
 from geoferry.fixed_values import SPATIAL_REFERENCES, WKT_COLUMN
 from geoferry.functions import geometry as g
+from geoferry.functions.projections import steps_between
 from geoferry.functions.text import geogcs_name, quoted
 
-_DEGREES = {4326}
-_MERCATOR = {3857, 102100}
-
 
 def spatial_references(spark: SparkSession) -> DataFrame:
     """The known spatial references: ``srid, wkt, is_projected, unit``."""
@@ -30,7 +28,7 @@ def layer_geometry(spark: SparkSession, layers: dict[str, DataFrame]) -> DataFra
 def spatial_reference_info(layers: DataFrame, references: DataFrame | None = None) -> DataFrame:
     """Spatial reference of each row of ``layer, geometry_column, wkid``; nulls where there is no geometry.
 
-    The built-in table of references has a handful of rows and is broadcast; a caller's own is not.
+    The built-in table of references has little more than a hundred rows and is broadcast; a caller's own is not.
     """
     known = F.broadcast(spatial_references(layers.sparkSession)) if references is None else references
     return (
@@ -54,8 +52,9 @@ def _named_geometry(df: DataFrame, geometry: str | None):
 def reproject(df: DataFrame, out_srid: int = 3857, geometry: str | None = None) -> DataFrame:
     """The frame with its geometry column in another spatial reference.
 
-    Unchanged without a geometry column, or when it already is in that reference. Degrees (4326) and Web
-    Mercator (3857, also known as 102100) are supported; any other pair raises ``ValueError``.
+    Unchanged without a geometry column, or when it already is in that reference. Degrees (4326), Web
+    Mercator (3857, also known as 102100) and the UTM zones (32601-32660 and 32701-32760) are supported;
+    any other reference raises ``ValueError``. A point that has no image gets null coordinates.
     """
     field = _named_geometry(df, geometry)
     if field is None:
@@ -63,13 +62,10 @@ def reproject(df: DataFrame, out_srid: int = 3857, geometry: str | None = None)
     srid = g.srid_of(field)
     if srid == out_srid:
         return df
-    column = quoted(field.name)
-    if srid in _DEGREES and out_srid in _MERCATOR:
-        column = g.map_points(column, g.to_mercator)
-    elif srid in _MERCATOR and out_srid in _DEGREES:
-        column = g.map_points(column, g.to_degrees)
-    elif not (srid in _MERCATOR and out_srid in _MERCATOR):
+    steps = steps_between(srid, out_srid)
+    if steps is None:
         raise ValueError(f"cannot reproject {field.name} from {srid} to {out_srid}")
+    column = g.map_points(quoted(field.name), steps) if steps else quoted(field.name)
     changed = g.with_srid(column, field.name, out_srid)
     return df.select(*[changed if name == field.name else quoted(name) for name in df.columns])
 

@@ -87,6 +87,44 @@ def test_known_coordinates(spark):
     assert text[4].geometry_wkt == "POINT EMPTY"
 
 
+UTM = [
+    # srid, longitude, latitude, easting, northing
+    (32618, -75.0, 40.0, 500000.0, 4427757.219),
+    (32631, 3.0, 0.0, 500000.0, 0.0),
+    (32631, 0.0, 0.0, 166021.443, 0.0),
+]
+
+
+def test_known_utm_coordinates(spark):
+    for srid, lon, lat, easting, northing in UTM:
+        (found,) = points(reproject(layer(spark, [("Point", [[[(lon, lat)]]])]), srid))
+        assert found == pytest.approx((easting, northing), abs=0.001)
+    # South of the equator northings count down from ten million.
+    north = points(reproject(layer(spark, [("Point", [[[(153.0, 30.0)]]])]), 32656))[0]
+    south = points(reproject(layer(spark, [("Point", [[[(153.0, -30.0)]]])]), 32756))[0]
+    assert south == pytest.approx((north[0], 10_000_000 - north[1]), abs=1e-6)
+
+
+@pytest.mark.parametrize("srid", [3857, 102100, 32601, 32631, 32733])
+def test_there_and_back(spark, srid):
+    middle = 15 if srid == 32733 else -177 if srid == 32601 else 3
+    shapes = [("Point", [[[(middle + dx / 2, float(lat))]]]) for dx in range(-7, 8) for lat in range(-80, 85, 4)]
+    df = layer(spark, shapes)
+    back = points(reproject(reproject(df, srid), 4326))
+    assert max(math.dist(p, q) for p, q in zip(points(df), back, strict=True)) < 1e-7
+
+
+def test_between_projections(spark):
+    df = layer(spark, [("Point", [[[(4.25, 51.5)]]])])
+    direct = points(reproject(df, 32631))[0]
+    assert points(reproject(reproject(df, 3857), 32631))[0] == pytest.approx(direct, abs=1e-4)
+
+
+def test_points_without_image(spark):
+    shapes = [("Point", [[[(x, y)]]]) for x, y in ((3.0, 90.0), (153.0, 0.0), (93.1, 10.0))]
+    assert points(reproject(layer(spark, shapes), 32631)) == [(None, None)] * 3
+
+
 def test_same_reference_and_alias(spark):
     df = layer(spark, [KINDS[0][:2]])
     assert reproject(df, 4326) is df
