@@ -82,10 +82,10 @@ def _number_by_range(
     by = [quoted(batch)] if batch else []
     keys = [*by, *order, F.col(_TIE)]
     n = max(1, math.ceil(rows / ROWS_PER_RANGE))
-    # The position in a sorted partition splits even a large group of copies over several ranges.
-    # Sorting first makes it the same in a task that runs again, so no copy is lost or counted twice.
+    # The position in an input partition splits even a large group of copies over several ranges. Sorting
+    # by the hash first makes it the same in a task that runs again, so no copy is lost or counted twice.
     spread = (
-        df.sortWithinPartitions(*keys)
+        df.sortWithinPartitions(_TIE)
         .withColumn(_SEQ, F.monotonically_increasing_id())
         .repartitionByRange(n, *keys, F.col(_SEQ))
         .sortWithinPartitions(*keys, F.col(_SEQ))
