@@ -14,7 +14,7 @@ from checks.registry import (
     number_sql,
     table,
 )
-from geoferry.fixed_values import EARTH_RADIUS, MERCATOR_WKT, WGS84_WKT
+from geoferry.fixed_values import EARTH_RADIUS, MERCATOR_WKT, WGS84_WKT, utm_wkt
 from geoferry.functions import geometry as g
 from geoferry.functions.text import geogcs_name as geogcs_name_of
 from geoferry.workspace import new_folder
@@ -42,9 +42,12 @@ def _coordinates(df, decimals):
     "spatial_reference_info",
     f"""
     with layers as (
-        select n_name as layer, case n_nationkey % 3 when 0 then 4326 when 1 then 3857 end as srid from nation
+        select 'part_' || p_partkey as layer,
+               case p_partkey % 4 when 0 then 4326 when 1 then 3857 when 2 then 32631 end as srid
+        from part
     ), refs as (
-        select * from (values (4326, '{WGS84_WKT}', false, 'Degree'), (3857, '{MERCATOR_WKT}', true, 'Meter'))
+        select * from (values (4326, '{WGS84_WKT}', false, 'Degree'), (3857, '{MERCATOR_WKT}', true, 'Meter'),
+                              (32631, '{utm_wkt(31, False)}', true, 'Meter'))
             as t(wkid, wkt, is_projected, units)
     )
     select layer, case when srid is not null then 'shape' end as geometry_column, cast(srid as integer) as wkid,
@@ -53,10 +56,10 @@ def _coordinates(df, decimals):
     """,
 )
 def spatial_reference_info(spark, sf_dir):
-    layers = table(spark, sf_dir, "nation").select(
-        F.col("n_name").alias("layer"),
-        F.when(F.col("n_nationkey") % 3 < 2, "shape").alias("geometry_column"),
-        F.expr("case n_nationkey % 3 when 0 then 4326 when 1 then 3857 end").alias("wkid"),
+    layers = table(spark, sf_dir, "part").select(
+        F.concat(F.lit("part_"), F.col("p_partkey").cast("string")).alias("layer"),
+        F.when(F.col("p_partkey") % 4 < 3, "shape").alias("geometry_column"),
+        F.expr("case p_partkey % 4 when 0 then 4326 when 1 then 3857 when 2 then 32631 end").alias("wkid"),
     )
     return gf.spatial_reference_info(layers)
 
@@ -64,18 +67,18 @@ def spatial_reference_info(spark, sf_dir):
 @check(
     "geogcs_name",
     """
-    select n_nationkey, case n_nationkey % 3 when 0 then 'GCS_' || n_name when 2 then 'GCS ' || n_name end as name
-    from nation
+    select c_custkey, case c_custkey % 3 when 0 then 'GCS_' || c_name when 2 then 'GCS ' || c_name end as name
+    from customer
     """,
 )
 def geogcs_name(spark, sf_dir):
     wkt = F.expr(
-        """case n_nationkey % 3
-           when 0 then 'PROJCS["P_' || n_name || '",GEOGCS["GCS_' || n_name || '",DATUM["D"]]]'
-           when 1 then 'LOCAL_CS["' || n_name || '"]'
-           else 'GEOGCS[ "GCS ' || n_name || '",DATUM["D"]]' end"""
+        """case c_custkey % 3
+           when 0 then 'PROJCS["P_' || c_name || '",GEOGCS["GCS_' || c_name || '",DATUM["D"]]]'
+           when 1 then 'LOCAL_CS["' || c_name || '"]'
+           else 'GEOGCS[ "GCS ' || c_name || '",DATUM["D"]]' end"""
     )
-    return table(spark, sf_dir, "nation").select("n_nationkey", geogcs_name_of(wkt).alias("name"))
+    return table(spark, sf_dir, "customer").select("c_custkey", geogcs_name_of(wkt).alias("name"))
 
 
 @check(

@@ -85,28 +85,28 @@ def html_to_markdown(spark, sf_dir):
 @check(
     "compose_description",
     f"""
-    select n_nationkey,
-           '# Table Name : ' || lower(n_name) || chr(10)
-           || '- ArcGIS Online ID: `' || n_nationkey || '`' || chr(10)
-           || '- Description: ' || case when n_nationkey % 2 = 0 then n_name else '' end
-           || case when r_name <> 'ASIA' then
-                chr(10) || chr(10) || '--- Parent Item Description ---' || chr(10) || r_name else '' end || chr(10)
+    select c_custkey,
+           '# Table Name : ' || lower(c_name) || chr(10)
+           || '- ArcGIS Online ID: `' || c_custkey || '`' || chr(10)
+           || '- Description: ' || case when c_custkey % 2 = 0 then c_mktsegment else '' end
+           || case when n_name <> 'NATION_3' then
+                chr(10) || chr(10) || '--- Parent Item Description ---' || chr(10) || n_name else '' end || chr(10)
            || '- Spatial Reference Properties:' || chr(10)
-           || '    - Geometry Column : ' || case when n_nationkey % 3 = 0 then 'shape' else 'None' end || chr(10)
-           || '    - Spatial Reference WKID : ' || case when n_nationkey % 3 = 0 then '4326' else 'None' end || chr(10)
-           || '    - Spatial Reference WKT : ' || case when n_nationkey % 3 = 0 then '{WGS84_WKT}' else 'None' end
+           || '    - Geometry Column : ' || case when c_custkey % 3 = 0 then 'shape' else 'None' end || chr(10)
+           || '    - Spatial Reference WKID : ' || case when c_custkey % 3 = 0 then '4326' else 'None' end || chr(10)
+           || '    - Spatial Reference WKT : ' || case when c_custkey % 3 = 0 then '{WGS84_WKT}' else 'None' end
            || chr(10)
-           || '    - Spatial Reference is Projected : ' || case when n_nationkey % 3 = 0 then 'False' else 'None' end
+           || '    - Spatial Reference is Projected : ' || case when c_custkey % 3 = 0 then 'False' else 'None' end
            || chr(10)
-           || '    - Spatial Reference Units : ' || case when n_nationkey % 3 = 0 then 'Degree' else 'None' end || chr(10)
-           || '    - Spatial Reference Name : ' || case when n_nationkey % 3 = 0 then 'GCS_WGS_1984' else 'None' end
+           || '    - Spatial Reference Units : ' || case when c_custkey % 3 = 0 then 'Degree' else 'None' end || chr(10)
+           || '    - Spatial Reference Name : ' || case when c_custkey % 3 = 0 then 'GCS_WGS_1984' else 'None' end
            || chr(10) as description
-    from nation join region on n_regionkey = r_regionkey
+    from customer join nation on c_nationkey = n_nationkey
     """,
 )
 def compose_description(spark, sf_dir):
-    nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
-    placed = F.col("n_nationkey") % 3 == 0
+    customer, nation = table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation")
+    placed = F.col("c_custkey") % 3 == 0
     entries = {
         "geometry_column": F.when(placed, "shape"),
         "wkid": F.when(placed, 4326),
@@ -116,14 +116,14 @@ def compose_description(spark, sf_dir):
         "name": F.when(placed, text.geogcs_name(F.lit(WGS84_WKT))),
     }
     description = text.compose_description(
-        F.lower("n_name"),
-        F.col("n_nationkey").cast("string"),
-        F.when(F.col("n_nationkey") % 2 == 0, F.col("n_name")),
-        F.when(F.col("r_name") != "ASIA", F.col("r_name")).otherwise(" "),
+        F.lower("c_name"),
+        F.col("c_custkey").cast("string"),
+        F.when(F.col("c_custkey") % 2 == 0, F.col("c_mktsegment")),
+        F.when(F.col("n_name") != "NATION_3", F.col("n_name")).otherwise(" "),
         entries,
     )
-    return nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
-        "n_nationkey", description.alias("description")
+    return customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
+        "c_custkey", description.alias("description")
     )
 
 

@@ -77,7 +77,8 @@ def map_points(geometry: Column, steps: Sequence[Callable[[Column], Column]]) ->
 
 def _number(value: Column, decimals: int) -> Column:
     text = value.cast(T.DecimalType(38, decimals)).cast("string")
-    return F.regexp_replace(text, r"\.?0+$", "") if decimals else text
+    # With decimals there always is a point, so only zeros after it are cut.
+    return F.rtrim(F.rtrim(text, F.lit("0")), F.lit(".")) if decimals else text
 
 
 def as_wkt(geometry: Column, decimals: int = 9) -> Column:
@@ -88,25 +89,28 @@ def as_wkt(geometry: Column, decimals: int = 9) -> Column:
         pairs = F.transform(placed, lambda p: F.concat(_number(p["x"], decimals), F.lit(" "), _number(p["y"], decimals)))
         return F.array_join(pairs, ", ")
 
-    # Per part, the text of each non-empty ring; then only the parts that still have one.
-    rings = F.transform(
-        geometry["parts"],
-        lambda part: F.filter(F.transform(part, coordinates), lambda text: text != ""),
-    )
-    parts = F.filter(rings, lambda part: F.size(part) > 0)
-
     def bracket(text: Column) -> Column:
         return F.concat(F.lit("("), text, F.lit(")"))
 
-    each_ring = F.array_join(F.transform(F.flatten(parts), bracket), ", ")
-    each_part = F.array_join(F.transform(parts, lambda part: bracket(F.array_join(F.transform(part, bracket), ", "))), ", ")
     kind = geometry["gtype"]
-    body = (
-        F.when(kind.isin("Point", "LineString"), each_ring)
-        .when(kind.isin("Polygon", "MultiPoint", "MultiLineString"), bracket(each_ring))
-        .when(kind == "MultiPolygon", bracket(each_part))
-        .otherwise(F.raise_error(F.concat(F.lit("unknown geometry kind: "), F.coalesce(kind, F.lit("null")))))
+
+    def body(parts: Column) -> Column:
+        rings = F.array_join(F.transform(F.flatten(parts), bracket), ", ")
+        nested = F.transform(parts, lambda part: bracket(F.array_join(F.transform(part, bracket), ", ")))
+        return (
+            F.when(F.size(parts) == 0, "EMPTY")
+            .when(kind.isin("LineString", "Point"), rings)
+            .when(kind.isin("Polygon", "MultiPoint", "MultiLineString"), bracket(rings))
+            .when(kind == "MultiPolygon", bracket(F.array_join(nested, ", ")))
+            .otherwise(F.raise_error(F.concat(F.lit("unknown geometry kind: "), kind)))
+        )
+
+    # Per part, the text of each non-empty ring; then only the parts that still have one.
+    rings = F.transform(
+        geometry["parts"],
+        lambda part: F.filter(F.transform(part, coordinates), lambda text: text != ""),
     )
-    left = F.size(parts) > 0
-    text = F.concat(F.upper(kind), F.lit(" "), F.when(left, body).otherwise("EMPTY"))
-    return F.when(geometry.isNotNull() & kind.isNotNull(), text)
+    filled = F.filter(rings, lambda part: F.size(part) > 0)
+    # As the one element of an array, the texts are worked out once and then used several times.
+    text = F.transform(F.array(filled), body)[0]
+    return F.when(kind.isNotNull(), F.concat(F.upper(kind), F.lit(" "), text))
