@@ -9,8 +9,9 @@ partition the rows its batch has in earlier partitions. Both give the same numbe
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -34,15 +35,23 @@ _TIE, _SEQ, _POS, _PART = "__tie", "__seq", "__pos", "__part"
 class Chunked:
     """A frame with chunk numbers, the rows per batch, and the staged tables both may read."""
 
-    frame: DataFrame
+    number: Callable[[DataFrame | None], DataFrame]
     counts: DataFrame
     total_rows: int
     staged: list[str] = field(default_factory=list)
 
+    @property
+    def frame(self) -> DataFrame:
+        return self.number(None)
+
+    def only(self, batches: DataFrame) -> DataFrame:
+        """The rows of some batches, with the same numbers; the others are dropped before any numbering."""
+        return self.number(batches)
+
     def release(self) -> None:
         """Remove the staged tables, once the frame is written elsewhere."""
         for path in self.staged:
-            drop_staged(self.frame.sparkSession, path)
+            drop_staged(self.counts.sparkSession, path)
         self.staged = []
 
 
@@ -137,24 +146,32 @@ def chunk_rows_of(
     ).first()
     rows = df.withColumn(_TIE, _tie_break(df))
     staged = [counts_path]
-
-    if sizes.spread == 0:
-        frame = _number_by_window(rows, batch, order, chunk_rows, chunk, sizes.total)
-    else:
+    rest = sizes.total - sizes.spread
+    small_rows, large_rows = (rows, None) if sizes.spread == 0 else (None, rows)
+    if sizes.spread and rest:
         # No more large batches than total / rows_per_task.
-        if sizes.spread == sizes.total:
-            large_rows = rows
-        else:
-            wanted = _small(large.select(quoted(batch).alias("__large")), sizes.n_large)
-            match = quoted(batch).eqNullSafe(F.col("__large"))
-            large_rows = rows.join(wanted, match, "left_semi")
-        frame, path = _number_by_range(large_rows, batch, order, chunk_rows, chunk, sizes.spread, sizes.n_large)
+        wanted = _small(large.select(quoted(batch).alias("__large")), sizes.n_large)
+        match = quoted(batch).eqNullSafe(F.col("__large"))
+        small_rows, large_rows = rows.join(wanted, match, "left_anti"), rows.join(wanted, match, "left_semi")
+    if large_rows is not None:
+        spread, path = _number_by_range(large_rows, batch, order, chunk_rows, chunk, sizes.spread, sizes.n_large)
         staged.append(path)
-        if sizes.spread != sizes.total:
-            small_rows = rows.join(wanted, match, "left_anti")
-            rest = sizes.total - sizes.spread
-            frame = frame.unionByName(_number_by_window(small_rows, batch, order, chunk_rows, chunk, rest))
-    return Chunked(frame.select(*[quoted(name) for name in [*df.columns, chunk]]), counts, sizes.total, staged)
+
+    def kept(part: DataFrame, batches: DataFrame | None) -> DataFrame:
+        if batches is None:
+            return part
+        named = batches.select(quoted(batch).alias("__kept"))
+        return part.join(named, quoted(batch).eqNullSafe(F.col("__kept")), "left_semi")
+
+    def number(batches: DataFrame | None) -> DataFrame:
+        parts = []
+        if small_rows is not None:
+            parts.append(_number_by_window(kept(small_rows, batches), batch, order, chunk_rows, chunk, rest))
+        if large_rows is not None:
+            parts.append(kept(spread, batches))
+        return reduce(DataFrame.unionByName, parts).select(*[quoted(name) for name in [*df.columns, chunk]])
+
+    return Chunked(number, counts, sizes.total, staged)
 
 
 def assign_chunks(

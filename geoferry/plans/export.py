@@ -171,14 +171,16 @@ def batch_export(
         log = layer_read(spark, log_path)
         return log.where(F.col(_SEQUENCE) >= started)
 
+    def placed(rows: DataFrame) -> DataFrame:
+        return rows.withColumns({RUN_ID: F.lit(run_id), BATCH_KEY: partition_key(quoted(batch))})
+
     chunked = chunk_rows_of(df, chunk_rows, batch, order_by, CHUNK, rows_per_task)
     try:
         if chunked.total_rows == 0:
             return True
-        rows = chunked.frame.withColumns({RUN_ID: F.lit(run_id), BATCH_KEY: partition_key(quoted(batch))})
         key, size = partition_key(quoted(batch)).alias(BATCH_KEY), F.col("n_rows").alias(_EXPECTED)
         expected = chunked.counts.select(quoted(batch), key, size)
-        pending, wanted = expected, rows
+        pending, wanted = expected, placed(chunked.frame)
         if resumed:
             found, found_path = stage(_compare(spark, expected, target, run_id), "found")
             chunked.staged.append(found_path)
@@ -193,7 +195,7 @@ def batch_export(
             if n_pending == 0:
                 break
             if attempt > 1 or resumed:
-                wanted = rows.join(pending.select(BATCH_KEY), BATCH_KEY, "left_semi").select(*rows.columns)
+                wanted = placed(chunked.only(pending))
             problem = None
             with _deadline(spark, timeout_minutes and timeout_minutes * n_pending) as late:
                 try:

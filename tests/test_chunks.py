@@ -57,6 +57,18 @@ def test_null_and_empty_batches_are_batches(spark, small_ranges, rows_per_task):
     assert found == {(b, c): n for b in (None, "", "01001", "a/b=c") for c, n in ((1, 4), (2, 4), (3, 2))}
 
 
+@pytest.mark.parametrize("rows_per_task", [0, 12, 1_000_000])
+def test_some_batches_keep_their_numbers(spark, small_ranges, rows_per_task):
+    df = spark.range(60).select("id", F.expr("case when id < 10 then null when id < 30 then 'a' else 'b' end").alias("b"))
+    chunked = chunks.chunk_rows_of(df, 4, "b", ["id"], rows_per_task=rows_per_task)
+    wanted = spark.createDataFrame([(None,), ("a",)], "b string")
+    some, every = chunked.only(wanted), chunked.frame
+    assert some.count() == 30 and some.exceptAll(every.where("b is null or b = 'a'")).isEmpty()
+    if rows_per_task == 1_000_000:
+        plan = plan_of(some)
+        assert plan.index("Window") < plan.index("LeftSemi")
+
+
 @pytest.mark.parametrize("n_rows, expected", [(1, [1]), (5, [5]), (6, [5, 1]), (10, [5, 5]), (0, [])])
 @pytest.mark.parametrize("rows_per_task", [0, 100])
 def test_sizes_at_the_edges(spark, n_rows, expected, rows_per_task):

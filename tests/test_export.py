@@ -94,6 +94,20 @@ def test_a_retry_writes_only_what_is_missing(spark, rows, folder, monkeypatch, w
     assert history[2].message == "Batch Complete"
 
 
+def test_a_retry_numbers_only_what_is_missing(spark, rows, folder):
+    plans = []
+    lossy = failing(1, ["null"])
+
+    def sink(frame, *rest):
+        plans.append(plan_of(frame))
+        lossy(frame, *rest)
+
+    assert export(rows, folder(), sink=sink)
+    first, second = plans
+    assert "LeftSemi" not in first
+    assert second.index("Window") < second.index("LeftSemi")
+
+
 def test_giving_up(spark, rows, folder):
     target, log_path = folder(), folder("log")
     started = time.time()
