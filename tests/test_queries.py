@@ -4,10 +4,9 @@ import pytest
 
 import __spark_entry__ as entry
 from checks.compare import database, difference
+from checks.registry import ORACLES, QUERIES
 from conftest import SF_DIR
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
-
 
 @pytest.fixture(scope="module")
 def connection():
@@ -16,6 +15,7 @@ def connection():
 
 def test_each_query_has_sql():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("key", sorted(QUERIES))
