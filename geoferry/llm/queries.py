@@ -32,16 +32,16 @@ def register(key: str, sql: str | None = None):
     items as (
       select item_id, regexp_extract_all({LOWER_SQL.format("coalesce(text, '')")}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') w from benchmark),
     windows as (
-      select distinct item_id, array_to_string(w[at : at + 9], ' ') win, least(len(w), 10) n
-      from (select item_id, w, unnest(range(1, greatest(1, len(w) - 9) + 1)) at from items where len(w) > 0)),
+      select distinct item_id, array_to_string(w[p0 : p0 + 9], ' ') win, least(len(w), 10) n
+      from (select item_id, w, unnest(range(1, greatest(1, len(w) - 9) + 1)) p0 from items where len(w) > 0)),
     sizes as (select distinct n from windows),
     places as (
-      select doc_id, at, n, array_to_string(w[at : at + n - 1], ' ') win
-      from (select doc_id, w, n, unnest(range(1, len(w) - n + 2)) at from words, sizes where len(w) >= n)),
-    found as (select p.doc_id, p.at, p.n, i.item_id from places p join windows i on p.win = i.win and p.n = i.n),
+      select doc_id, p0, n, array_to_string(w[p0 : p0 + n - 1], ' ') win
+      from (select doc_id, w, n, unnest(range(1, len(w) - n + 2)) p0 from words, sizes where len(w) >= n)),
+    found as (select p.doc_id, p.p0, p.n, i.item_id from places p join windows i on p.win = i.win and p.n = i.n),
     hits as (
       select doc_id, count(distinct place) n_hit
-      from (select doc_id, unnest(range(at, at + n)) place from found) group by doc_id),
+      from (select doc_id, unnest(range(p0, p0 + n)) place from found) group by doc_id),
     named as (
       select doc_id, count(*) n_items, string_agg(item, ',' order by item) ids
       from (select distinct doc_id, cast(item_id as varchar) item from found) group by doc_id)
@@ -57,7 +57,7 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     "op2_line_dedup",
     f"""
     with lines as (
-      select doc_id, unnest(ls) line, unnest(range(len(ls))) at
+      select doc_id, unnest(ls) line, unnest(range(len(ls))) p0
       from (select doc_id, string_split(coalesce(text, ''), chr(10)) ls from documents)),
     keyed as (select *, {LOWER_SQL.format("trim(line, " + SPACES_SQL + ")")} k from lines),
     shared as (
@@ -66,7 +66,7 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged as (
       select l.*, s.k is not null and l.doc_id is distinct from s.keeper dropped from keyed l left join shared s on l.k = s.k)
     select doc_id, count(*) n_lines, cast(sum(cast(dropped as int)) as bigint) n_dropped,
-           sha256(coalesce(string_agg(line, chr(10) order by at) filter (not dropped), '')) kept_sha256
+           sha256(coalesce(string_agg(line, chr(10) order by p0) filter (not dropped), '')) kept_sha256
     from judged group by doc_id""",
 )
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,18 +77,18 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     "op5_quality_rules",
     f"""
     with texts as (
-      select doc_id, t, list_filter(regexp_split_to_array(t, '[\\x20\\x09-\\x0D]+'), x -> x <> '') w,
-             list_filter(string_split(t, chr(10)), x -> trim(x, {SPACES_SQL}) <> '') ls
+      select doc_id, t, list_filter(regexp_split_to_array(t, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') w,
+             list_filter(string_split(t, chr(10)), lambda x: trim(x, {SPACES_SQL}) <> '') ls
       from (select doc_id, coalesce(text, '') t from documents)),
     windows as (
-      select doc_id, at, array_to_string(w[at : at + 2], ' ') win
-      from (select doc_id, w, unnest(range(1, len(w) - 1)) at from texts where len(w) >= 3)),
+      select doc_id, p0, array_to_string(w[p0 : p0 + 2], ' ') win
+      from (select doc_id, w, unnest(range(1, len(w) - 1)) p0 from texts where len(w) >= 3)),
     repeated as (
-      select doc_id, at from windows qualify count(*) over (partition by doc_id, win) > 1),
+      select doc_id, p0 from windows qualify count(*) over (partition by doc_id, win) > 1),
     covered as (
-      select doc_id, count(distinct place) n from (select doc_id, unnest(range(at, at + 3)) place from repeated) group by doc_id),
+      select doc_id, count(distinct place) n from (select doc_id, unnest(range(p0, p0 + 3)) place from repeated) group by doc_id),
     counted as (
-      select doc_id, cast(len(w) as bigint) n_words, cast(coalesce(list_sum(list_transform(w, x -> length(x))), 0) as bigint) word_chars,
+      select doc_id, cast(len(w) as bigint) n_words, cast(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) as bigint) word_chars,
              cast(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) as bigint) n_symbols,
              cast(length(regexp_replace(t, '[^!?]', '', 'g')) as bigint) n_marks,
              cast(len(ls) - len(list_distinct(ls)) as bigint) n_dup_lines, cast(len(ls) as bigint) n_lines,
