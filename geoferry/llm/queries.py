@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from geoferry.llm import decontamination, line_dedup, near_dedup, pieces, quality_rules
+from geoferry.llm import decontamination, html_text, line_dedup, near_dedup, pieces, quality_rules, toxicity
 from geoferry.llm.common import Query, table
 
 QUERIES: dict[str, Query] = {}
@@ -114,3 +114,13 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op8_near_dedup")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.with_components(table(spark, sf_dir, "documents"))
+
+
+@register("op7_toxicity")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register("op10_html_extraction")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.main_texts(table(spark, sf_dir, "pages"))

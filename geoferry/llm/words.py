@@ -49,6 +49,13 @@ class WordHasher:
         np.cumsum(self.of_letter[data] * self.powers[: len(data)], out=total[1:])
         return first, last, (total[last] - total[first]) * self.inverses[first]
 
+    def beginnings(self, data: np.ndarray, first: np.ndarray, size: int) -> np.ndarray:
+        """Hashes of the first ``size`` bytes of words, which must be that long."""
+        total = np.zeros(len(first), np.uint64)
+        for place in range(size):
+            total += self.of_letter[data[first + place]] * self.powers[place]
+        return total
+
     def slices(self, data: np.ndarray, breaks: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """The same for long data, slice by slice, so that memory doesn't grow with the longest text."""
         at = 0
