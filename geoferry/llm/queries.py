@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from geoferry.llm import decontamination, html_text, line_dedup, near_dedup, pieces, quality_rules, toxicity
+from geoferry.llm import decontamination, html_text, line_dedup, near_dedup, passages, personal_data, pieces, quality_rules, secret_scan, toxicity
 from geoferry.llm.common import Query, table
 
 QUERIES: dict[str, Query] = {}
@@ -124,3 +124,18 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op10_html_extraction")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.main_texts(table(spark, sf_dir, "pages"))
+
+
+@register("op3_personal_data")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data.personal_data_report(table(spark, sf_dir, "documents"))
+
+
+@register("op4_secret_scan")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.secrets(table(spark, sf_dir, "documents"), path="source")
+
+
+@register("op9_passages")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.repeated_passages(table(spark, sf_dir, "documents"))
