@@ -10,7 +10,7 @@ often as the sets are similar. Steps, each a written table in the shared folder:
    confirmed on the full sets; links are joined to components.
 4. In the buckets that still hold more than one component, all members of different components are compared, in blocks
    of bounded size: a bucket of n members is dealt to n/BLOCK block pairs, so no task sees it whole, and only pairs that
-   could reach the threshold leave a block. They are confirmed as before.
+   could reach the threshold by a finer signature leave a block. They are confirmed as before.
 
 So copies are not expanded into pairs, members of one component are not compared again, and no bucket is capped.
 
@@ -40,11 +40,13 @@ REGISTERS, ROWS = 128, 4
 BASE, RATE, LARGEST = 1.001, 20.0, (1 << 16) - 1
 #: Standard deviations below the threshold at which an estimate is still confirmed on the sets.
 SLACK = 4.5
-#: Members of a block of a bucket.
-BLOCK = 256
+#: Members of a block of a bucket, and bytes of the finer signature that a block compares.
+BLOCK, FINE = 1024, 1024
 
 _SEEDS = np.random.default_rng(8).integers(1, 1 << 63, (REGISTERS, 1), dtype=np.uint64) | np.uint64(1)
 _PLACES = np.random.default_rng(9).integers(1, 1 << 63, SHINGLE, dtype=np.uint64) | np.uint64(1)
+_FINE_SEEDS = np.random.default_rng(11).integers(1, 1 << 63, (FINE, 1), dtype=np.uint64) | np.uint64(1)
+_FINE_LEAST = PERCENT / 100 - SLACK * np.sqrt(PERCENT / 100 * (1 - PERCENT / 100) / FINE)
 _LEAST = PERCENT / 100 - SLACK * np.sqrt(PERCENT / 100 * (1 - PERCENT / 100) / REGISTERS)
 
 
@@ -81,6 +83,15 @@ def registers_of(hashes: np.ndarray) -> np.ndarray:
     return np.clip(value + LARGEST // 2, 0, LARGEST).astype("<u2")
 
 
+def fine_signature(hashes: np.ndarray) -> np.ndarray:
+    """A byte of the extreme element for each of more functions: equal in two sets as often as the sets are similar,
+    and once in 256 by chance."""
+    top = np.zeros(FINE, np.uint64)
+    for at in range(0, len(hashes), 256):
+        np.maximum(top, (hashes[at : at + 256] * _FINE_SEEDS).max(axis=1), out=top)
+    return (mixed(top) & np.uint64(0xFF)).astype(np.uint8)
+
+
 def estimated(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
     """Maximum likelihood of the similarity, from how many registers are larger, smaller and equal; rows are pairs."""
     more, less = (a > b).sum(axis=1)[:, None], (a < b).sum(axis=1)[:, None]
@@ -188,17 +199,15 @@ def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def star_pairs(dealt: DataFrame) -> DataFrame:
-    """Everyone in a bucket with one of it: the least id after mixing with the bucket's key, as a group's buckets
-    should not all agree on one."""
+    """Everyone in a bucket with the least of it. A group's buckets mostly agree on it, so its pairs are few."""
     leaders = (
-        dealt.groupBy("bucket").agg(F.min(F.col("cid").bitwiseXOR(F.col("bucket"))).alias("least"), F.max(F.col("cid").bitwiseXOR(F.col("bucket"))).alias("most"))
-        .where("least != most")
-        .select("bucket", F.col("least").bitwiseXOR(F.col("bucket")).alias("leader"))
+        dealt.groupBy("bucket").agg(F.min("cid").alias("leader"), F.max("cid").alias("most"))
+        .where("leader != most").select("bucket", "leader")
     )
     return (
         shuffled_join(dealt, leaders, ["bucket"])
         .where("cid != leader")
-        .select(F.least("cid", "leader").alias("a"), F.greatest("cid", "leader").alias("b"))
+        .select(F.col("leader").alias("a"), F.col("cid").alias("b"))
         .distinct()
     )
 
@@ -226,8 +235,8 @@ def components(links: DataFrame, start: DataFrame | None = None) -> DataFrame:
             return labels
 
 
-def cross_pairs(dealt: DataFrame, classes: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs of different components in one bucket whose registers allow a link, each from their first common band."""
+def cross_pairs(dealt: DataFrame, classes: DataFrame, labels: DataFrame, docs: DataFrame) -> DataFrame:
+    """Pairs of different components in one bucket whose signatures allow a link, each from their first common band."""
     known = shuffled_join(classes.select("cid", "n_shingles", "registers"), labels, ["cid"], "left")
     marked = staged(known.withColumn("component", F.coalesce("component", "cid")), "marked")
     members = shuffled_join(dealt, marked.select("cid", "component"), ["cid"])
@@ -236,11 +245,21 @@ def cross_pairs(dealt: DataFrame, classes: DataFrame, labels: DataFrame) -> Data
         .where("low != high").select("bucket", F.ceil(F.col("size") / BLOCK).alias("n_blocks"))
     )
     some = staged(shuffled_join(dealt, mixed_buckets, ["bucket"]), "open-buckets")
+    texts = shuffled_join(docs, some.select(F.col("cid").alias("doc_id")).distinct(), ["doc_id"], "left_semi")
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [fine_signature(x).tobytes() for x in shingle_sets(batch.column(1))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["cid", "fine"])
+
+    signed = staged(texts.select("doc_id", "text").mapInArrow(sign, "cid long, fine binary"), "signed")
+    marked = staged(shuffled_join(marked, signed, ["cid"]), "marked")
     mine = F.pmod(F.xxhash64("cid"), F.col("n_blocks"))
     spread = some.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_blocks") - 1)))
     rows = shuffled_join(spread, marked, ["cid"]).select(
-        "bucket", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "cid", "component", "n_shingles", "registers"
-    )
+        "bucket", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"),
+        "mine", "cid", "component", "n_shingles", "registers", "fine",
+    )
     grouped = rows.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -248,6 +267,7 @@ def cross_pairs(dealt: DataFrame, classes: DataFrame, labels: DataFrame) -> Data
             i, j = group.column("i")[0].as_py(), group.column("j")[0].as_py()
             mine, ids, components_, sizes = (group.column(name).to_numpy() for name in ("mine", "cid", "component", "n_shingles"))
             registers = _matrix(group.column("registers").combine_chunks())
+            fine = np.frombuffer(b"".join(group.column("fine").to_pylist()), np.uint8).reshape(-1, FINE)
             bucket = np.int64(group.column("bucket")[0].as_py())
             keys = mixed(np.ascontiguousarray(registers).view("<u8") ^ salts[None, :]).view(np.int64)
             band = int(np.argmax(keys[0] == bucket))
@@ -256,9 +276,11 @@ def cross_pairs(dealt: DataFrame, classes: DataFrame, labels: DataFrame) -> Data
                 others = others[~(keys[others, :band] == keys[row, :band]).any(axis=1)]
                 if not len(others):
                     continue
-                fine = others[could_link(np.broadcast_to(registers[row], (len(others), REGISTERS)), registers[others], np.full(len(others), sizes[row]), sizes[others])]
-                if len(fine):
-                    a, b = np.minimum(ids[row], ids[fine]), np.maximum(ids[row], ids[fine])
+                near = others[could_link(np.broadcast_to(registers[row], (len(others), REGISTERS)), registers[others], np.full(len(others), sizes[row]), sizes[others])]
+                equal = (fine[near] == fine[row]).sum(axis=1) / FINE
+                near = near[(equal - 1 / 256) / (1 - 1 / 256) >= _FINE_LEAST]
+                if len(near):
+                    a, b = np.minimum(ids[row], ids[near]), np.maximum(ids[row], ids[near])
                     yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
     salts = np.random.default_rng(10).integers(1, 1 << 63, REGISTERS // ROWS, dtype=np.uint64)
@@ -301,7 +323,7 @@ def with_components(docs: DataFrame) -> DataFrame:
     first = staged(likely(star_pairs(dealt), classes), "pairs")
     links = staged(confirmed(first, sure), "links")
     labels = components(links)
-    second = staged(cross_pairs(dealt, classes, labels), "pairs")
+    second = staged(cross_pairs(dealt, classes, labels, sure), "pairs")
     labels = components(confirmed(second, sure), labels)
     named = shuffled_join(classes.select("s0", "s1", "cid"), labels, ["cid"], "left")
     named = staged(named.select("s0", "s1", F.coalesce("component", "cid").alias("component_id")), "named")
