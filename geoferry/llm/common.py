@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geoferry.workspace import stage
+from geoferry.workspace import drop_staged, stage
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,6 +26,22 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return stage(df, f"llm-{name}")[0]
 
 
+class Scratch:
+    """Written tables that are removed once what was made of them is written."""
+
+    def __init__(self) -> None:
+        self.paths: list[str] = []
+
+    def stage(self, df: DataFrame, name: str) -> DataFrame:
+        table, path = stage(df, f"llm-{name}")
+        self.paths.append(path)
+        return table
+
+    def drop(self, spark: SparkSession) -> None:
+        while self.paths:
+            drop_staged(spark, self.paths.pop())
+
+
 def texts_of(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Only the key and the text, null as empty; other columns can't clash with what the operators add."""
     return docs.select(F.col(f"`{key}`").alias(key), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias(text))
