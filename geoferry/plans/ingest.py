@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from typing import Any
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 from geoferry.fixed_values import COMPLETE, FAILED, PENDING, READ
@@ -25,6 +25,8 @@ from geoferry.workspace import drop_staged, stage
 _logger = logging.getLogger(__name__)
 
 _SEQUENCE = "sequence"
+#: The longest name of a table, as cleaned names have it.
+NAME_LENGTH = 255
 _OUTCOME = "target_path string, status string, error_message string, geometry_column string, wkid int, row_count bigint"
 
 Reader = Callable[[SparkSession, str], DataFrame]
@@ -60,21 +62,32 @@ def plan_layers(items: DataFrame, target: str, prefix: str | None = None, postfi
 
 def _check_names(layers: DataFrame, on_collision: str) -> DataFrame:
     """Two layers must not share a table: raise, or tell them apart by a hash of where they come from."""
+    nameless = layers.where(F.coalesce("table_name", F.lit("")) == "").first()
+    if nameless:  # its table would be the target itself
+        raise ValueError(f"no table name is left of layer {nameless.layer_name!r} of item {nameless.item_id}")
     shared = layers.groupBy("target_path").count().where(F.col("count") > 1).select("target_path")
-    if on_collision == "raise":
-        clash = shared.first()
-        if clash:
-            raise ValueError(f"several layers would be written to {clash.target_path}")
+    clash = shared.first()
+    if not clash:
         return layers
-    mark = F.concat(F.lit("_"), F.substring(F.md5(F.concat_ws("|", "item_id", "sublayer_id", "layer_url")), 1, 8))
-    tagged = layers.join(shared.withColumn("__shared", F.lit(True)), "target_path", "left")
-    apart = F.when(F.col("__shared"), mark).otherwise("")
-    return tagged.withColumns(
+    if on_collision == "raise":
+        raise ValueError(f"several layers would be written to {clash.target_path}")
+    source = ["item_id", "sublayer_id", "layer_url"]
+    same = F.row_number().over(Window.partitionBy("target_path", *source).orderBy("layer_name"))
+    mark = F.concat(F.lit("_"), F.substring(F.md5(F.concat_ws("|", *source, same.cast("string"))), 1, 8))
+    tagged = layers.join(shared.withColumn("__shared", F.lit(True)), "target_path", "left").withColumn("__mark", mark)
+    name = F.concat(F.substring("table_name", 1, NAME_LENGTH - 9), "__mark")
+    folder = F.left("target_path", F.char_length("target_path") - F.char_length("table_name"))
+    apart = tagged.withColumns(
         {
-            "table_name": F.concat("table_name", apart),
-            "target_path": F.concat("target_path", apart),
+            "table_name": F.when(F.col("__shared"), name).otherwise(F.col("table_name")),
+            "target_path": F.when(F.col("__shared"), F.concat(folder, name)).otherwise(F.col("target_path")),
         }
     ).select(*layers.columns)
+    apart, _ = stage(apart, "layer-names")
+    left = apart.groupBy("target_path").count().where(F.col("count") > 1).first()
+    if left:
+        raise ValueError(f"several layers would still be written to {left.target_path}")
+    return apart
 
 
 def _sql_text(text: str) -> str:

@@ -96,3 +96,21 @@ def test_own_reader(spark, folder):
     registry = items(spark, ("a", "A", None, None, [(0, "n", "https://example.org/5", None, None)]))
     read = lambda session, url: session.range(int(url.rsplit("/", 1)[1]))
     assert gf.layer_ingest(registry, folder(), reader=read).first().row_count == 5
+
+
+def test_no_layer_can_take_the_place_of_the_target(spark, sources, folder):
+    target = folder("tables")
+    spark.range(7).write.parquet(f"{target}/older")
+    for name in ("道路", "---"):
+        registry = items(spark, ("a", "A", None, None, [(0, "Plain", f"{sources}/plain", None, None), (1, name, f"{sources}/points", None, None)]))
+        with pytest.raises(ValueError, match="no table name"):
+            gf.layer_ingest(registry, target, on_collision="suffix")
+    assert spark.read.parquet(f"{target}/older").count() == 7
+
+
+def test_equal_layers_and_long_names_get_tables_of_their_own(spark, sources, folder):
+    one = ("a", "A", None, None, [(0, "n" * 300, f"{sources}/plain", None, None), (1, "n" * 300, f"{sources}/points", None, None)])
+    rows = gf.layer_ingest(items(spark, one, one), folder("tables"), on_collision="suffix").collect()
+    paths = {row.target_path for row in rows}
+    assert len(rows) == len(paths) == 4 and all(len(path.rsplit("/", 1)[1]) <= 255 for path in paths)
+    assert sorted(row.row_count for row in rows) == [3, 3, 4, 4]
