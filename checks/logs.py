@@ -8,10 +8,11 @@ import geoferry as gf
 from checks.registry import check, table
 
 
-def _customers_of(spark, sf_dir, status):
+def _customers_of(spark, sf_dir, is_open):
+    """Customers of the open orders, or of all others."""
     return (
         table(spark, sf_dir, "orders")
-        .where(F.col("o_orderstatus") == status)
+        .where(F.col("o_orderstatus").eqNullSafe("O") == is_open)
         .groupBy("o_custkey")
         .agg(
             F.max("o_orderkey").alias("last_order"),
@@ -25,7 +26,7 @@ _CUSTOMERS_SQL = """
     with f as (
         select o_custkey, max(o_orderkey) as last_order, count(*) as n_orders,
                nullif(min(o_orderpriority), '1-URGENT') as priority
-        from orders where o_orderstatus = 'F' group by o_custkey
+        from orders where o_orderstatus is distinct from 'O' group by o_custkey
     ), o as (
         select o_custkey, max(o_orderkey) as last_order, count(*) as n_orders,
                nullif(min(o_orderpriority), '1-URGENT') as priority
@@ -41,14 +42,14 @@ _CUSTOMERS_SQL = """
 
 @check("upsert_attempt_log", _CUSTOMERS_SQL)
 def upsert_attempt_log(spark, sf_dir):
-    return gf.upsert(_customers_of(spark, sf_dir, "F"), _customers_of(spark, sf_dir, "O"), ["o_custkey"])
+    return gf.upsert(_customers_of(spark, sf_dir, False), _customers_of(spark, sf_dir, True), ["o_custkey"])
 
 
 @check("attempt_log_state", _CUSTOMERS_SQL)
 def attempt_log_state(spark, sf_dir):
     """The same result, as the state of a log that only grows."""
-    log = _customers_of(spark, sf_dir, "F").withColumn("seq", F.lit(1)).unionByName(
-        _customers_of(spark, sf_dir, "O").withColumn("seq", F.lit(2))
+    log = _customers_of(spark, sf_dir, False).withColumn("seq", F.lit(1)).unionByName(
+        _customers_of(spark, sf_dir, True).withColumn("seq", F.lit(2))
     )
     return gf.current_state(log, ["o_custkey"], "seq")
 

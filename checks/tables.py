@@ -44,12 +44,12 @@ def table_overwrite_merge_schema(spark, sf_dir):
     return spark.read.parquet(target)
 
 
-@check("table_append", "select * from orders where o_orderstatus in ('F', 'O')")
+@check("table_append", "select * from orders")
 def table_append(spark, sf_dir):
     target = new_folder(spark, "orders")
     orders = table(spark, sf_dir, "orders")
     gf.append(orders.where(F.col("o_orderstatus") == "F"), target)
-    gf.append(orders.where(F.col("o_orderstatus") == "O"), target)
+    gf.append(orders.where(F.col("o_orderstatus").isNull() | (F.col("o_orderstatus") != "F")), target)
     return spark.read.parquet(target)
 
 

@@ -40,8 +40,14 @@ def partition_key(batch: Column) -> Column:
     )
 
 
-def pending_batches(keys: DataFrame, log: DataFrame, batch: str, service: str) -> DataFrame:
-    """The batches of ``keys`` that the log does not show as a success for the service."""
+def pending_batches(
+    keys: DataFrame, log: DataFrame, batch: str, service: str, run_id: str | None = None
+) -> DataFrame:
+    """The batches of ``keys`` that the log does not show as a success for the service.
+
+    With a ``run_id`` only that run's entries count: what another run of the service wrote is not this one's.
+    """
+    log = log if run_id is None else log.where(F.col("run_id") == run_id)
     done = (
         log.where((F.col("status") == "Success") & (F.col("target_svc_name") == service))
         .select(F.col("batch").alias("__done"))

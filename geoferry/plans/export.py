@@ -24,7 +24,7 @@ from geoferry.fixed_values import (
     TIMEOUT_MINUTES,
 )
 from geoferry.functions.text import quoted
-from geoferry.operators.batches import partition_key, pending_batches
+from geoferry.operators.batches import partition_key
 from geoferry.operators.chunks import ROWS_PER_TASK, chunk_rows_of
 from geoferry.operators.conform import conform_schema
 from geoferry.operators.logs import batch_log_rows
@@ -33,7 +33,7 @@ from geoferry.operators.upsert import current_state
 from geoferry.sources.chunked import BATCH_KEY, CHUNK, check_names, spread_chunks
 from geoferry.sources.layers import layer_read
 from geoferry.sources.tables import append
-from geoferry.workspace import drop_staged, folder_exists, new_folder, stage
+from geoferry.workspace import drop_staged, folder_exists, stage
 
 _logger = logging.getLogger(__name__)
 
@@ -41,7 +41,10 @@ RUN_ID = "run_id"
 _SEQUENCE, _EXPECTED, _WRITTEN = "sequence", "expected_rows", "written_rows"
 _LAYOUT = [RUN_ID, BATCH_KEY, CHUNK]
 
-# Takes the rows of an attempt, the target folder, "static" or "dynamic", and the attempt's number.
+_RUN_ENTRY = f"{RUN_ID} string, rows bigint, is_complete boolean"
+
+# Takes the rows of an attempt, the target folder, the kind of overwrite (always "dynamic": only the
+# partitions it holds) and the attempt's number.
 Sink = Callable[[DataFrame, str, str, int], None]
 
 
@@ -60,17 +63,43 @@ def _layout(schema: T.StructType) -> T.StructType:
     return T.StructType([*schema.fields, *[T.StructField(name, kind) for name, kind in keys]])
 
 
+def _run_states(spark: SparkSession, target: str) -> DataFrame:
+    """Each run entered so far, and whether it counts; one that a later overwrite struck out does not."""
+    if not folder_exists(spark, _runs(target)):
+        return spark.createDataFrame([], f"{RUN_ID} string, is_complete boolean")
+    entries = spark.read.schema(_RUN_ENTRY).parquet(_runs(target))
+    counts = F.bool_and(F.coalesce(F.col("is_complete"), F.lit(True))).alias("is_complete")
+    return entries.groupBy(RUN_ID).agg(counts)
+
+
+def _publish(spark: SparkSession, target: str, run_id: str, rows: int, replaces: bool) -> None:
+    """Enter the run as complete. One that overwrites strikes out the earlier runs in the same one-file entry.
+
+    The folders of those are removed last, so that whatever breaks off before leaves the old rows readable.
+    """
+    earlier = []
+    if replaces:
+        others = (F.col(RUN_ID) != run_id) & F.col("is_complete")
+        earlier = [row[RUN_ID] for row in _run_states(spark, target).where(others).toLocalIterator()]
+    entries = [(run_id, rows, True), *[(old, 0, False) for old in earlier]]
+    append(spark.createDataFrame(entries, _RUN_ENTRY).coalesce(1), _runs(target))
+    for old in earlier:
+        drop_staged(spark, f"{target.rstrip('/')}/{RUN_ID}={old}")
+
+
 def read_export(spark: SparkSession, target: str, schema: T.StructType) -> DataFrame:
     """The rows of all complete runs, with their ``run_id``, ``batch_key`` and ``chunk``."""
-    complete = spark.read.schema(f"{RUN_ID} string, rows bigint").parquet(_runs(target)).select(RUN_ID).distinct()
-    rows = spark.read.schema(_layout(schema)).parquet(target)
+    complete = _run_states(spark, target).where("is_complete").select(RUN_ID)
+    # By name, so that other files in the target are left out.
+    folders = f"{target.rstrip('/')}/{RUN_ID}=*"
+    rows = spark.read.schema(_layout(schema)).option("basePath", target).parquet(folders)
     return rows.join(complete, RUN_ID, "left_semi").select(*rows.columns)
 
 
 def batch_log(spark: SparkSession, log_path: str) -> DataFrame:
     """Current state of a batch log: one row per batch and service. A null batch is one batch."""
     log = layer_read(spark, log_path)
-    return current_state(log, BATCH_LOG_KEYS, _SEQUENCE, BATCH_LOG_UPDATED, null_is_a_key=True)
+    return current_state(log, BATCH_LOG_KEYS, _SEQUENCE, [*BATCH_LOG_UPDATED, RUN_ID], null_is_a_key=True)
 
 
 @contextlib.contextmanager
@@ -137,9 +166,10 @@ def batch_export(
 
     The timeout is per batch: an attempt has that long for each of the batches it writes.
 
-    ``overwrite`` leaves exactly the frame in the target, ``append`` adds it. Each attempt is one job over
+    ``overwrite`` leaves exactly the frame in the target, ``append`` adds it. A run writes a folder of its
+    own; earlier runs stay readable until it is complete, whatever fails. Each attempt is one job over
     the batches still missing. Afterwards a batch is a success if the target holds as many of its rows as
-    the input; each gets a log row. An attempt that fails or runs past the timeout is logged for the
+    the input; each gets a log row with the ``run_id``. An attempt that fails or runs past the timeout is logged for the
     batches it left, and the next one writes only those, replacing what is there of them in this run:
     no row is written twice or lost. A call with the ``run_id`` of a broken off run goes on with it in the
     same way. Give ``services`` to look the target service up first.
@@ -161,15 +191,8 @@ def batch_export(
     if run_id is not None and not re.fullmatch(r"[A-Za-z0-9_.\-]{1,100}", run_id):
         raise ValueError("a run id is made of at most 100 letters, digits, dots, dashes and underscores")
     resumed, run_id = run_id is not None, run_id or uuid.uuid4().hex
-    private_log = None if log_path else new_folder(spark, "batch-log")
-    log_path = log_path or private_log
-    # Only the first write of a run that overwrites may clear the target.
-    replace_all = write_mode == "overwrite"
-    started = time.time_ns()
-
-    def log_of_run() -> DataFrame:
-        log = layer_read(spark, log_path)
-        return log.where(F.col(_SEQUENCE) >= started)
+    if resumed and not _run_states(spark, target).where((F.col(RUN_ID) == run_id) & ~F.col("is_complete")).isEmpty():
+        raise ValueError(f"a later run has replaced {run_id}: take a new run id")
 
     def placed(rows: DataFrame) -> DataFrame:
         return rows.withColumns({RUN_ID: F.lit(run_id), BATCH_KEY: partition_key(quoted(batch))})
@@ -180,17 +203,17 @@ def batch_export(
             return True
         key, size = partition_key(quoted(batch)).alias(BATCH_KEY), F.col("n_rows").alias(_EXPECTED)
         expected = chunked.counts.select(quoted(batch), key, size)
+        is_there = F.col(_WRITTEN) == F.col(_EXPECTED)
+
+        def compared(batches: DataFrame) -> DataFrame:
+            found, path = stage(_compare(spark, batches, target, run_id), "found")
+            chunked.staged.append(path)
+            return found
+
         pending, wanted = expected, placed(chunked.frame)
         if resumed:
-            found, found_path = stage(_compare(spark, expected, target, run_id), "found")
-            chunked.staged.append(found_path)
-            expected = found.where(F.col(_WRITTEN) != F.col(_EXPECTED)).select(*expected.columns)
-            pending = expected
-            # Once this run has written anything, its target must not be cleared.
-            replace_all = replace_all and found.where(F.col(_WRITTEN) > 0).isEmpty()
+            pending = compared(expected).where(~is_there).select(*expected.columns)
         for attempt in range(1, max_attempts + 1):
-            if attempt > 1:
-                pending = pending_batches(expected, log_of_run(), batch, service)
             n_pending = pending.count()
             if n_pending == 0:
                 break
@@ -199,14 +222,12 @@ def batch_export(
             problem = None
             with _deadline(spark, timeout_minutes and timeout_minutes * n_pending) as late:
                 try:
-                    sink(spread_chunks(wanted, parallelism), target, "static" if replace_all else "dynamic", attempt)
+                    sink(spread_chunks(wanted, parallelism), target, "dynamic", attempt)
                 except Exception as error:
-                    problem = (str(error).strip().splitlines() or [type(error).__name__])[0]
+                    problem = str(error).strip() or type(error).__name__
                     _logger.error("attempt %s failed: %s", attempt, problem)
-            outcome = _compare(spark, pending, target, run_id)
-            # A failed attempt may have written some batches all the same.
-            replace_all = replace_all and problem is not None and outcome.where(F.col(_WRITTEN) > 0).isEmpty()
-            is_there = F.col(_WRITTEN) == F.col(_EXPECTED)
+            # What the target holds decides. A failed attempt may have written some batches all the same.
+            outcome = compared(pending)
             shortfall = F.concat_ws(" ", F.col(_WRITTEN), F.lit("of"), F.col(_EXPECTED), F.lit("rows written"))
             entries = batch_log_rows(
                 outcome,
@@ -221,17 +242,16 @@ def batch_export(
                 message=F.when(is_there, BATCH_MESSAGE).otherwise(F.lit(problem) if problem else shortfall),
                 retry_attempts=attempt,
             )
-            append(entries.withColumn(_SEQUENCE, F.lit(time.time_ns())), log_path)
-            if pending_batches(expected, log_of_run(), batch, service).isEmpty():
+            if log_path:
+                append(entries.withColumns({RUN_ID: F.lit(run_id), _SEQUENCE: F.lit(time.time_ns())}), log_path)
+            pending = outcome.where(~is_there).select(*expected.columns)
+            if pending.isEmpty():
                 break
             if attempt < max_attempts:
                 time.sleep(retry_delay_seconds)
         else:
             return False
-        done = spark.createDataFrame([(run_id, chunked.total_rows)], f"{RUN_ID} string, rows bigint")
-        append(done.coalesce(1), _runs(target))
+        _publish(spark, target, run_id, chunked.total_rows, write_mode == "overwrite")
         return True
     finally:
         chunked.release()
-        if private_log:
-            drop_staged(spark, private_log)

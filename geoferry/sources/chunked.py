@@ -13,6 +13,7 @@ from geoferry.fixed_values import MAX_CHUNK_ROWS
 from geoferry.functions.text import quoted
 from geoferry.operators.batches import partition_key
 from geoferry.operators.chunks import ROWS_PER_TASK, chunk_rows_of
+from geoferry.workspace import replace_folder
 
 BATCH_KEY, CHUNK = "batch_key", "chunk"
 
@@ -50,20 +51,27 @@ def chunked_write(
     """Write the frame to a folder, in chunks of at most ``chunk_rows`` rows, as one job.
 
     The first write takes the caller's mode, later ones append: pass the state of one call on to the next.
-    An empty frame writes nothing and leaves the state as it was. Without ``parallelism`` the rows are
+    An overwrite takes the place of the old folder only once it is written whole. An empty frame writes
+    nothing and leaves the state as it was. Without ``parallelism`` the rows are
     written where they are numbered: a chunk then has one file, or a few where it crosses a range.
     """
+    if write_mode not in ("overwrite", "append"):
+        raise ValueError("the write mode is overwrite or append")
     check_names(df, [BATCH_KEY, CHUNK])
     chunked = chunk_rows_of(df, chunk_rows, batch, order_by, CHUNK, rows_per_task)
-    if chunked.total_rows == 0:
+    try:
+        if chunked.total_rows == 0:
+            return WriteState(True, is_first_batch, write_mode)
+        key = partition_key(quoted(batch)) if batch else F.lit("all")
+        rows = spread_chunks(chunked.frame.withColumn(BATCH_KEY, key), parallelism)
+        writer = rows.write.mode("append").partitionBy(BATCH_KEY, CHUNK)
+        if is_first_batch and write_mode == "overwrite":
+            replace_folder(df.sparkSession, target, writer.parquet)
+        else:
+            writer.parquet(target)
+        return WriteState(True, False, "append")
+    finally:
         chunked.release()
-        return WriteState(True, is_first_batch, write_mode)
-    key = partition_key(quoted(batch)) if batch else F.lit("all")
-    rows = spread_chunks(chunked.frame.withColumn(BATCH_KEY, key), parallelism)
-    mode = write_mode if is_first_batch else "append"
-    rows.write.mode(mode).option("partitionOverwriteMode", "static").partitionBy(BATCH_KEY, CHUNK).parquet(target)
-    chunked.release()
-    return WriteState(True, False, "append")
 
 
 def read_chunked(spark: SparkSession, target: str, schema: T.StructType) -> DataFrame:

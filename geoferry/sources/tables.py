@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -9,7 +11,8 @@ from pyspark.sql import types as T
 
 from geoferry.functions.text import quoted
 from geoferry.sources.layers import is_path
-from geoferry.workspace import folder_exists
+from geoferry.workspace import folder_exists, replace_folder
+
 
 def existing_schema(spark: SparkSession, target: str, fmt: str = "parquet") -> T.StructType | None:
     """Schema of the target, None if there is nothing yet."""
@@ -26,12 +29,26 @@ def existing_schema(spark: SparkSession, target: str, fmt: str = "parquet") -> T
         raise
 
 
-def _save(df: DataFrame, target: str, mode: str, fmt: str) -> None:
-    writer = df.write.mode(mode).format(fmt)
-    if is_path(target):
-        writer.save(target)
-    else:
-        writer.saveAsTable(target)
+def _replace_table(df: DataFrame, target: str, fmt: str) -> None:
+    """Write a new catalog table beside the old one and swap their names; the old one is dropped last."""
+    spark, schema = df.sparkSession, target.rpartition(".")[0]
+
+    def sql_name(table: str) -> str:
+        return ".".join(f"`{part}`" for part in table.split("."))
+
+    new, old = (f"{schema}.{kind}_{uuid.uuid4().hex}".lstrip(".") for kind in ("new", "old"))
+    try:
+        df.write.format(fmt).saveAsTable(new)
+    except Exception:
+        spark.sql(f"DROP TABLE IF EXISTS {sql_name(new)}")
+        raise
+    spark.sql(f"ALTER TABLE {sql_name(target)} RENAME TO {sql_name(old)}")
+    try:
+        spark.sql(f"ALTER TABLE {sql_name(new)} RENAME TO {sql_name(target)}")
+    except Exception:
+        spark.sql(f"ALTER TABLE {sql_name(old)} RENAME TO {sql_name(target)}")
+        raise
+    spark.sql(f"DROP TABLE {sql_name(old)}")
 
 
 def merge_schema(df: DataFrame, old: T.StructType) -> DataFrame:
@@ -56,11 +73,25 @@ def merge_schema(df: DataFrame, old: T.StructType) -> DataFrame:
 
 
 def overwrite_merge_schema(df: DataFrame, target: str, fmt: str = "parquet") -> None:
-    """Replace all rows of the target; its schema becomes the union of the old one and the frame's."""
+    """Replace all rows of the target; its schema becomes the union of the old one and the frame's.
+
+    The new rows are written beside the old ones and take their place once they are whole: a write that
+    fails leaves the target as it was.
+    """
     old = existing_schema(df.sparkSession, target, fmt)
-    _save(df if old is None else merge_schema(df, old), target, "overwrite", fmt)
+    df = df if old is None else merge_schema(df, old)
+    if is_path(target):
+        replace_folder(df.sparkSession, target, df.write.format(fmt).save)
+    elif old is None:
+        df.write.format(fmt).saveAsTable(target)
+    else:
+        _replace_table(df, target, fmt)
 
 
 def append(df: DataFrame, target: str, fmt: str = "parquet") -> None:
     """Create the target on the first write, append afterwards."""
-    _save(df, target, "append", fmt)
+    writer = df.write.mode("append").format(fmt)
+    if is_path(target):
+        writer.save(target)
+    else:
+        writer.saveAsTable(target)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,3 +48,32 @@ def drop_staged(spark: SparkSession, path: str) -> None:
     """Remove one staged table, named by the path that ``stage`` gave."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def replace_folder(spark: SparkSession, target: str, write: Callable[[str], None]) -> None:
+    """Have ``write`` fill a new folder beside the target, then put it in the target's place.
+
+    A write that fails leaves the target as it was. The old folder is set aside by a rename and removed last;
+    a job that dies between the two renames leaves it beside the target, as ``_old-...``. On an object store,
+    where a rename copies, take a table format with transactions instead.
+    """
+    place, mark = target.rstrip("/"), uuid.uuid4().hex
+    beside = place.rpartition("/")[0]
+    fresh, here, aside = (
+        spark._jvm.org.apache.hadoop.fs.Path(path) for path in (f"{beside}/_new-{mark}", place, f"{beside}/_old-{mark}")
+    )
+    files = here.getFileSystem(spark._jsc.hadoopConfiguration())
+    try:
+        write(f"{beside}/_new-{mark}")
+        replaces = files.exists(here)
+        if replaces and not files.rename(here, aside):
+            raise OSError(f"cannot set {place} aside")
+        if not files.rename(fresh, here):
+            if replaces:
+                files.rename(aside, here)
+            raise OSError(f"cannot put the new {place} in its place")
+    finally:
+        files.delete(fresh, True)
+    if replaces:
+        files.delete(aside, True)
+    spark.catalog.refreshByPath(place)

@@ -139,6 +139,42 @@ def test_unfinished_runs_are_not_read(spark, rows, folder):
     assert counts(spark, target, rows) == COUNTS
 
 
+def test_a_failed_overwrite_leaves_the_earlier_run(spark, rows, folder):
+    target = folder()
+    assert export(rows, target)
+
+    def sink(*_):
+        raise OSError("away")
+
+    assert not export(rows.limit(5), target, sink=sink, max_attempts=2)
+    assert counts(spark, target, rows) == COUNTS
+
+
+def test_runs_on_one_log_do_not_mix(spark, rows, folder):
+    target, log_path = folder(), folder("log")
+
+    def sink(frame, path, overwrite, attempt):
+        # Another run of the service succeeds while this one lacks a batch.
+        write_partitions(frame.where("b = ''") if attempt == 1 else frame, path, overwrite, attempt)
+        if attempt == 1:
+            assert export(rows, target, write_mode="append", log_path=log_path, run_id="other")
+
+    assert export(rows, target, write_mode="append", sink=sink, log_path=log_path, run_id="mine")
+    assert counts(spark, target, rows) == {b: 2 * n for b, n in COUNTS.items()}
+    log = spark.read.parquet(log_path).where("status = 'Success'")
+    assert {row.run_id: row["count"] for row in log.groupBy("run_id").count().collect()} == {"mine": 4, "other": 4}
+    keys = rows.select("b").distinct()
+    assert gf.pending_batches(keys, log, "b", "svc", "mine").count() == 0
+    assert gf.pending_batches(keys, log, "b", "svc", "third").count() == 4
+
+
+def test_a_replaced_run_cannot_go_on(spark, rows, folder):
+    target = folder()
+    assert export(rows, target, run_id="r1") and export(rows, target, run_id="r2")
+    with pytest.raises(ValueError, match="replaced"):
+        export(rows, target, run_id="r1")
+
+
 def test_timeout_is_logged(spark, rows, folder):
     target, log_path = folder(), folder("log")
     def sink(frame, path, overwrite, attempt):

@@ -52,6 +52,20 @@ def test_catalog_tables(spark):
     assert gf.layer_read(spark, "layers.log", where="id < 1").count() == 2
 
 
+@pytest.mark.parametrize("catalog", [False, True])
+def test_a_failed_overwrite_keeps_the_old_rows(spark, folder, catalog):
+    target = "kept_rows" if catalog else folder()
+    gf.overwrite_merge_schema(spark.range(50), target)
+    bad = spark.range(50).select(F.when(F.col("id") < 40, F.col("id")).otherwise(F.raise_error("no").cast("bigint")).alias("id"))
+    with pytest.raises(Exception, match="no"):
+        gf.overwrite_merge_schema(bad, target)
+    assert gf.layer_read(spark, target).count() == 50
+    with pytest.raises(Exception, match="no"):
+        gf.chunked_write(bad, target if not catalog else folder(), 10, order_by=["id"])
+    gf.overwrite_merge_schema(gf.layer_read(spark, target).where("id < 7"), target)
+    assert gf.layer_read(spark, target).count() == 7
+
+
 def test_append_creates_then_adds(spark, folder):
     target = folder()
     gf.append(spark.range(2), target)
