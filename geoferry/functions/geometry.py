@@ -82,18 +82,26 @@ def _number(value: Column, decimals: int) -> Column:
 
 
 def as_wkt(geometry: Column, decimals: int = 9) -> Column:
-    """WKT text, coordinates rounded to a number of decimals; ``... EMPTY`` where no point is left."""
+    """WKT text, coordinates rounded to a number of decimals; ``... EMPTY`` where there is no point.
+
+    A point without coordinates is an empty point. A missing coordinate in any other kind raises, since the
+    shape would be another one without that vertex.
+    """
+    kind = geometry["gtype"]
+
+    def has_place(p: Column) -> Column:
+        return p["x"].isNotNull() & p["y"].isNotNull() & ~F.isnan(p["x"]) & ~F.isnan(p["y"])
 
     def coordinates(points: Column) -> Column:
-        placed = F.filter(points, lambda p: p["x"].isNotNull() & p["y"].isNotNull())
+        placed = F.filter(points, has_place)
         pairs = F.transform(placed, lambda p: F.concat(_number(p["x"], decimals), F.lit(" "), _number(p["y"], decimals)))
-        return F.array_join(pairs, ", ")
+        is_whole = (kind == "Point") | F.coalesce(F.forall(points, has_place), F.lit(True))
+        missing = F.raise_error(F.concat(F.lit("a vertex has no coordinates: "), kind))
+        return F.when(is_whole, F.array_join(pairs, ", ")).otherwise(missing)
 
     def bracket(text: Column) -> Column:
         return F.concat(F.lit("("), text, F.lit(")"))
 
-    kind = geometry["gtype"]
-
     def body(parts: Column) -> Column:
         rings = F.array_join(F.transform(F.flatten(parts), bracket), ", ")
         nested = F.transform(parts, lambda part: bracket(F.array_join(F.transform(part, bracket), ", ")))

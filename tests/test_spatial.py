@@ -58,6 +58,17 @@ def test_unknown_kind_raises(spark):
         geometry_as_wkt(layer(spark, [("Circle", [[[(0.0, 0.0)]]])])).collect()
 
 
+def test_a_vertex_without_place_raises(spark):
+    for missing in (None, math.nan):
+        shapes = [("LineString", [[[(0.0, 0.0), (1.0, missing)]]])]
+        with pytest.raises(Exception, match="a vertex has no coordinates: LineString"):
+            geometry_as_wkt(layer(spark, shapes)).collect()
+    pole = layer(spark, [("LineString", [[[(0.0, 0.0), (0.0, 90.0)]]])])
+    with pytest.raises(Exception, match="a vertex has no coordinates"):
+        geometry_as_wkt(reproject(pole, 3857)).collect()
+    assert geometry_as_wkt(layer(spark, [("Point", [[[(math.nan, 1.0)]]])])).first().geometry_wkt == "POINT EMPTY"
+
+
 def test_reprojection_keeps_structure_and_sets_the_srid(spark):
     df = layer(spark, [kind[:2] for kind in KINDS[:6]])
     out = reproject(df, 3857)
