@@ -202,6 +202,26 @@ def test_passages_of_fifty_words_are_found(spark):
     assert all(row.start_word <= 80 + row.doc_id and row.end_word >= 135 + row.doc_id for row in got)
 
 
+def test_passages_with_words_put_in_and_left_out(spark):
+    chance = random.Random(6)
+    prose = lambda n: [f"w{chance.randrange(10**7)}" for _ in range(n)]
+    alike = lambda a, b: len(a & b) / len(a | b)
+    rows, inserted, near = [], [], []
+    for group in range(200):
+        shared = prose(50)
+        other = [*shared[:25], *prose(1), *shared[25:]]
+        if group % 2:  # another edit, if it leaves a similarity of 0.75
+            at = chance.randrange(2, 49)
+            changed = [*other[:at], *other[at + 1 :]] if chance.random() < 0.5 else [*other[:at], *prose(1), *other[at:]]
+            other = changed if len(changed) >= 50 and alike(shingles(" ".join(shared)), shingles(" ".join(changed))) >= 0.75 else other
+        (near if group % 2 else inserted).append(group)
+        for number, words in enumerate((shared, other)):
+            rows.append((2 * group + number, " ".join(prose(60 + group % 7) + words + prose(70))))
+    got = {row.doc_id for row in passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all({2 * group, 2 * group + 1} <= got for group in inserted)
+    assert sum({2 * group, 2 * group + 1} <= got for group in near) >= 0.98 * len(near)
+
+
 def test_personal_data_equals_plain_patterns(spark, texts):
     rules = {
         "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
