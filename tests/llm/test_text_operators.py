@@ -222,6 +222,18 @@ def test_passages_with_words_put_in_and_left_out(spark):
     assert sum({2 * group, 2 * group + 1} <= got for group in near) >= 0.98 * len(near)
 
 
+def test_passages_that_stand_twice_in_a_document(spark):
+    chance = random.Random(7)
+    prose = lambda n: [f"w{chance.randrange(10**7)}" for _ in range(n)]
+    shared = prose(60)
+    twice = prose(100) + shared + prose(700) + shared + prose(80)
+    part_first = prose(90) + shared[:30] + prose(400) + shared + prose(80)
+    rows = [(n, " ".join(words)) for n, words in enumerate((twice, prose(70) + shared + prose(70), part_first, twice[50:]))]
+    got = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    covered = lambda doc, at: any(row.doc_id == doc and row.start_word <= at and row.end_word >= at + 60 for row in got)
+    assert all(covered(doc, at) for doc, at in [(0, 100), (0, 860), (1, 70), (2, 520), (3, 50), (3, 810)])
+
+
 def test_personal_data_equals_plain_patterns(spark, texts):
     rules = {
         "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
