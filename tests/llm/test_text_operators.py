@@ -234,6 +234,17 @@ def test_passages_that_stand_twice_in_a_document(spark):
     assert all(covered(doc, at) for doc, at in [(0, 100), (0, 860), (1, 70), (2, 520), (3, 50), (3, 810)])
 
 
+def test_passages_that_leading_documents_hold_in_part(spark):
+    chance = random.Random(8)
+    prose = lambda n: [f"w{chance.randrange(10**7)}" for _ in range(n)]
+    shared = prose(54)
+    parts = {0: shared[:42], 1: shared[-42:], 98: shared[:42], 99: shared[-42:]}
+    rows = [(n, " ".join(prose(80) + parts.get(n, shared) + prose(70))) for n in [0, 1, *range(10, 30), 98, 99]]
+    got = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(row.doc_id for row in got) == list(range(10, 30))
+    assert all(row.start_word <= 80 and row.end_word >= 134 for row in got)
+
+
 def test_personal_data_equals_plain_patterns(spark, texts):
     rules = {
         "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
