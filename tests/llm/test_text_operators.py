@@ -243,6 +243,7 @@ def test_passages_that_leading_documents_hold_in_part(spark):
     got = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted(row.doc_id for row in got) == list(range(10, 30))
     assert all(row.start_word <= 80 and row.end_word >= 134 for row in got)
+    assert {row.class_id for row in got} == {"10:80"} and {row.n_members for row in got} == {20} and {row.least_doc_id for row in got} == {10}
 
 
 def test_personal_data_equals_plain_patterns(spark, texts):
