@@ -1,11 +1,11 @@
 """The main text of web pages, by paths that the pages of a host agree on.
 
-1. Each page's containers are scored: characters of text in their blocks, less those in links; what stands in menus,
-   headers, footers, sidebars, notices, adverts, forms, scripts, styles and comments counts nothing. The best one casts
-   a vote for its path: tags and classes from the root, with numbers in class names made equal.
+1. What stands in menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and comments is left out.
+   Of each page, the articles, or else the innermost container beside which there is nothing but links, casts a vote
+   for its path: tags and classes from the root, with numbers in class names made equal.
 2. Spark counts the votes of each host; the path with most votes wins (then the longer text, then the name).
-3. Each page is read again at its host's path. Where the path is missing, or holds less than half the text of the
-   page's own best container, the page's own one is taken.
+3. Each page is read again at its host's path. Where the path is missing, or lacks text of the page's own best
+   container that is not links, the page's own one is taken.
 
 Null and empty pages have no text. A url without a host votes with all others of that kind. Repeated pages vote once per
 row; further columns stay out of the result.
@@ -66,6 +66,7 @@ class Node:
     weight: int = 0
     links: int = 0
     children: list["Node"] = field(default_factory=list)
+    heavy: list[bool] = field(default_factory=list)  # of the root: for each block whether more than half of it is links
 
 
 def _marked(rest: str) -> tuple[bool, str]:
@@ -173,6 +174,7 @@ def parsed(page: str) -> tuple[list[str], list[Node]]:
             if not rest.endswith("/"):
                 stack.append((tag, above, outside))
     cut()
+    root.heavy = [2 * links > size for size, links in weights]
     so_far = [list(accumulate((pair[k] for pair in weights), initial=0)) for k in (0, 1)]
     for node in nodes:
         node.last = len(blocks) if node.last < 0 else node.last
@@ -181,23 +183,43 @@ def parsed(page: str) -> tuple[list[str], list[Node]]:
 
 
 def best(nodes: list[Node]) -> Node:
-    """The innermost container that holds nearly all the text of the page that is not in links."""
+    """The container that holds the page's text: the articles, or else all but blocks that are mostly links.
+
+    Outermost <article> and <main> elements with enough of the text are taken as a whole, with what they have between them.
+    Without one, the way goes down as long as nothing but links is left beside a container.
+    """
     worth = lambda node: node.weight - 2 * node.links
-    node = nodes[0]
+    root, heavy = nodes[0], nodes[0].heavy
+    named, waiting, above = [], [root], {}
+    while waiting:
+        node = waiting.pop()
+        if node.tag in ("article", "main"):
+            if worth(node) > 0:
+                named.append(node)
+            continue
+        for inner in node.children:
+            if not inner.outside:
+                above[id(inner)] = node
+                waiting.append(inner)
+    if named and sum(map(worth, named)) >= 0.3 * worth(root):
+        node, others = named[0], named[1:]
+        while any(not (node.first <= x.first and x.last <= node.last) for x in others):
+            node = above[id(node)]
+        return node
+    node = root
     while True:
         inner = max((x for x in node.children if not x.outside), key=worth, default=None)
-        named = inner is not None and inner.tag in ("article", "main") and worth(inner) > 0
-        if inner is None or not (worth(inner) >= 0.8 * worth(node) or named and worth(inner) >= 0.3 * worth(node)):
+        if inner is None or not inner.weight or not all(heavy[node.first : inner.first] + heavy[inner.last : node.last]):
             return node
         node = inner
 
 
 def text_at(blocks: list[str], nodes: list[Node], path: str | None) -> str:
-    """The text of the containers at a path, or of the page's own best one."""
+    """The text of the containers at a path, if it covers the page's own best one but for links, or of that one."""
     own = best(nodes)
     at = [node for node in nodes if path is not None and node.path == path and not node.outside]
-    if at and sum(node.weight for node in at) >= 0.5 * own.weight:
-        places = sorted({place for node in at for place in range(node.first, node.last)})
+    places = sorted({place for node in at for place in range(node.first, node.last)})
+    if at and all(nodes[0].heavy[place] for place in set(range(own.first, own.last)).difference(places)):
         return "\n".join([blocks[place] for place in places])
     return "\n".join(blocks[own.first : own.last])
 

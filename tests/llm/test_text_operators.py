@@ -91,6 +91,18 @@ def test_main_text():
     assert html_text.text_at(blocks, nodes, None) == "T & c\nOne bold text of the page that is long enough.\na\nb <c>"
 
 
+def test_text_beside_large_containers_is_kept(spark):
+    long = "A sentence of the text. " * 40
+    text_of = lambda page, path=None: html_text.text_at(*html_text.parsed(page), path).split("\n")
+    nested = f"<body><p>Site<div><article><h1>Title</h1><p>Lead</p><div class=body><p>More</p><div><p>{long}</p></div></div><p>End</p></article></div></body>"
+    assert text_of(nested) == ["Title", "Lead", "More", long.strip(), "End"]
+    assert text_of("<main><article><p>One text</p></article><p>Between</p><article><p>Two texts</p></article></main>") == ["One text", "Between", "Two texts"]
+    assert text_of(f"<body><div><p>One</p></div><div><p>{long}</p></div></body>") == ["One", long.strip()]
+    assert text_of(f"<body><div><a>menu</a></div><div class=x><p>{long}</p></div></body>") == [long.strip()]
+    two = "<body><div class=post><p>Sixty of a hundred</p></div><div class=more><p>and forty</p></div></body>"
+    assert text_of(two, "/body/div.post") == ["Sixty of a hundred", "and forty"]
+
+
 def test_pages_of_the_table(spark):
     import html
 
