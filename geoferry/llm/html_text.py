@@ -33,6 +33,14 @@ BLOCKS = CONTAINERS | {
 }
 EMPTY = {"br", "img", "hr", "meta", "link", "input", "source", "wbr", "area", "base", "col", "embed", "track", "param"}
 RAW = ("script", "style", "noscript", "template", "textarea", "title", "iframe", "svg", "math", "select", "button", "canvas", "object")
+#: Blocks that stay open until their end tag, a sibling, or the end of what they stand in.
+OPEN = {"ul", "ol", "dl", "table", "blockquote", "figure", "details", "p", "li", "dt", "dd", "tr", "th", "thead", "tbody"}
+#: For tags whose end tag may be left out: the open elements that a new one closes, and those that it doesn't look behind.
+SIBLINGS = {
+    "li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "td": ({"td", "th"}, {"tr", "table"}),
+    "th": ({"td", "th"}, {"tr", "table"}), "tr": ({"tr", "td", "th"}, {"table"}), "thead": ({"thead", "tbody", "tr", "td", "th"}, {"table"}),
+    "tbody": ({"thead", "tbody", "tr", "td", "th"}, {"table"}),
+}
 OUTSIDE = {"head", "nav", "header", "footer", "aside", "form", "menu", "dialog", "label", "fieldset"}
 #: Words of class names, ids and roles that mark what is not the article.
 MARKS = (
@@ -112,6 +120,23 @@ def parsed(page: str) -> tuple[list[str], list[Node]]:
             if link:
                 sizes[1] += len(text)
 
+    def close(depth: int) -> None:
+        for _, node, _ in stack[depth:]:
+            if node.last < 0 and node is not stack[depth - 1][1]:
+                node.last = len(blocks)
+        del stack[depth:]
+
+    def imply(tags: set[str], bounds: set[str]) -> None:
+        """End tags that a new block implies: of the outermost of these elements inside of the bounds."""
+        lowest = 0
+        for depth in range(len(stack) - 1, 0, -1):
+            if stack[depth][0] in tags:
+                lowest = depth
+            elif stack[depth][0] in bounds:
+                break
+        if lowest:
+            close(lowest)
+
     at = 0
     while True:
         found = _TOKEN.search(page, at)
@@ -132,10 +157,7 @@ def parsed(page: str) -> tuple[list[str], list[Node]]:
                 cut()
             for depth in range(len(stack) - 1, 0, -1):
                 if stack[depth][0] == tag:
-                    for _, node, _ in stack[depth:]:
-                        if node.last < 0 and node is not stack[depth - 1][1]:
-                            node.last = len(blocks)
-                    del stack[depth:]
+                    close(depth)
                     break
             continue
         rest = found["rest"]
@@ -152,6 +174,7 @@ def parsed(page: str) -> tuple[list[str], list[Node]]:
         if tag in EMPTY:
             if tag in BLOCKS:
                 cut()
+                imply({"p"}, CONTAINERS)
             continue
         if tag == "a":
             link += 1
@@ -160,6 +183,10 @@ def parsed(page: str) -> tuple[list[str], list[Node]]:
         if tag in BLOCKS or tag in OUTSIDE:
             cut()
             link = 0
+            if tag != "label":
+                imply({"p"}, CONTAINERS)
+            if tag in SIBLINGS:
+                imply(*SIBLINGS[tag])
         elif not outside:
             continue  # an inline element
         outside = outside and tag not in ("html", "body") or stack[-1][2] or tag in OUTSIDE
@@ -170,7 +197,7 @@ def parsed(page: str) -> tuple[list[str], list[Node]]:
             nodes.append(node)
             above.children.append(node)
             stack.append((tag, node, outside))
-        elif tag in ("ul", "ol", "dl", "table", "blockquote", "figure", "details") or outside:
+        elif tag in OPEN or outside:
             if not rest.endswith("/"):
                 stack.append((tag, above, outside))
     cut()

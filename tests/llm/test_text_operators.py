@@ -103,6 +103,23 @@ def test_text_beside_large_containers_is_kept(spark):
     assert text_of(two, "/body/div.post") == ["Sixty of a hundred", "and forty"]
 
 
+@pytest.mark.parametrize(
+    "inner, expected",
+    [
+        ("<p class=ad>Buy<p>Text<div>More</div>", ["Text", "More"]),
+        ("<p class=ad>Buy<hr>Text", ["Text"]),
+        ("<p><span class=ad>Buy<p>Text", ["Text"]),
+        ("<ul><li class=promo>Buy<ul><li>now</ul><li>a<li>b</ul><p>Text", ["a", "b", "Text"]),
+        ("<dl><dt>t<dd class=ad>Buy<dt>u<dd>d</dl>Text", ["t", "u", "d", "Text"]),
+        ("<table><tr class=ad><td>Buy<tr><td class=ad>Buy<td>a<th class=ad>Buy<th>b</table>Text", ["a", "b", "Text"]),
+        ("<table><tbody class=ad><tr><td>Buy<tbody><tr><td>a</table>Text", ["a", "Text"]),
+        ("<div class=ad><p>Buy<p>now</div><p>Text</p>", ["Text"]),
+    ],
+)
+def test_marked_elements_without_end_tags(inner, expected):
+    assert html_text.text_at(*html_text.parsed(f"<article>{inner}</article>"), None).split("\n") == expected
+
+
 def test_pages_of_the_table(spark):
     import html
 
