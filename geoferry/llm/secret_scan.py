@@ -1,6 +1,7 @@
 """Secrets in texts, in native functions: a random forest takes the false positives out of a wide scan.
 
-Candidates are runs of 16 and more letters, digits and ``+/_=-`` that hold a digit. Each is described by its length, how
+Candidates are values assigned to a telling name and passwords in URLs, of any length and alphabet, and runs of 16 and
+more letters, digits and ``+/_=-`` that hold a digit. Each is described by its length, how
 often its characters change between kinds, the share of it that common words cover, its digits and distinct characters,
 where the text came from (``path``) and the words beside it. The forest is trained from labelled findings (candidates
 with ``label`` 1 for a secret and 0 for a false positive); a bounded sample of them is enough.
@@ -24,11 +25,22 @@ from geoferry.llm.common import ascii_lower, staged
 from geoferry.llm.spans import spans_of, with_marks
 
 #: A run is entered at its beginning and never given back, so the scan is linear.
-CANDIDATE = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*+[0-9])[A-Za-z0-9+/_=-]{16,}+"
+RUN = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*+[0-9])[A-Za-z0-9+/_=-]{16,}+"
 AROUND = 32
 #: Formats of issuers, names that secrets are assigned to, and stand-ins.
 ISSUED = r"^(?:AKIA[0-9A-Z]{16}$|gh[pousr]_[A-Za-z0-9]{36}|xox[abprs]-|sk_live_|AIza|eyJ[A-Za-z0-9_-]{10})"
-NAMED = r"(?:token|secret|passw(?:or)?d|pwd|api[_-]?key|access[_-]?key|auth|bearer|credential)[a-z_-]*[\"']?\s*(?:=|:|=>)\s*[\"']?$"
+NAMES = r"(?:token|secret|passw(?:or)?d|pwd|api[_-]?key|access[_-]?key|auth|bearer|credential)"
+NAMED = NAMES + r"[a-z_-]*[\"']?\s*(?:=|:|=>)\s*[\"']?$"
+#: Values after a telling name, quoted or up to white space, and the password of a URL. Looking behind needs bounds.
+_ASSIGNED = rf"(?i:{NAMES}[a-z_-]{{0,24}})[\"']?\s{{0,8}}(?:=>|=|:)\s{{0,8}}"
+VALUE = (
+    rf"(?<=[\"'])(?<={_ASSIGNED}[\"'])[^\"'\r\n]++(?=[\"'])|(?<=[=:>\s\"'])(?<={_ASSIGNED}[\"']?)(?![=:>])[^\s\"'&]*[^\s\"'&,;.)\]}}]"
+    r"|(?<=:)(?<=://[^\s/:@]{0,64}:)[^\s/@\"']++(?=@)"
+)
+CANDIDATE = f"{VALUE}|{RUN}"
+IN_URL = r"://[^\s/:@]*:$"
+#: What prose has after a telling name and a colon: words. No rule knows them.
+WORDS = r"^[A-Za-z]+(?:[ ,.;:]+[A-Za-z]+)+[.!?]?$"
 TELLING = r"token|secret|passw|pwd|key|auth|bearer|credential|private"
 STAND_IN = r"^[0-9=-]+$|^(.)\1+$|example|sample|dummy|placeholder|changeme|your[_-]|x{6,}|1234567890|^[0-9a-f]{8}-(?:[0-9a-f]{4}-){3}[0-9a-f]{12}$"
 #: Common beginnings and endings of words in the languages at hand, and words of code; what they cover is prose.
@@ -68,12 +80,18 @@ def candidates(docs: DataFrame, key: str = "doc_id", text: str = "text", path: s
     )
 
 
-def rule_findings(found: DataFrame) -> DataFrame:
-    """The candidates that a rule knows, with their label."""
+def rule_label() -> Column:
+    """1 for what a rule knows as a secret, 0 for what it knows as none, null for the rest."""
     match, before = F.col("match"), ascii_lower(F.col("before"))
     doubtful = ascii_lower(match).rlike(STAND_IN)
-    label = F.when(doubtful, 0).when(match.rlike(ISSUED) | before.rlike(NAMED), 1).when(F.col("covered") > 0.6, 0)
-    return found.withColumn("label", label).where(F.col("label").isNotNull())
+    prose = match.rlike(WORDS) | match.rlike("^[A-Za-z]+$") & before.rlike(r":\s+$")
+    named = before.rlike(IN_URL) | before.rlike(NAMED) & ~prose
+    return F.when(doubtful, 0).when(match.rlike(ISSUED) | named, 1).when(F.col("covered") > 0.6, 0)
+
+
+def rule_findings(found: DataFrame) -> DataFrame:
+    """The candidates that a rule knows, with their label."""
+    return found.withColumn("label", rule_label()).where(F.col("label").isNotNull())
 
 
 def train(findings: DataFrame) -> RandomForestClassificationModel | None:
@@ -92,9 +110,9 @@ def train(findings: DataFrame) -> RandomForestClassificationModel | None:
 
 
 def secrets(docs: DataFrame, findings: DataFrame | None = None, path: str | None = None, threshold: float = 0.5) -> DataFrame:
-    """Every candidate with the forest's score and verdict: doc_id, start, end, match_sha256, score, secret.
+    """Every candidate with its score and verdict: doc_id, start, end, match_sha256, score, secret.
 
-    The value itself is given as a digest only. Without a forest, the rules alone decide.
+    A rule that knows a candidate decides it; the forest judges the rest. The value itself is given as a digest only. Without a forest, the rules alone decide.
     """
     found = staged(candidates(docs, path=path), "secret-candidates")
     model = train(rule_findings(found) if findings is None else findings)
@@ -103,5 +121,5 @@ def secrets(docs: DataFrame, findings: DataFrame | None = None, path: str | None
         scored = known
     else:
         vectors = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(found)
-        scored = model.transform(vectors).select("doc_id", "start", "end", "match", vector_to_array("probability")[1].alias("score"))
+        scored = model.transform(vectors).select("doc_id", "start", "end", "match", F.coalesce(rule_label().cast("double"), vector_to_array("probability")[1]).alias("score"))
     return scored.select("doc_id", "start", "end", F.sha2("match", 256).alias("match_sha256"), "score", (F.col("score") >= threshold).alias("secret"))

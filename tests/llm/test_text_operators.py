@@ -306,6 +306,21 @@ def test_secrets_are_told_from_numbers(spark, documents, texts):
     assert not any(row.secret for row in got.values() if texts[row.doc_id][row.start : row.end].isdigit())
 
 
+def test_short_and_plain_secrets_are_seen(spark, documents):
+    odd = {
+        'x password = "hunter2!pass" y': "hunter2!pass", "db postgres://joe:pa55!@host/db": "pa55!", "set api_key=QwErTyUiOpAsDfGh end": "QwErTyUiOpAsDfGh",
+        "PWD=abc;": "abc", "{'auth_token': 'k!'}": "k!", "see https://a.b/?passwd=x1&y=2": "x1", 'secret => "two words 7"': "two words 7",
+    }
+    rows = [(10**7 + at, text, "code") for at, text in enumerate(odd)] + [(10**8, "The secret: patience and work.", "code")]
+    docs = documents.select("doc_id", "text", "source").union(spark.createDataFrame(rows, "doc_id long, text string, source string"))
+    got = {(row.doc_id, row.start, row.end): row for row in secret_scan.secrets(docs, path="source").collect()}
+    for at, (text, value) in enumerate(odd.items()):
+        row = got[(10**7 + at, text.index(value), text.index(value) + len(value))]
+        assert row.secret and row.match_sha256 == hashlib.sha256(value.encode()).hexdigest()
+    known = secret_scan.rule_findings(secret_scan.candidates(docs, path="source")).collect()
+    assert all(got[(row.doc_id, row.start, row.end)].secret == bool(row.label) for row in known)
+
+
 def test_toxicity_on_held_out_rows(spark):
     sf_dir = SF_DIR.replace("0.01", "0.1")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
