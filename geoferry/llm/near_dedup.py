@@ -119,7 +119,8 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """Per row: doc_id, n_shingles, set hash (s0, s1) and registers."""
+    """Per row: doc_id, n_shingles, set hash (s0, s1), registers, and the columns behind the text."""
+    others = docs.columns[2:]
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -131,12 +132,12 @@ def sketches(docs: DataFrame) -> DataFrame:
                 registers.append(registers_of(found).tobytes() if len(found) else None)
             both = np.array(hashes, np.int64).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(both[:, 0]), pa.array(both[:, 1]), pa.array(registers, pa.binary())],
-                names=["doc_id", "n_shingles", "s0", "s1", "registers"],
+                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(both[:, 0]), pa.array(both[:, 1]), pa.array(registers, pa.binary()), *batch.columns[2:]],
+                names=["doc_id", "n_shingles", "s0", "s1", "registers", *others],
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInArrow(sketch, f"doc_id {kind}, n_shingles long, s0 long, s1 long, registers binary")
+    return docs.mapInArrow(sketch, ", ".join([f"doc_id {kind}, n_shingles long, s0 long, s1 long, registers binary", *[f"`{name}` {docs.schema[name].dataType.simpleString()}" for name in others]]))
 
 
 def bands(classes: DataFrame) -> DataFrame:
@@ -307,11 +308,8 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
-def with_components(docs: DataFrame) -> DataFrame:
-    """Per row of ``docs``: doc_id, n_shingles, component_id and kept."""
-    texts = texts_of(docs)
-    kind = texts.schema["doc_id"].dataType
-    texts = texts.withColumn("doc_id", F.col("doc_id").cast("long"))
+def _labelled(texts: DataFrame) -> DataFrame:
+    """Per row: doc_id, n_shingles, set hash (s0, s1), component_id, and the columns behind the text."""
     rows = staged(sketches(texts), "sketches")
     classes = staged(
         rows.where("n_shingles > 0 and doc_id is not null").groupBy("s0", "s1")
@@ -327,15 +325,30 @@ def with_components(docs: DataFrame) -> DataFrame:
     labels = components(confirmed(second, sure), labels)
     named = shuffled_join(classes.select("s0", "s1", "cid"), labels, ["cid"], "left")
     named = staged(named.select("s0", "s1", F.coalesce("component", "cid").alias("component_id")), "named")
-    found = shuffled_join(rows.select("doc_id", "n_shingles", "s0", "s1"), named, ["s0", "s1"], "left")
-    return found.select(
-        F.col("doc_id").cast(kind).alias("doc_id"),
-        "n_shingles",
-        F.coalesce("component_id", "doc_id").cast(kind).alias("component_id"),
-    ).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
+    found = shuffled_join(rows.drop("registers"), named, ["s0", "s1"], "left")
+    return found.withColumn("component_id", F.coalesce("component_id", "doc_id"))
+
+
+def with_components(docs: DataFrame) -> DataFrame:
+    """Per row of ``docs``: doc_id, n_shingles, component_id and kept."""
+    texts = texts_of(docs)
+    kind = texts.schema["doc_id"].dataType
+    found = _labelled(texts.withColumn("doc_id", F.col("doc_id").cast("long")))
+    return found.select(F.col("doc_id").cast(kind).alias("doc_id"), "n_shingles", F.col("component_id").cast(kind).alias("component_id")).withColumn(
+        "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False))
+    )
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The documents with the least doc_id of their component; all columns stay."""
-    kept = staged(with_components(docs).where("kept").select("doc_id").distinct(), "kept")
-    return shuffled_join(docs, kept, ["doc_id"], "left_semi").select(*[F.col(f"`{name}`") for name in docs.columns])
+    """The documents with the least doc_id of their component; all columns stay.
+
+    Of rows with one id and one set of shingles, one stays, and of rows with a null id whose set no document with an id
+    has. Different sets under one id stay, but for those that copy another document.
+    """
+    names = [F.col(f"`{name}`") for name in docs.columns]
+    hashed = F.xxhash64(*[F.col(f"`{x.name}`") for x in docs.schema.fields if "map<" not in x.dataType.simpleString()])
+    numbered = staged(docs.withColumns({"__draw": hashed, "__row": F.monotonically_increasing_id()}), "numbered")
+    texts = numbered.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), "__draw", "__row")
+    own = _labelled(texts).where("component_id is null or doc_id = component_id")
+    kept = own.groupBy("component_id", "s0", "s1").agg(F.min(F.struct("__draw", "__row")).alias("first")).select(F.col("first.__row").alias("__row"))
+    return shuffled_join(numbered, staged(kept, "kept"), ["__row"], "left_semi").select(*names)

@@ -202,6 +202,15 @@ def test_components_equal_brute_force(spark):
     assert {key: (len(sets[key]), find(key), find(key) == key) for key in keys} == {key: (r.n_shingles, r.component_id, r.kept) for key, r in got.items()}
 
 
+def test_one_of_each_judges_rows(spark):
+    alone, copied, unique, other = (" ".join(f"{name}{n}" for n in range(80)) for name in ("alone", "copied", "unique", "other"))
+    rows = [(None, alone), (None, alone), (None, copied), (3, copied), (5, copied), (5, unique), (7, other), (7, other), (8, other + " end")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("n_shingles", F.lit("clash"))
+    got = near_dedup.one_of_each(docs)
+    assert got.columns == docs.columns
+    assert sorted(((r.doc_id or 0), r.text) for r in got.collect()) == [(0, alone), (3, copied), (5, unique), (7, other)]
+
+
 def test_registers_merge_and_estimate():
     import numpy as np
 
