@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from geoferry.llm import decontamination, html_text, line_dedup, near_dedup, passages, personal_data, pieces, quality_rules, secret_scan, toxicity
+from geoferry.llm import clusters, context_trees, decontamination, html_text, line_dedup, near_dedup, passages, personal_data, pieces, quality_rules, secret_scan, toxicity, whitening
 from geoferry.llm.common import Query, table
 
 QUERIES: dict[str, Query] = {}
@@ -139,3 +139,51 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op9_passages")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.repeated_passages(table(spark, sf_dir, "documents"))
+
+
+@register("op11_context_trees")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return context_trees.language_scores(table(spark, sf_dir, "documents"))
+
+
+@register("op12_whitening")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
+def _clusters_sql(rounds: int = clusters.ROUNDS) -> str:
+    """The rounds one after the other, each a table of its own."""
+    parts = [
+        f"""
+    with kept as materialized (
+      select vec_id, list_transform(embedding, lambda x: cast(floor({clusters.SCALE} * cast(x as double)) as bigint)) q
+      from embeddings
+      where len(embedding) = {clusters.DIMENSIONS} and len(list_filter(embedding, lambda x: x is not null and isfinite(x))) = {clusters.DIMENSIONS}),
+    c0 as materialized (
+      select row_number() over (order by h, q) - 1 c, q
+      from (select sha256('{clusters.SEED}:' || coalesce(cast(vec_id as varchar), '')) h, q from kept order by h, q limit {clusters.CENTROIDS}))"""
+    ]
+    for n in range(rounds + 1):
+        parts.append(f"""
+    a{n} as materialized (
+      select vec_id, q, min(d * {clusters.CENTROIDS} + c) % {clusters.CENTROIDS} c, min(d * {clusters.CENTROIDS} + c) // {clusters.CENTROIDS} d
+      from (select k.vec_id, k.q, c.c, cast(list_sum(list_transform(list_zip(k.q, c.q), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) as bigint) d
+            from kept k, c{n} c)
+      group by vec_id, q)""")
+        if n < rounds:
+            parts.append(f"""
+    c{n + 1} as materialized (
+      select c.c, coalesce(m.q, c.q) q
+      from c{n} c left join (
+        select c, list((s - ((s % n + n) % n)) // n order by j) q
+        from (select c, j, cast(sum(x) as bigint) s, count(*) n from (select c, unnest(q) x, unnest(range(len(q))) j from a{n}) group by c, j)
+        group by c) m on m.c = c.c)""")
+    return ",".join(parts) + f"""
+    select a.vec_id, cast(a.c as int) cluster, a.d distance, cast(sum(a.d) over (partition by a.c) as bigint) cluster_inertia,
+           cast(sum(a.d) over () as bigint) inertia, sha256(array_to_string(c.q, ',')) centroid_sha256
+    from a{rounds} a join c{rounds} c on a.c = c.c"""
+
+
+@register("op13_centroids", _clusters_sql())
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clusters.clusters(table(spark, sf_dir, "embeddings"))
