@@ -20,11 +20,13 @@ def batch_subset(df: DataFrame, batch: str, value: Any) -> DataFrame:
     return df.where(quoted(batch).eqNullSafe(F.lit(value)))
 
 
-def batch_counts(df: DataFrame, batch: str | None, count: str = "n_rows") -> DataFrame:
-    """Rows per batch. Without a batch column, one row for the whole frame (none for an empty one)."""
+def batch_counts(df: DataFrame, batch: str | None, count: str = "n_rows", **more: Column) -> DataFrame:
+    """Rows per batch, and further aggregates under their names. Without a batch column, one row for the whole frame
+    (none for an empty one)."""
+    wanted = [F.count(F.lit(1)).alias(count), *[value.alias(name) for name, value in more.items()]]
     if batch is None:
-        return df.agg(F.count(F.lit(1)).alias(count)).where(F.col(count) > 0)
-    return df.groupBy(quoted(batch)).agg(F.count(F.lit(1)).alias(count))
+        return df.agg(*wanted).where(F.col(count) > 0)
+    return df.groupBy(quoted(batch)).agg(*wanted)
 
 
 def partition_key(batch: Column) -> Column:
@@ -41,13 +43,15 @@ def partition_key(batch: Column) -> Column:
 
 
 def pending_batches(
-    keys: DataFrame, log: DataFrame, batch: str, service: str, run_id: str | None = None
+    keys: DataFrame, log: DataFrame, batch: str, service: str, run_id: str | None = None, layer: str | None = None
 ) -> DataFrame:
-    """The batches of ``keys`` that the log does not show as a success for the service.
+    """The batches of ``keys`` that the log does not show as a success for the service, or for a layer of it.
 
     With a ``run_id`` only that run's entries count: what another run of the service wrote is not this one's.
     """
     log = log if run_id is None else log.where(F.col("run_id") == run_id)
+    if layer is not None or "layer_name" in log.columns:
+        log = log.where(F.col("layer_name").eqNullSafe(F.lit(layer)))
     done = (
         log.where((F.col("status") == "Success") & (F.col("target_svc_name") == service))
         .select(F.col("batch").alias("__done"))

@@ -1,34 +1,40 @@
 """Chunks: runs of at most N rows within a batch, numbered from 1.
 
-Which rows share a chunk follows from the row number within the batch. A batch that fits a task is
-numbered by a window. A batch that does not, or a frame without batches, is spread over range
+Which rows share a chunk follows from the row number within the batch. Rows and bytes are counted per batch first. A
+batch that fits a task is numbered by a window. A batch that does not, or a frame without batches, is spread over range
 partitions of about the same size, written once to the shared folder, and numbered by adding to each
 partition the rows its batch has in earlier partitions. Both give the same numbers.
+
+An input that is more than a scan of files is evaluated once: it is written first, and all that follows reads that.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
+from operator import add, and_
 
+from py4j.java_gateway import JavaObject
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from geoferry.fixed_values import MAX_CHUNK_ROWS
 from geoferry.functions.text import quoted
 from geoferry.operators.batches import batch_counts
 from geoferry.workspace import drop_staged, stage
 
-# One task may sort this many rows of one batch; a larger batch is spread.
-ROWS_PER_TASK = 5_000_000
-# Rows aimed at per partition.
-ROWS_PER_RANGE = 1_000_000
-# A list of at most this many short rows is broadcast; a longer one is joined by shuffle.
-BROADCAST_ROWS = 1_000_000
+# One task may sort this many rows and bytes of one batch; a larger batch is spread.
+ROWS_PER_TASK, BYTES_PER_TASK = 5_000_000, 1 << 30
+# Rows and bytes aimed at per partition; one of more than twice the bytes is split again.
+ROWS_PER_RANGE, BYTES_PER_RANGE = 1_000_000, 128 << 20
+
+_TIE, _SEQ, _BYTES, _POS, _PART, _OUTER = "__tie", "__seq", "__bytes", "__pos", "__part", "__outer"
 
-_TIE, _SEQ, _POS, _PART = "__tie", "__seq", "__pos", "__part"
+# Nodes of a plan whose rows cost no more than reading files again, and come in the same order each time.
+_CHEAP = {"Project", "Filter", "LogicalRelation", "Relation", "LocalRelation", "Range", "SubqueryAlias"}
 
 
 @dataclass
@@ -69,15 +75,56 @@ def _tie_break(df: DataFrame) -> Column:
     return F.xxhash64(*[hashable(name) for name in df.columns])
 
 
-def _small(df: DataFrame, rows: int) -> DataFrame:
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+def _nodes(plan: JavaObject) -> Iterator[JavaObject]:
+    yield plan
+    children = plan.children()
+    for place in range(children.size()):
+        yield from _nodes(children.apply(place))
+
+
+def _is_plain(df: DataFrame) -> bool:
+    """Whether the frame is files with columns and rows picked by plain expressions: no shuffle, Python or chance."""
+    plan = df._jdf.queryExecution().optimizedPlan()
+    return all(node.getClass().getSimpleName() in _CHEAP and node.deterministic() for node in _nodes(plan))
+
+
+_WIDTHS = {T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.FloatType: 4, T.DateType: 4, T.DecimalType: 16, T.NullType: 0}
+
+
+def _width(value: Column, kind: T.DataType) -> tuple[int, list[Column]]:
+    """Bytes of a value: a part that all values have, and parts that follow from the value."""
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return 4, [F.coalesce(F.octet_length(value), F.lit(0))]
+    if isinstance(kind, T.StructType):
+        parts = [_width(value.getField(field.name), field.dataType) for field in kind.fields]
+        return sum(fixed for fixed, _ in parts), [part for _, more in parts for part in more]
+    if isinstance(kind, T.ArrayType):
+        fixed, more = _width(F.lit(None).cast(kind.elementType), kind.elementType)
+        sizes = F.greatest(F.size(value), F.lit(0)) * fixed
+        if not more:
+            return 4, [sizes]
+        each = lambda total, item: total + reduce(add, _width(item, kind.elementType)[1]).cast("long")
+        return 4, [sizes, F.coalesce(F.aggregate(value, F.lit(0).cast("long"), each), F.lit(0))]
+    if isinstance(kind, T.MapType):
+        keys, values = (_width(F.map_keys(value), T.ArrayType(kind.keyType)), _width(F.map_values(value), T.ArrayType(kind.valueType)))
+        return keys[0] + values[0], keys[1] + values[1]
+    return _WIDTHS.get(type(kind), 8), []
+
+
+def row_bytes(df: DataFrame) -> Column:
+    """About how many bytes a row takes. Columns whose types have one size are not read for it."""
+    parts = [_width(quoted(field.name), field.dataType) for field in df.schema.fields]
+    return reduce(add, [part.cast("long") for _, more in parts for part in more], F.lit(sum(fixed for fixed, _ in parts)).cast("long"))
+
+
+def _n_ranges(rows: int, n_bytes: int) -> int:
+    return max(1, math.ceil(rows / ROWS_PER_RANGE), math.ceil(n_bytes / BYTES_PER_RANGE))
 
 
 def _number_by_window(
-    df: DataFrame, batch: str | None, order: list[Column], chunk_rows: int, chunk: str, rows: int
+    df: DataFrame, batch: str | None, order: list[Column], chunk_rows: int, chunk: str, n: int
 ) -> DataFrame:
     by = [quoted(batch)] if batch else [F.lit(0)]
-    n = math.ceil(rows / ROWS_PER_RANGE)
     if batch and n > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")):
         # More rows than the session's partitions are meant for.
         df = df.repartition(n, *by)
@@ -85,44 +132,69 @@ def _number_by_window(
     return df.withColumn(chunk, _chunk_number(F.row_number().over(window), chunk_rows))
 
 
-def _number_by_range(
-    df: DataFrame, batch: str | None, order: list[Column], chunk_rows: int, chunk: str, rows: int, n_batches: int
-) -> tuple[DataFrame, str]:
-    by = [quoted(batch)] if batch else []
-    keys = [*by, *order, F.col(_TIE)]
-    n = max(1, math.ceil(rows / ROWS_PER_RANGE))
-    # The position in an input partition splits even a large group of copies over several ranges. Sorting
-    # by the hash first makes it the same in a task that runs again, so no copy is lost or counted twice.
-    spread = (
-        df.sortWithinPartitions(_TIE)
-        .withColumn(_SEQ, F.monotonically_increasing_id())
-        .repartitionByRange(n, *keys, F.col(_SEQ))
+def _spread(rows: DataFrame, keys: list[Column], n: int) -> DataFrame:
+    """Range partitions of the rows, sorted, with each row's position and partition."""
+    return (
+        rows.repartitionByRange(n, *keys, F.col(_SEQ))
         .sortWithinPartitions(*keys, F.col(_SEQ))
-        .drop(_SEQ)
         .withColumn(_POS, F.monotonically_increasing_id())
         .withColumn(_PART, F.shiftright(_POS, 33))
     )
-    staged, path = stage(spread, "ranges")
+
+
+def _number_by_range(
+    df: DataFrame, batch: str | None, order: list[Column], chunk_rows: int, chunk: str, n: int, width: Column
+) -> tuple[DataFrame, list[str]]:
+    """The numbered rows, and the staged tables they are read from, the ranges last. ``df`` is plain or staged."""
+    by = [quoted(batch)] if batch else []
+    keys = [*by, *order, F.col(_TIE)]
+    # The position in the input splits even a large group of copies over several ranges. The input is files, so a
+    # row's position is the same in a task that runs again, and no copy is lost or counted twice.
+    rows = df.withColumns({_SEQ: F.monotonically_increasing_id(), _BYTES: width})
+    ranges, path = stage(_spread(rows, keys, n), "ranges")
+    paths = [path]
+
+    # Ranges hold about as many rows each. Where rows are much wider than elsewhere, they are cut again by bytes.
+    parts = ranges.groupBy(_PART).agg(F.sum(_BYTES).alias("__n_bytes"), F.count(F.lit(1)).alias("__n"))
+    is_wide = (F.col("__n_bytes") > 2 * BYTES_PER_RANGE) & (F.col("__n") > 1)
+    wide, wide_path = stage(parts.where(is_wide).select(F.col(_PART).alias(_OUTER), "__n_bytes"), "wide")
+    paths.insert(0, wide_path)
+    n_more = sum(math.ceil(row["__n_bytes"] / BYTES_PER_RANGE) for row in wide.select("__n_bytes").toLocalIterator())
+    columns = [quoted(name) for name in df.columns]
+    staged = ranges.select(*columns, F.col(_PART).alias(_OUTER), F.lit(0).cast("bigint").alias(_PART), _POS)
+    if n_more:
+        here = F.col(_PART) == F.col(_OUTER)
+        cut = ranges.join(wide.select(_OUTER), here).drop(_PART, _POS)
+        finer, finer_path = stage(_spread(cut, [F.col(_OUTER), *keys], n_more), "finer-ranges")
+        paths.insert(0, finer_path)
+        left = ranges.join(wide.select(_OUTER), here, "left_anti")
+        staged = left.select(*columns, F.col(_PART).alias(_OUTER), F.lit(-1).cast("bigint").alias(_PART), _POS).unionByName(
+            finer.select(*columns, _OUTER, _PART, _POS)
+        )
 
     # At most one row per range partition and batch: sorted ranges share no more than their ends.
-    group = [*by, F.col(_PART)]
-    runs = staged.groupBy(*group).agg(F.count(F.lit(1)).alias("__n"), F.min(_POS).alias("__first"))
-    earlier = Window.partitionBy(*(by or [F.lit(0)])).orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
+    runs = staged.groupBy(*by, _OUTER, _PART).agg(F.count(F.lit(1)).alias("__n"), F.min(_POS).alias("__first"))
+    earlier = Window.partitionBy(*(by or [F.lit(0)])).orderBy(_OUTER, _PART).rowsBetween(Window.unboundedPreceding, -1)
     base = F.coalesce(F.sum("__n").over(earlier), F.lit(0)) - F.col("__first")
-    offsets = runs.select(
-        F.col(_PART).alias("__run_part"),
-        base.alias("__base"),
-        *([quoted(batch).alias("__run_batch")] if batch else []),
+    of_run = [F.col(name).alias(f"__run{name}") for name in (_OUTER, _PART)]
+    offsets, offsets_path = stage(
+        runs.select(*of_run, base.alias("__base"), *([quoted(batch).alias("__run_batch")] if batch else [])), "offsets"
     )
-    same = F.col(_PART) == F.col("__run_part")
+    paths.insert(0, offsets_path)
+    same = [F.col(name) == F.col(f"__run{name}") for name in (_OUTER, _PART)]
     if batch:
-        same = same & quoted(batch).eqNullSafe(F.col("__run_batch"))
+        same.append(quoted(batch).eqNullSafe(F.col("__run_batch")))
+    # Being a written table, the offsets are of known size: Spark broadcasts them if that is small, and shuffles if not.
     numbered = (
-        staged.join(_small(offsets, n + n_batches), same)
+        staged.join(offsets, reduce(and_, same))
         .withColumn(chunk, _chunk_number(F.col("__base") + F.col(_POS) + 1, chunk_rows))
-        .drop(_POS, _PART, *offsets.columns)
+        .drop(_POS, _PART, _OUTER, *offsets.columns)
     )
-    return numbered, path
+    return numbered, paths
+
+
+def _storable(df: DataFrame) -> bool:
+    return not any(kind in df.schema.simpleString() for kind in ("void", "interval"))
 
 
 def chunk_rows_of(
@@ -132,30 +204,35 @@ def chunk_rows_of(
     order_by: Sequence[str | Column] = (),
     chunk: str = "chunk",
     rows_per_task: int = ROWS_PER_TASK,
+    bytes_per_task: int = BYTES_PER_TASK,
 ) -> Chunked:
     """Number the chunks, and keep the counts and staged tables at hand for a writer."""
     if chunk_rows < 1:
         raise ValueError("a chunk holds at least one row")
     order = [quoted(name) if isinstance(name, str) else name for name in order_by]
-    counts, counts_path = stage(batch_counts(df, batch), "counts")
-    large = counts.where(F.col("n_rows") > rows_per_task)
+    staged = []
+    if not _is_plain(df) and _storable(df):
+        df, path = stage(df, "rows")
+        staged.append(path)
+    width = row_bytes(df)
+    counts, path = stage(batch_counts(df, batch, n_bytes=F.sum(width)), "counts")
+    staged.append(path)
+    is_large = (F.col("n_rows") > rows_per_task) | (F.col("n_bytes") > bytes_per_task)
+    total = lambda name, which: F.coalesce(F.sum(F.when(which, F.col(name))), F.lit(0))
     sizes = counts.agg(
-        F.coalesce(F.sum("n_rows"), F.lit(0)).alias("total"),
-        F.coalesce(F.sum(F.when(F.col("n_rows") > rows_per_task, F.col("n_rows"))), F.lit(0)).alias("spread"),
-        F.count_if(F.col("n_rows") > rows_per_task).alias("n_large"),
-    ).first()
+        total("n_rows", is_large).alias("spread"), total("n_bytes", is_large).alias("spread_bytes"),
+        total("n_rows", ~is_large).alias("rest"), total("n_bytes", ~is_large).alias("rest_bytes"),
+    ).first()
     rows = df.withColumn(_TIE, _tie_break(df))
-    staged = [counts_path]
-    rest = sizes.total - sizes.spread
     small_rows, large_rows = (rows, None) if sizes.spread == 0 else (None, rows)
-    if sizes.spread and rest:
-        # No more large batches than total / rows_per_task.
-        wanted = _small(large.select(quoted(batch).alias("__large")), sizes.n_large)
+    if sizes.spread and sizes.rest:
+        wanted = counts.where(is_large).select(quoted(batch).alias("__large"))
         match = quoted(batch).eqNullSafe(F.col("__large"))
         small_rows, large_rows = rows.join(wanted, match, "left_anti"), rows.join(wanted, match, "left_semi")
     if large_rows is not None:
-        spread, path = _number_by_range(large_rows, batch, order, chunk_rows, chunk, sizes.spread, sizes.n_large)
-        staged.append(path)
+        n = _n_ranges(sizes.spread, sizes.spread_bytes)
+        spread, paths = _number_by_range(large_rows, batch, order, chunk_rows, chunk, n, width)
+        staged += paths
 
     def kept(part: DataFrame, batches: DataFrame | None) -> DataFrame:
         if batches is None:
@@ -166,12 +243,13 @@ def chunk_rows_of(
     def number(batches: DataFrame | None) -> DataFrame:
         parts = []
         if small_rows is not None:
-            parts.append(_number_by_window(kept(small_rows, batches), batch, order, chunk_rows, chunk, rest))
+            n = _n_ranges(sizes.rest, sizes.rest_bytes)
+            parts.append(_number_by_window(kept(small_rows, batches), batch, order, chunk_rows, chunk, n))
         if large_rows is not None:
             parts.append(kept(spread, batches))
         return reduce(DataFrame.unionByName, parts).select(*[quoted(name) for name in [*df.columns, chunk]])
 
-    return Chunked(number, counts, sizes.total, staged)
+    return Chunked(number, counts, sizes.spread + sizes.rest, staged)
 
 
 def assign_chunks(
@@ -181,12 +259,13 @@ def assign_chunks(
     order_by: Sequence[str | Column] = (),
     chunk: str = "chunk",
     rows_per_task: int = ROWS_PER_TASK,
+    bytes_per_task: int = BYTES_PER_TASK,
 ) -> DataFrame:
     """The frame with a chunk number per row.
 
     Rows are taken in the given order, copies of a row in any; without an order, in that of a row hash.
     """
-    return chunk_rows_of(df, chunk_rows, batch, order_by, chunk, rows_per_task).frame
+    return chunk_rows_of(df, chunk_rows, batch, order_by, chunk, rows_per_task, bytes_per_task).frame
 
 
 def chunk_manifest(df: DataFrame, chunk_rows: int = MAX_CHUNK_ROWS, batch: str | None = None) -> DataFrame:

@@ -20,10 +20,18 @@ def sizes(df, *by):
 
 
 @pytest.mark.parametrize("rows_per_task", [0, 20_000])
-@pytest.mark.parametrize("broadcast_rows", [0, 1_000_000])
-def test_ranges_give_the_numbers_of_a_window(tables, small_ranges, monkeypatch, rows_per_task, broadcast_rows):
+@pytest.mark.parametrize("broadcast_bytes", [-1, 10 << 20])
+def test_ranges_give_the_numbers_of_a_window(spark, tables, small_ranges, rows_per_task, broadcast_bytes):
     """All batches spread, or only the two above 20,000 rows."""
-    monkeypatch.setattr(chunks, "BROADCAST_ROWS", broadcast_rows)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast_bytes)
+    try:
+        _same_numbers(tables, rows_per_task)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def _same_numbers(tables, rows_per_task):
     lineitem = tables("lineitem").select(*ORDER, "l_returnflag")
     by_window = assign_chunks(lineitem, 777, "l_returnflag", ORDER)
     by_range = assign_chunks(lineitem, 777, "l_returnflag", ORDER, rows_per_task=rows_per_task)
@@ -136,3 +144,61 @@ def test_partitions_follow_the_rows(tables, monkeypatch):
     plan = plan_of(df)
     assert "hashpartitioning(l_suppkey" in plan and ", 20), REPARTITION_BY_NUM" in plan and plan.count("Exchange") == 1
     assert df.groupBy("l_suppkey", "chunk").count().agg(F.max("count")).first()[0] <= 500
+
+
+@pytest.mark.parametrize("rows_per_task, batch", [(0, "b"), (0, None), (100_000, "b")])
+def test_an_input_is_evaluated_once(spark, small_ranges, rows_per_task, batch):
+    """Python counts the rows it makes; numbering, and numbering some batches again, reads what was written once."""
+    made = spark.sparkContext.accumulator(0)
+
+    def make(frames):
+        for frame in frames:
+            made.add(len(frame))
+            yield frame.assign(b=frame.id % 3)
+
+    df = spark.range(6000).mapInPandas(make, "id long, b long")
+    chunked = chunks.chunk_rows_of(df, 500, batch, ["id"], rows_per_task=rows_per_task)
+    assert chunked.frame.count() == 6000
+    if batch:
+        assert chunked.only(spark.createDataFrame([(1,)], "b long")).count() == 2000
+        assert sizes(chunked.frame, "b", "chunk") == {(b, c): 500 for b in range(3) for c in range(1, 5)}
+    assert made.value == 6000
+    chunked.release()
+
+
+def test_no_range_is_beyond_the_bytes(spark, monkeypatch):
+    """A tenth of the rows hold nearly all bytes, in one stretch of the order; rows alone would leave them in few ranges."""
+    monkeypatch.setattr(chunks, "BYTES_PER_RANGE", 50_000)
+    df = spark.range(5000).select("id", F.repeat(F.lit("x"), F.when(F.col("id").between(2000, 2499), 4000).otherwise(4).cast("int")).alias("text"))
+    chunked = chunks.chunk_rows_of(df, 333, None, ["id"], bytes_per_task=100_000)
+    found = chunked.frame
+    assert found.where(F.col("chunk") != F.floor(F.col("id") / 333) + 1).count() == 0 and found.count() == 5000
+    finer = next(path for path in chunked.staged if "finer-ranges" in path)
+    parts = spark.read.parquet(finer).groupBy("__outer", "__part").agg(F.sum("__bytes").alias("n")).collect()
+    assert max(row.n for row in parts) < 2.5 * 50_000 and len(parts) > 20
+    ranges = spark.read.parquet(chunked.staged[-1]).groupBy("__part").agg(F.sum("__bytes").alias("n"))
+    split = {row["__outer"] for row in spark.read.parquet(finer).select("__outer").distinct().collect()}
+    assert {row["__part"] for row in ranges.where("n > 100000").collect()} == split
+
+
+def test_wide_rows_go_to_ranges_by_bytes(spark, monkeypatch):
+    monkeypatch.setattr(chunks, "BYTES_PER_RANGE", 20_000)
+    df = spark.range(200).select((F.col("id") % 2).alias("b"), "id", F.repeat(F.lit("y"), F.when(F.col("id") % 2 == 0, 1000).otherwise(1).cast("int")).alias("t"))
+    plan = plan_of(chunks.chunk_rows_of(df, 30, "b", ["id"], bytes_per_task=50_000).frame)
+    assert "Union" in plan and "Window" in plan  # batch 0 by ranges, batch 1 by a window
+    found = sizes(assign_chunks(df, 30, "b", ["id"], bytes_per_task=50_000), "b", "chunk")
+    assert found == {(b, c): n for b in (0, 1) for c, n in ((1, 30), (2, 30), (3, 30), (4, 10))}
+
+
+def test_bytes_of_rows(spark):
+    df = spark.sql("""
+        select 1 as i, 2L as l, 'abc' as s, cast(null as string) as n, array(1, 2) as a, array('x', 'yz') as t,
+               named_struct('p', 1.5D, 'q', 'é') as r, map('k', 5) as m, cast(null as array<string>) as o""")
+    assert df.select(chunks.row_bytes(df).alias("n")).first().n == 4 + 8 + (4 + 3) + 4 + (4 + 8) + (4 + 2 * 4 + 3) + (8 + 4 + 2) + (4 + 4 + 1 + 4 + 4) + 4
+
+
+def test_counting_reads_no_column_of_one_size(tables):
+    lineitem = tables("lineitem")
+    width = chunks.row_bytes(lineitem.select("l_orderkey", "l_extendedprice", "l_returnflag"))
+    plan = plan_of(lineitem.groupBy("l_returnflag").agg(F.sum(width)))
+    assert "ReadSchema: struct<l_returnflag:string>" in plan
