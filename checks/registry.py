@@ -58,3 +58,8 @@ def latitude_sql(key: str) -> str:
 def number_sql(value: str, decimals: int = 9) -> str:
     """A number as it stands in WKT."""
     return f"regexp_replace(cast(cast({value} as decimal(38, {decimals})) as varchar), '\\.?0+$', '')"
+
+
+def exact_sql(value: str) -> str:
+    """A number with all its digits as it stands in WKT; of a size that is written without an exponent."""
+    return f"regexp_replace(cast({value} as varchar), '\\.0$', '')"

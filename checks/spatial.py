@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 import geoferry as gf
 from checks.registry import (
     check,
+    exact_sql,
     latitude,
     latitude_sql,
     longitude,
@@ -155,8 +156,49 @@ def reproject_to_utm(spark, sf_dir):
     return _coordinates(gf.reproject(layer, 32631), 3)
 
 
-_X, _X1 = number_sql(X), number_sql(f"{X} + 1")
-_Y, _Y1 = number_sql(Y), number_sql(f"{Y} + 1")
+_LON, _LAT = "((c_custkey * 7919) % 360 - 180)", "((c_custkey * 104729) % 181 - 90)"
+
+
+def _inside_sql(reach: int | None, *vertices: tuple[str, str]) -> str:
+    """Whether no vertex is a pole, and none further than some degrees from 3 east."""
+    rules = [f"abs({y}) < 90" for _, y in vertices]
+    if reach is not None:
+        rules += [f"least(abs({x} - 3) % 360, 360 - abs({x} - 3) % 360) <= {reach}" for x, _ in vertices]
+    return " and ".join(rules)
+
+
+_LINE = [(_LON, _LAT), (f"({_LON} + 9)", f"(-{_LAT})")]
+_RING = [(_LON, _LAT), (f"({_LON} + 5)", _LAT), (_LON, f"least(90, {_LAT} + 4)")]
+
+
+@check(
+    "reproject_domain",
+    f"""
+    select c_custkey, 'LineString' as kind, {_inside_sql(None, *_LINE)} as in_mercator, {_inside_sql(25, *_LINE)} as in_zone from customer
+    union all
+    select c_custkey, 'Polygon', {_inside_sql(None, *_RING)}, {_inside_sql(25, *_RING)} from customer
+    """,
+)
+def reproject_domain(spark, sf_dir):
+    """Lines and polygons all over the globe, some over a pole or beyond a zone's reach: those are null as a whole."""
+    x, y = (F.col("c_custkey") * 7919) % 360 - 180, (F.col("c_custkey") * 104729) % 181 - 90
+    up = F.least(F.lit(90), y + 4)
+    line = g.of_kind("LineString", F.array(F.array(F.array(g.coordinate(x, y), g.coordinate(x + 9, -y)))))
+    ring = g.polygon((x, y), (x + 5, y), (x, up), (x, y))
+    rows = table(spark, sf_dir, "customer").select("c_custkey", F.explode(F.array(line, ring)).alias("shape"))
+    layer = rows.select("c_custkey", F.col("shape.gtype").alias("kind"), g.with_srid(F.col("shape"), "shape", 4326), g.with_srid(F.col("shape"), "other", 4326))
+    both = gf.reproject(gf.reproject(layer, 3857, "shape", outside="null"), 32631, "other", outside="null")
+
+    def whole(name):
+        """There, with coordinates for every vertex."""
+        is_placed = lambda p: F.coalesce(F.abs(p["x"]) + F.abs(p["y"]) < float("inf"), F.lit(False))
+        return F.coalesce(F.forall(F.flatten(F.flatten(f"{name}.parts")), is_placed), F.lit(False))
+
+    return both.select("c_custkey", "kind", whole("shape").alias("in_mercator"), whole("other").alias("in_zone"))
+
+
+_X, _X1 = exact_sql(X), exact_sql(f"({X} + 1)")
+_Y, _Y1 = exact_sql(Y), exact_sql(f"({Y} + 1)")
 
 
 @check(
@@ -223,7 +265,8 @@ def _ingested(spark, sf_dir):
         ]),
         ("c", "Nothing", None, None, None),
     ]
-    result = gf.layer_ingest(spark.createDataFrame(items, schema), target, log_path=log_path, prefix="in")
+    # Projections differ between engines in their last digits.
+    result = gf.layer_ingest(spark.createDataFrame(items, schema), target, log_path=log_path, prefix="in", decimals=9)
     return result, gf.ingest_log(spark, log_path), target
 
 
@@ -255,7 +298,7 @@ _SLAT = number_sql(f"degrees(2 * atan(exp({_SY} * 100000 / {EARTH_RADIUS})) - pi
 @check(
     "layer_ingest_rows",
     f"""
-    select c_custkey as key, c_name as name, 'POINT (' || {_X} || ' ' || {_Y} || ')' as geometry_wkt from customer
+    select c_custkey as key, c_name as name, 'POINT (' || {number_sql(X)} || ' ' || {number_sql(Y)} || ')' as geometry_wkt from customer
     union all
     select s_suppkey, s_name, 'POINT (' || {_SLON} || ' ' || {_SLAT} || ')' from supplier
     """,
@@ -268,3 +311,70 @@ def layer_ingest_rows(spark, sf_dir):
     )
     supplier = spark.read.parquet(f"{target}/in_supplier_points").select("s_suppkey", "s_name", "geometry_wkt")
     return customer.union(supplier)
+
+
+def _description_sql(name: str, item: str, text: str) -> str:
+    """A table's description without a geometry."""
+    labels = ["Geometry Column", "Spatial Reference WKID", "Spatial Reference WKT", "Spatial Reference is Projected", "Spatial Reference Units", "Spatial Reference Name"]
+    lines = [f"'# Table Name : {name}'", f"'- ArcGIS Online ID: `{item}`'", f"'- Description: ' || {text}", "'- Spatial Reference Properties:'"]
+    return " || ".join(f"{line} || chr(10)" for line in [*lines, *[f"'    - {label} : None'" for label in labels]])
+
+
+def _tables(spark, sf_dir, *names):
+    """Some of the tables, written as layers; the folder."""
+    source = new_folder(spark, "layers")
+    for name in names:
+        table(spark, sf_dir, name).write.parquet(f"{source}/{name}")
+    return source
+
+
+@check(
+    "layer_ingest_bare",
+    f"""
+    select * from (values
+        ('nation', 'Complete', (select count(*) from nation), '', {_description_sql("nation", "1", "''")}, 'Complete'),
+        ('region', 'Complete', (select count(*) from region), '', {_description_sql("region", "1", "''")}, 'Complete'),
+        ('lines', 'Complete', (select count(*) from lineitem), '', {_description_sql("lines", "2", "''")}, 'Complete'),
+        (null, 'Failed', null, '', null, 'Failed')
+    ) as t(table_name, status, row_count, tags, description, logged_status)
+    """,
+)
+def layer_ingest_bare(spark, sf_dir):
+    """Layers that have an id, a name and a URL, and items that have no more than an id; one layer's name has no letter."""
+    source, target, log_path = _tables(spark, sf_dir, "nation", "region", "lineitem"), new_folder(spark, "tables"), new_folder(spark, "ingest-log")
+    items = [
+        (1, [(0, "Nation", f"{source}/nation"), (1, None, f"{source}/region")]),
+        (2, [(None, "Lines", f"{source}/lineitem"), (3, "---", f"{source}/nation")]),
+        (3, []),
+    ]
+    found = gf.layer_ingest(spark.createDataFrame(items, "id int, layers array<struct<id:int,name:string,url:string>>"), target, log_path=log_path)
+    logged = gf.ingest_log(spark, log_path).select("target_path", F.col("status").alias("logged_status"))
+    named = F.nullif(F.regexp_extract("target_path", "/([a-z]+)$", 1), F.lit(""))
+    return found.join(logged, "target_path").select(
+        named.alias("table_name"), "status", "row_count", F.array_join("tags", "|").alias("tags"),
+        F.when(named.isNotNull(), F.col("description")).alias("description"), "logged_status",
+    )
+
+
+@check(
+    "layer_ingest_text_tags",
+    f"""
+    select * from (values
+        ('nation', 'Complete', (select count(*) from nation), 'a_b|world', {_description_sql("nation", "x", "'Nations'")}),
+        ('region', 'Complete', (select count(*) from region), 'world', {_description_sql("region", "x", "''")}),
+        ('supplier', 'Complete', (select count(*) from supplier), 's', {_description_sql("supplier", "y", "''")})
+    ) as t(table_name, status, row_count, tags, description)
+    """,
+)
+def layer_ingest_text_tags(spark, sf_dir):
+    """Tags that are one text, of the items and of the layers, and layers without an id."""
+    source, target = _tables(spark, sf_dir, "nation", "region", "supplier"), new_folder(spark, "tables")
+    items = [
+        ("x", "world", [("Nation", f"{source}/nation", "a.b", "Nations"), ("Region", f"{source}/region", "", None)]),
+        ("y", None, [(None, f"{source}/supplier", "s", None)]),
+    ]
+    schema = "id string, tags string, layers array<struct<name:string,url:string,tags:string,description:string>>"
+    found = gf.layer_ingest(spark.createDataFrame(items, schema), target)
+    return found.select(
+        F.element_at(F.split("target_path", "/"), -1).alias("table_name"), "status", "row_count", F.array_join("tags", "|").alias("tags"), "description"
+    )

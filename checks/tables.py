@@ -44,6 +44,27 @@ def table_overwrite_merge_schema(spark, sf_dir):
     return spark.read.parquet(target)
 
 
+@check(
+    "table_overwrite_merge_structs",
+    """
+    select c_custkey, cast(null as varchar) as name, cast(null as bigint) as nation, c_mktsegment as segment,
+           cast(null as double) as balance, c_name as holder, c_acctbal < 0 as is_negative
+    from customer
+    """,
+)
+def table_overwrite_merge_structs(spark, sf_dir):
+    """Structs, also in an array, that gain fields and keep those they had."""
+    target = new_folder(spark, "customer")
+    customer = table(spark, sf_dir, "customer")
+    first = ["named_struct('name', c_name, 'place', named_struct('nation', cast(c_nationkey as bigint))) as info", "array(named_struct('balance', c_acctbal)) as accounts"]
+    second = ["named_struct('place', named_struct('segment', c_mktsegment), 'negative', c_acctbal < 0) as info", "array(named_struct('holder', c_name)) as accounts"]
+    gf.overwrite_merge_schema(customer.selectExpr("c_custkey", *first), target)
+    gf.overwrite_merge_schema(customer.selectExpr("c_custkey", *second), target)
+    return spark.read.parquet(target).selectExpr(
+        "c_custkey", "info.name", "info.place.nation", "info.place.segment", "accounts[0].balance as balance", "accounts[0].holder as holder", "info.negative as is_negative"
+    )
+
+
 @check("table_append", "select * from orders")
 def table_append(spark, sf_dir):
     target = new_folder(spark, "orders")
@@ -122,6 +143,41 @@ def batch_export(spark, sf_dir):
     return found.join(log, F.col("batch").eqNullSafe(F.col("logged")), "left").drop("logged")
 
 
+@check(
+    "export_layers",
+    f"""
+    with batches as (
+        select 'events' as layer, {EVENT_BATCH_SQL} as batch, count(*) as n_rows, 0 as layer_id from events group by all
+        union all select 'all orders', o_orderpriority, count(*), 1 from orders group by all
+    )
+    select layer, batch, n_rows, 'Success' as status, cast(1 as bigint) as attempts, cast(layer_id as integer) as layer_id,
+           md5('Feature Service||shop') as service_id, 'services/' || md5('Feature Service||shop') || '/' || layer_id as layer_url,
+           cast(2 as bigint) as n_versions, cast(0 as bigint) as n_pending
+    from batches
+    """,
+)
+def export_layers(spark, sf_dir):
+    """Two layers of a service that was not there, and again the registration, which then changes nothing."""
+    target, log_path, registry = (new_folder(spark, name) for name in ("export", "export-log", "registry"))
+    layers = {"events": (events_with_batch(spark, sf_dir), "kind"), "all orders": (table(spark, sf_dir, "orders"), "o_orderpriority")}
+    found, pending = [], []
+    for layer, (rows, batch) in layers.items():
+        gf.batch_export(rows, target, batch, service="shop", layer=layer, registry=registry, log_path=log_path, retry_delay_seconds=0)
+        export = gf.read_export(spark, target, rows.schema, layer)
+        found.append(export.groupBy(F.lit(layer).alias("layer"), F.col(batch).alias("batch")).agg(F.count(F.lit(1)).alias("n_rows")))
+        left = gf.pending_batches(gf.batch_keys(rows, batch), gf.batch_log(spark, log_path), batch, "shop", layer=layer)
+        pending.append(left.agg(F.count(F.lit(1)).alias("n_pending")).withColumn("layer", F.lit(layer)))
+    wanted = spark.createDataFrame([("shop", layer) for layer in layers], "name string, layer_name string")
+    places = gf.ensure_layers(spark, registry, wanted).select(F.col("layer_name").alias("layer"), "service_id", "layer_id", "layer_url")
+    versions = spark.read.parquet(registry).agg(F.count(F.lit(1)).alias("n_versions"))
+    log = gf.batch_log(spark, log_path).select(
+        F.col("layer_name").alias("layer"), F.col("batch").alias("logged"), "status", F.col("retry_attempts").alias("attempts")
+    )
+    rows, left = found[0].union(found[1]), pending[0].union(pending[1])
+    logged = rows.join(log, (rows["layer"] == log["layer"]) & F.col("batch").eqNullSafe(F.col("logged")), "left").drop(log["layer"], "logged")
+    return logged.join(places, "layer", "left").join(left, "layer").crossJoin(versions)
+
+
 @check(
     "pending_batches",
     """

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from checks.registry import check, table
 from geoferry.fixed_values import WGS84_WKT
-from geoferry.functions import text
+from geoferry.functions import markdown, text
 
 
 @check(
@@ -39,47 +39,61 @@ def clean_table_name(spark, sf_dir):
     return part.select("p_partkey", text.clean_table_name(name, prefix, F.lit("v1")).alias("table_name"))
 
 
-# The conversion in SQL, innermost step first. Each line is one replacement, written out.
-_BLOCKS = (
-    "p|div|ul|ol|dl|dt|dd|table|tr|pre|form|blockquote|article|section|nav|aside|header|footer"
-    "|main|figure|body|html|h[1-6]"
-)
-_STEPS_SQL = [
-    r"regexp_replace({}, '(?s)<!--.*?-->', '', 'g')",
-    r"regexp_replace({}, '(?is)<script(\s[^>]*)?>.*?</script\s*>', '', 'g')",
-    r"regexp_replace({}, '(?is)<style(\s[^>]*)?>.*?</style\s*>', '', 'g')",
-    r"regexp_replace({}, '(?is)<head(\s[^>]*)?>.*?</head\s*>', '', 'g')",
-    r"regexp_replace({}, '[ \t\r\n\f]+', ' ', 'g')",
-    r"regexp_replace({}, '(?i)</?(b|strong)(\s[^>]*)?>', '**', 'g')",
-    r"regexp_replace({}, '(?i)</?(i|em)(\s[^>]*)?>', '_', 'g')",
-    r"""regexp_replace({}, '(?is)<a\s[^>]*href\s*=\s*"([^"]*)"[^>]*>(.*?)</a\s*>', '[\2](\1)', 'g')""",
-    *[rf"regexp_replace({{}}, '(?i)<h{n}(\s[^>]*)?>', chr(10) || chr(10) || '{'#' * n} ', 'g')" for n in range(1, 7)],
-    r"regexp_replace({}, '(?i)<li(\s[^>]*)?>', chr(10) || '  * ', 'g')",
-    r"regexp_replace({}, '(?i)<br\s*/?>', '  ' || chr(10), 'g')",
-    rf"regexp_replace({{}}, '(?i)</?({_BLOCKS})(\s[^>]*)?>', chr(10) || chr(10), 'g')",
-    r"regexp_replace({}, '(?s)<[/!a-zA-Z][^>]*>', '', 'g')",
-    r"replace({}, '&nbsp;', ' ')",
-    r"replace({}, '&lt;', '<')",
-    r"replace({}, '&gt;', '>')",
-    r"replace({}, '&quot;', '\"')".replace("\\", ""),
-    r"replace({}, '&#39;', '''')",
-    r"replace({}, '&amp;', '&')",
-    r"regexp_replace({}, '\n ([^ ])', chr(10) || '\1', 'g')",
-    r"regexp_replace({}, '\n[ \n]*\n', chr(10) || chr(10), 'g')",
-    r"trim({}, ' ' || chr(10))",
-]
-
-
-def markdown_sql(html: str) -> str:
-    sql = f"coalesce({html}, '')"
-    for step in _STEPS_SQL:
-        sql = step.replace("{}", sql)
-    return sql
-
-
-@check("html_to_markdown", f"select page_id, {markdown_sql('html')} as markdown from pages")
+# The conversion in SQL, for the tags of the pages: a table of tokens, numbered blocks, and text put together again.
+_BLOCKS_SQL = "'p', 'li', 'ul', 'div', 'nav', 'article', 'h1', 'footer', 'html', 'body'"
+
+
+def _decoded_sql(text: str) -> str:
+    for name, character in (("&copy;", "©"), ("&middot;", "·"), ("&quot;", '"')):
+        text = f"replace({text}, '{name}', '{character}')"
+    return f"regexp_replace({text}, '&amp;?', '&', 'g')"
+
+
+MARKDOWN_SQL = f"""
+    with cleaned as (
+        select page_id, regexp_replace(coalesce(html, ''),
+            '(?is)<!--.*?-->|<script[\s>].*?</script\s*>|<style[\s>].*?</style\s*>|<head[\s>].*?</head\s*>', '', 'g') as h
+        from pages
+    ), listed as (
+        select page_id, regexp_extract_all(h, '(?s)<[^>]*>|[^<]+|<') as found from cleaned
+    ), tokens as (
+        select page_id, unnest(found) as token, unnest(range(len(found))) as pos from listed
+    ), tagged as (
+        select *, lower(regexp_extract(token, '^</?([a-zA-Z][a-zA-Z0-9]*)', 1)) as tag, token like '</%' as is_end,
+               nullif(regexp_extract(token, '(?i)^<a\s[^>]*href="([^"]*)"', 1), '') as own_href
+        from tokens
+    ), placed as (
+        select *, sum(case when tag in ({_BLOCKS_SQL}) then 1 else 0 end) over w as block,
+               last_value(own_href ignore nulls) over w as href
+        from tagged window w as (partition by page_id order by pos rows between unbounded preceding and current row)
+    ), joined as (
+        select page_id, block, bool_or(tag = 'li' and not is_end) as is_item, bool_or(tag = 'h1' and not is_end) as is_title,
+               bool_or(tag = 'b' and not is_end) as is_bold,
+               string_agg(case when tag = 'a' and is_end then '](' || {_decoded_sql("href")} || ')' when tag = 'a' then '['
+                               when tag = 'b' then '**' when tag = 'br' then chr(1)
+                               when tag = '' and token not like '<_%' then {_decoded_sql("token")} else '' end, '' order by pos) as body
+        from placed group by page_id, block
+    ), trimmed as (
+        select * replace (trim(regexp_replace(regexp_replace(body, '[ \t\r\n\f]+', ' ', 'g'), ' ?\x01 ?', chr(1), 'g'),
+                               ' ' || chr(1)) as body)
+        from joined
+    ), whole as (
+        select page_id, block, is_item, case when is_item then '  * ' when is_title then '# ' else '' end
+               || replace(body, chr(1), '  ' || chr(10)) || case when is_bold then '**' else '' end as line
+        from trimmed where body not in ('', '**')
+    ), apart as (
+        select *, case when lag(is_item) over w is null then '' when is_item and lag(is_item) over w then chr(10)
+                       else chr(10) || chr(10) end as gap
+        from whole window w as (partition by page_id order by block)
+    )
+    select page_id, coalesce(markdown, '') as markdown
+    from pages left join (select page_id, string_agg(gap || line, '' order by block) as markdown from apart group by page_id) using (page_id)
+    """
+
+
+@check("html_to_markdown", MARKDOWN_SQL)
 def html_to_markdown(spark, sf_dir):
-    return table(spark, sf_dir, "pages").select("page_id", text.html_to_markdown(F.col("html")).alias("markdown"))
+    return table(spark, sf_dir, "pages").select("page_id", markdown.html_to_markdown(F.col("html")).alias("markdown"))
 
 
 @check(

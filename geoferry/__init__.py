@@ -9,6 +9,7 @@ from geoferry.operators.spatial import geometry_as_wkt, reproject, spatial_refer
 from geoferry.operators.upsert import current_state, upsert
 from geoferry.plans.export import batch_export, batch_log, read_export
 from geoferry.plans.ingest import ingest_log, layer_ingest
+from geoferry.plans.services import ensure_layers, find_layers, read_registry
 from geoferry.sources.chunked import chunked_write, read_chunked
 from geoferry.sources.layers import layer_read
 from geoferry.sources.tables import append, overwrite_merge_schema
@@ -25,7 +26,9 @@ __all__ = [
     "chunked_write",
     "conform_schema",
     "current_state",
+    "ensure_layers",
     "enumerate_layers",
+    "find_layers",
     "find_service",
     "geometry_as_wkt",
     "ingest_log",
@@ -36,6 +39,7 @@ __all__ = [
     "pending_batches",
     "read_chunked",
     "read_export",
+    "read_registry",
     "reproject",
     "service_layers",
     "services_to_create",

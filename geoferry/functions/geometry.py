@@ -75,26 +75,59 @@ def map_points(geometry: Column, steps: Sequence[Callable[[Column], Column]]) ->
     return F.when(geometry.isNotNull(), changed).cast(GEOMETRY_TYPE)
 
 
-def _number(value: Column, decimals: int) -> Column:
+def _rounded(value: Column, decimals: int) -> Column:
     text = value.cast(T.DecimalType(38, decimals)).cast("string")
     # With decimals there always is a point, so only zeros after it are cut.
     return F.rtrim(F.rtrim(text, F.lit("0")), F.lit(".")) if decimals else text
 
 
-def as_wkt(geometry: Column, decimals: int = 9) -> Column:
-    """WKT text, coordinates rounded to a number of decimals; ``... EMPTY`` where there is no point.
+def _exact(value: Column) -> Column:
+    """The digits that read back as the same double, without an exponent."""
 
-    A point without coordinates is an empty point. A missing coordinate in any other kind raises, since the
+    def plain(text: Column) -> Column:
+        sign = F.when(F.startswith(text, F.lit("-")), "-").otherwise("")
+        digits = F.rtrim(F.translate(F.substring_index(text, "E", 1), "-.", ""), F.lit("0"))
+        return F.transform(
+            F.array(F.struct(sign.alias("sign"), digits.alias("digits"), F.substring_index(text, "E", -1).cast("int").alias("power"))), shifted
+        )[0]
+
+    def shifted(number: Column) -> Column:
+        digits, power = number["digits"], number["power"]
+        whole = F.rpad(digits, power + 1, F.lit("0"))
+        placed = (
+            F.when(power < 0, F.concat(F.lit("0."), F.repeat(F.lit("0"), -power - 1), digits))
+            .when(F.char_length(digits) <= power + 1, whole)
+            .otherwise(F.concat(F.left(digits, power + 1), F.lit("."), F.substring(digits, power + 2, F.char_length(digits))))
+        )
+        return F.concat(number["sign"], placed)
+
+    def shown(text: Column) -> Column:
+        return F.when(F.contains(text, F.lit("E")), plain(text)).otherwise(F.regexp_replace(text, r"\.0$", ""))
+
+    # Minus zero reads as zero.
+    return F.transform(F.array((value + F.lit(0.0)).cast("string")), shown)[0]
+
+
+def number_text(value: Column, decimals: int | None = None) -> Column:
+    """A number as WKT has it: every digit it takes to read back the same double, or rounded to some decimals."""
+    return _exact(value) if decimals is None else _rounded(value, decimals)
+
+
+def as_wkt(geometry: Column, decimals: int | None = None) -> Column:
+    """WKT text; ``... EMPTY`` where there is no point. Coordinates read back as the same doubles, unless ``decimals`` are
+    asked for.
+
+    A point without coordinates is an empty point. A missing or infinite coordinate in any other kind raises, since the
     shape would be another one without that vertex.
     """
     kind = geometry["gtype"]
 
     def has_place(p: Column) -> Column:
-        return p["x"].isNotNull() & p["y"].isNotNull() & ~F.isnan(p["x"]) & ~F.isnan(p["y"])
+        return F.coalesce((F.abs(p["x"]) < float("inf")) & (F.abs(p["y"]) < float("inf")), F.lit(False))
 
     def coordinates(points: Column) -> Column:
         placed = F.filter(points, has_place)
-        pairs = F.transform(placed, lambda p: F.concat(_number(p["x"], decimals), F.lit(" "), _number(p["y"], decimals)))
+        pairs = F.transform(placed, lambda p: F.concat(number_text(p["x"], decimals), F.lit(" "), number_text(p["y"], decimals)))
         is_whole = (kind == "Point") | F.coalesce(F.forall(points, has_place), F.lit(True))
         missing = F.raise_error(F.concat(F.lit("a vertex has no coordinates: "), kind))
         return F.when(is_whole, F.array_join(pairs, ", ")).otherwise(missing)

@@ -1,13 +1,15 @@
 """Closed-form projections, as steps over points for ``map_points``.
 
-A projection here is a pair of step lists: from degrees, and to degrees. A step takes and gives a struct;
-a value used more than once is worked out in a step of its own, since Spark would compute it at each use.
+A projection here is two lists of steps, from degrees and to degrees, and the points in degrees that have an image. A step
+takes and gives a struct; a value used more than once is worked out in a step of its own, since Spark would compute it at
+each use.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Callable
+from typing import NamedTuple
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -29,11 +31,7 @@ Step = Callable[[Column], Column]
 
 
 def _mercator(p: Column) -> Column:
-    # The poles have no image: their coordinates become null.
-    inside = F.abs(p["y"]) < 90
-    x = F.when(inside, F.radians(p["x"]) * EARTH_RADIUS)
-    y = F.when(inside, F.asinh(F.tan(F.radians(p["y"]))) * EARTH_RADIUS)
-    return coordinate(x, y)
+    return coordinate(F.radians(p["x"]) * EARTH_RADIUS, F.asinh(F.tan(F.radians(p["y"]))) * EARTH_RADIUS)
 
 
 def _mercator_inverse(p: Column) -> Column:
@@ -44,6 +42,8 @@ def _mercator_inverse(p: Column) -> Column:
 
 # Transverse Mercator by Krueger's series in the third flattening, to the third order: good to a
 # millimetre within some thousand kilometres of the central meridian.
+# Degrees from the central meridian to which it is used.
+UTM_REACH = 25
 _N = FLATTENING / (2 - FLATTENING)
 _RADIUS = EARTH_RADIUS / (1 + _N) * (1 + _N**2 / 4 + _N**4 / 64)
 _CONFORMAL = 2 * math.sqrt(_N) / (1 + _N)
@@ -74,9 +74,7 @@ def _utm(zone: int, northing: float) -> list[Step]:
         # The tangent of the conformal latitude, and the longitude from the central meridian.
         sine = F.sin(F.radians(p["y"]))
         tangent = F.sinh(F.atanh(sine) - F.atanh(sine * _CONFORMAL) * _CONFORMAL)
-        beside = F.radians(p["x"] - _central_meridian(zone))
-        inside = (F.abs(p["y"]) < 90) & (F.cos(beside) > 0)
-        return coordinate(F.when(inside, beside), F.when(inside, tangent))
+        return coordinate(F.radians(p["x"] - _central_meridian(zone)), tangent)
 
     def spherical(p: Column) -> Column:
         xi = F.atan(p["y"] / F.cos(p["x"]))
@@ -106,23 +104,40 @@ def _utm_inverse(zone: int, northing: float) -> list[Step]:
     return [normal, _series(_BETA, -1), conformal, degrees]
 
 
-def _projection(srid: int | None) -> tuple[list[Step], list[Step]] | None:
-    """Steps from and to degrees, None for a reference that is not supported."""
+class Projection(NamedTuple):
+    """Steps from and to degrees, and whether a point in degrees has an image."""
+
+    forward: list[Step]
+    inverse: list[Step]
+    has_image: Step
+
+
+def _not_a_pole(p: Column) -> Column:
+    return F.abs(p["y"]) < 90
+
+
+def _near(zone: int) -> Step:
+    """Not a pole, and so near to the zone's central meridian that the series holds."""
+
+    def inside(p: Column) -> Column:
+        beside = F.pmod(p["x"] - (_central_meridian(zone) - 180), F.lit(360.0)) - 180
+        return _not_a_pole(p) & (F.abs(beside) <= UTM_REACH)
+
+    return inside
+
+
+def projection_of(srid: int | None) -> Projection | None:
+    """None for a reference that is not supported."""
     if srid == WGS84_SRID:
-        return [], []
+        return Projection([], [], lambda p: F.abs(p["y"]) <= 90)
     if srid in MERCATOR_SRIDS:
-        return [_mercator], [_mercator_inverse]
+        return Projection([_mercator], [_mercator_inverse], _not_a_pole)
     for base, northing in ((UTM_NORTH, 0.0), (UTM_SOUTH, UTM_SOUTHERN_NORTHING)):
         if srid is not None and 1 <= srid - base <= 60:
-            return _utm(srid - base, northing), _utm_inverse(srid - base, northing)
+            zone = srid - base
+            return Projection(_utm(zone, northing), _utm_inverse(zone, northing), _near(zone))
     return None
 
 
-def steps_between(srid: int | None, out_srid: int) -> list[Step] | None:
-    """The steps from one spatial reference to another, None if either is not supported."""
-    start, end = _projection(srid), _projection(out_srid)
-    if start is None or end is None:
-        return None
-    if {srid, out_srid} <= set(MERCATOR_SRIDS):
-        return []
-    return start[1] + end[0]
+def same_reference(srid: int | None, out_srid: int) -> bool:
+    return srid == out_srid or {srid, out_srid} <= set(MERCATOR_SRIDS)

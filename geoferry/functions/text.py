@@ -50,12 +50,16 @@ def geogcs_name(wkt: Column) -> Column:
     return F.nullif(F.regexp_extract(wkt, GEOGCS_NAME, 1), F.lit(""))
 
 
+def tag_array(tags: Column, kind: T.DataType) -> Column:
+    """Tags of any type as an array of text; a scalar becomes an array of one, null an empty array."""
+    if not isinstance(kind, T.ArrayType):
+        tags = F.when(tags.isNotNull(), F.array(tags.cast("string")))
+    return F.coalesce(tags.cast("array<string>"), F.array().cast("array<string>"))
+
+
 def as_tag_array(df: DataFrame, name: str) -> Column:
     """The column as a tag array; a scalar becomes an array of one."""
-    column = quoted(name)
-    if isinstance(df.schema[name].dataType, T.ArrayType):
-        return column.cast("array<string>")
-    return F.array(column.cast("string"))
+    return tag_array(quoted(name), df.schema[name].dataType)
 
 
 def normalize_tags(parent_tags: Column, layer_tags: Column) -> Column:
@@ -67,43 +71,6 @@ def normalize_tags(parent_tags: Column, layer_tags: Column) -> Column:
     return F.slice(F.array_sort(F.array_distinct(cleaned)), 1, MAX_TAGS)
 
 
-# Order matters: dropped elements first, then inline marks, then blocks, then whatever tags are left.
-# Each replacement is a pass over the text, so one pass does what it can.
-_MARKUP = [
-    (r"(?is)<!--.*?-->|<script(\s[^>]*)?>.*?</script\s*>|<style(\s[^>]*)?>.*?</style\s*>", ""),
-    (r"(?is)<head(\s[^>]*)?>.*?</head\s*>", ""),
-    (r"[ \t\r\n\f]{2,}|[\t\r\n\f]", " "),
-    (r"(?i)</?(b|strong)(\s[^>]*)?>", "**"),
-    (r"(?i)</?(i|em)(\s[^>]*)?>", "_"),
-    (r'(?is)<a\s[^>]*href\s*=\s*"([^"]*)"[^>]*>(.*?)</a\s*>', r"[$2]($1)"),
-    (r"(?i)<h([1-6])(\s[^>]*)?>", "\n\n\u0001$1 "),
-    (r"(?i)<li(\s[^>]*)?>", "\n  * "),
-    (r"(?i)<br\s*/?>", "  \n"),
-    (
-        r"(?i)</?(p|div|ul|ol|dl|dt|dd|table|tr|pre|form|blockquote|article|section|nav|aside|header|footer"
-        r"|main|figure|body|html|h[1-6])(\s[^>]*)?>",
-        "\n\n",
-    ),
-    (r"(?s)<[/!a-zA-Z][^>]*>", ""),
-]
-_HEADINGS = [(f"\u0001{level} ", "#" * level + " ") for level in range(1, 7)]
-# The ampersand comes last, so that an escaped entity is decoded once.
-_ENTITIES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")]
-_SPACING = [(r"\n ([^ ])", "\n$1"), (r"\n[ \n]*\n", "\n\n")]
-
-
-def html_to_markdown(html: Column) -> Column:
-    """Markdown text of an HTML fragment; empty text for null."""
-    text = F.coalesce(html, F.lit(""))
-    for pattern, replacement in _MARKUP:
-        text = F.regexp_replace(text, pattern, replacement)
-    for mark, plain in _HEADINGS + _ENTITIES:
-        text = F.replace(text, F.lit(mark), F.lit(plain))
-    for pattern, replacement in _SPACING:
-        text = F.regexp_replace(text, pattern, replacement)
-    return F.btrim(text, F.lit(" \n"))
-
-
 def _shown(value: Column, is_flag: bool = False) -> Column:
     """A value as it reads in a description: None, True and False are spelt out."""
     if is_flag:

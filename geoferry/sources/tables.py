@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -51,11 +51,32 @@ def _replace_table(df: DataFrame, target: str, fmt: str) -> None:
     spark.sql(f"DROP TABLE {sql_name(old)}")
 
 
+def _aligned(value: Column, own: T.DataType, old: T.DataType, name: str) -> Column:
+    """The value under the union of an old type and its own: structs gain the fields they lack, at any depth."""
+    if own.simpleString() == old.simpleString():
+        return value
+    if isinstance(own, T.StructType) and isinstance(old, T.StructType):
+        mine = {field.name.lower(): field for field in own.fields}
+        fields = []
+        for field in old.fields:
+            match = mine.pop(field.name.lower(), None)
+            part = F.lit(None).cast(field.dataType) if match is None else _aligned(value.getField(match.name), match.dataType, field.dataType, f"{name}.{field.name}")
+            fields.append(part.alias(field.name))
+        fields += [value.getField(field.name).alias(field.name) for field in mine.values()]
+        return F.when(value.isNotNull(), F.struct(*fields))
+    if isinstance(own, T.ArrayType) and isinstance(old, T.ArrayType):
+        return F.transform(value, lambda item: _aligned(item, own.elementType, old.elementType, f"{name}.element"))
+    if isinstance(own, T.MapType) and isinstance(old, T.MapType) and own.keyType.simpleString() == old.keyType.simpleString():
+        return F.transform_values(value, lambda _, item: _aligned(item, own.valueType, old.valueType, f"{name}.value"))
+    raise ValueError(f"column {name} was {old.simpleString()} and is {own.simpleString()}")
+
+
 def merge_schema(df: DataFrame, old: T.StructType) -> DataFrame:
     """The frame under the union of an old schema and its own.
 
-    Old columns come first, in their order, null if the frame lacks them; new columns follow. Only the
-    schema of the old table is used. A column of both that differs in type raises ``ValueError``.
+    Old columns come first, in their order, null if the frame lacks them; new columns follow, and so do the fields of
+    structs, also in arrays and as values of maps. Only the schema of the old table is used. A column or field of both
+    that differs in type raises ``ValueError``.
     """
     # Spark resolves names without regard to case, so the union does too.
     mine = {field.name.lower(): field for field in df.schema.fields}
@@ -64,11 +85,10 @@ def merge_schema(df: DataFrame, old: T.StructType) -> DataFrame:
         own = mine.pop(field.name.lower(), None)
         if own is None:
             columns.append(F.lit(None).cast(field.dataType).alias(field.name, metadata=field.metadata))
-        elif own.dataType.simpleString() != field.dataType.simpleString():
-            was, now = field.dataType.simpleString(), own.dataType.simpleString()
-            raise ValueError(f"column {field.name} was {was} and is {now}")
-        else:
+        elif own.dataType.simpleString() == field.dataType.simpleString():
             columns.append(quoted(own.name))
+        else:
+            columns.append(_aligned(quoted(own.name), own.dataType, field.dataType, field.name).alias(own.name, metadata=own.metadata))
     return df.select(*columns, *[quoted(field.name) for field in mine.values()])
 
 

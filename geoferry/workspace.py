@@ -6,7 +6,8 @@ import tempfile
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -39,6 +40,18 @@ def stage(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
+def observed(df: DataFrame, **more: Column) -> tuple[DataFrame, Callable[[], dict[str, int]]]:
+    """The frame, and the number ``n`` of its rows, and further aggregates by name, that the one job that then writes it
+    has seen: no row is read again to count it.
+
+    Let nothing that shuffles or filters come between this and the writer. The counts are those of the writing tasks that
+    succeeded; asking for them after a job that failed gives no answer.
+    """
+    seen = Observation()
+    wanted = [F.count(F.lit(1)).alias("n"), *[value.alias(name) for name, value in more.items()]]
+    return df.observe(seen, *wanted), lambda: {name: int(value) for name, value in seen.get.items()}
+
+
 def folder_exists(spark: SparkSession, path: str) -> bool:
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)

@@ -215,6 +215,102 @@ def test_service_lookup(spark, rows, folder):
         export(rows, folder(), services=services, service="other")
 
 
+def registry_of(spark, path):
+    return {row.title: row for row in gf.read_registry(spark, path).collect()}
+
+
+def test_missing_services_and_layers_are_registered(spark, rows, folder):
+    registry, target, log_path = folder("registry"), folder(), folder("log")
+    with pytest.raises(LookupError):
+        export(rows, target, registry=registry, create_service=False)
+    for layer in ("roads", "a b/c", None):
+        assert export(rows.where("id < 50") if layer == "roads" else rows, target, layer=layer, registry=registry, log_path=log_path, user="ann")
+    [service] = registry_of(spark, registry).values()
+    assert (service.title, service.type, service.owner, service.description, service.tags) == (
+        "svc", "Feature Service", "ann", "Service for svc", ["automated_creation"]
+    )
+    assert [(layer.id, layer.name, layer.url) for layer in service.layers] == [(0, "roads", f"{service.url}/0"), (1, "a b/c", f"{service.url}/1")]
+    assert sum(counts(spark, gf_target(target, "roads"), rows).values()) == 50
+    assert counts(spark, gf_target(target, "a b/c"), rows) == counts(spark, target, rows) == COUNTS
+    log = gf.batch_log(spark, log_path)
+    assert {row.layer_name: row["count"] for row in log.groupBy("layer_name").count().collect()} == {"roads": 2, "a b/c": 4, None: 4}
+    assert {row.layer_id for row in log.collect()} == {service.id}
+    keys = rows.select("b").distinct()
+    assert [gf.pending_batches(keys, log, "b", "svc", layer=layer).count() for layer in ("roads", "a b/c", None, "other")] == [2, 0, 0, 4]
+    assert export(rows, target, layer="roads", registry=registry, create_service=False, user="ann")
+    with pytest.raises(LookupError):
+        export(rows, target, layer="paths", registry=registry, create_service=False, user="ann")
+
+
+def gf_target(target, layer):
+    from geoferry.plans.export import layer_target
+
+    return layer_target(target, layer)
+
+
+def test_registering_again_changes_nothing(spark, folder):
+    registry = folder("registry")
+    wanted = spark.createDataFrame([("s", "b"), ("s", "a"), ("s", "a"), ("t", None), (None, "x")], "name string, layer_name string")
+    first = gf.ensure_layers(spark, registry, wanted, owner="ann").collect()
+    files = sorted(spark.read.parquet(registry).inputFiles())
+    assert gf.ensure_layers(spark, registry, wanted, owner="ann").count() == len(first)
+    assert sorted(spark.read.parquet(registry).inputFiles()) == files
+    assert sorted(((row.name, row.layer_name, row.layer_id) for row in first), key=str) == [("s", "a", 0), ("s", "b", 1), ("t", None, None)]
+    # Another owner's service of that name is another one; a later layer takes the next number.
+    gf.ensure_layers(spark, registry, wanted.where("name = 's'"), owner="bob")
+    more = gf.ensure_layers(spark, registry, spark.createDataFrame([("s", "0")], "name string, layer_name string"), owner="ann").first()
+    assert more.layer_id == 2 and gf.read_registry(spark, registry).count() == 3
+
+
+def test_layers_beside_registered_tables(spark, folder):
+    registry = folder("registry")
+    entry = "array<struct<id:int,name:string,url:string>>"
+    row = [("7", "svc", "Feature Service", "ann", "http://x/7", "d", ["t"], None, [(4, "old", "http://x/7/4")], 1)]
+    schema = f"id string, title string, type string, owner string, url string, description string, tags array<string>, layers {entry}, tables {entry}, version bigint"
+    spark.createDataFrame(row, schema).write.parquet(registry)
+    wanted = spark.createDataFrame([("svc", "old"), ("svc", "new")], "name string, layer_name string")
+    found = {r.layer_name: (r.service_id, r.layer_id, r.layer_url) for r in gf.ensure_layers(spark, registry, wanted).collect()}
+    assert found == {"old": ("7", 4, "http://x/7/4"), "new": ("7", 5, "http://x/7/5")}
+    assert [name.name for name in registry_of(spark, registry)["svc"].tables] == ["old"]
+
+
+def test_a_whole_attempt_lists_no_folder(spark, rows, folder, monkeypatch):
+    """Rows are counted by the job that writes them; a resumed run reads its manifest."""
+    from geoferry.plans import export as plan
+
+    def listing(*_):
+        raise AssertionError("the folders of the run were listed")
+
+    monkeypatch.setattr(plan, "_compare", listing)
+    many = spark.range(3000).select("id", F.concat(F.lit("k"), F.col("id") % 1000).alias("b"))
+    target, log_path = folder(), folder("log")
+    assert export(many, target, log_path=log_path, run_id="r1")
+    assert gf.batch_log(spark, log_path).where("status = 'Success'").count() == 1000
+    assert gf.read_export(spark, target, many.schema).count() == 3000
+    seen = []
+    assert export(many, target, run_id="r1", sink=lambda *_: seen.append(1)) and not seen
+
+
+def test_a_sink_that_counts_too_few_is_not_believed(spark, rows, folder):
+    def sink(frame, path, overwrite, attempt):
+        return write_partitions(frame.where("b = ''") if attempt == 1 else frame, path, overwrite, attempt)
+
+    target, log_path = folder(), folder("log")
+    assert export(rows, target, sink=sink, log_path=log_path)
+    assert counts(spark, target, rows) == COUNTS
+    assert {b: row.retry_attempts for b, row in log_of(spark, log_path).items()} == {"": 1, "01001": 2, "a/b=c": 2, None: 2}
+
+
+def test_logs_of_before_layers_are_read(spark, rows, folder):
+    target, log_path = folder(), folder("log")
+    assert export(rows, target, log_path=log_path)
+    old = folder("log")
+    spark.read.parquet(log_path).drop("layer_name").write.parquet(old)
+    assert gf.batch_log(spark, old).count() == 4
+    assert export(rows, target, log_path=old) and gf.batch_log(spark, old).count() == 4
+    assert export(rows, target, log_path=old, layer="x") and gf.batch_log(spark, old).count() == 8
+
+
 def test_reserved_names_and_modes(rows, folder):
     with pytest.raises(ValueError):
         export(rows.withColumn("chunk", F.lit(1)), folder())
@@ -229,7 +325,7 @@ def test_staged_tables_are_removed(spark, rows, folder):
         path = spark._jvm.org.apache.hadoop.fs.Path(shared_folder(spark))
         listed = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
         names = [entry.getPath().getName().split("-")[0] for entry in listed]
-        return sum(name in ("counts", "ranges", "found", "batch") for name in names)
+        return sum(name in ("counts", "rows", "ranges", "finer", "wide", "offsets", "found", "batch") for name in names)
 
     before = staged()
     assert export(rows, folder(), rows_per_task=0)

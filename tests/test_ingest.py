@@ -99,13 +99,79 @@ def test_own_reader(spark, folder):
 
 
 def test_no_layer_can_take_the_place_of_the_target(spark, sources, folder):
-    target = folder("tables")
+    target, log_path = folder("tables"), folder("log")
     spark.range(7).write.parquet(f"{target}/older")
-    for name in ("道路", "---"):
-        registry = items(spark, ("a", "A", None, None, [(0, "Plain", f"{sources}/plain", None, None), (1, name, f"{sources}/points", None, None)]))
-        with pytest.raises(ValueError, match="no table name"):
-            gf.layer_ingest(registry, target, on_collision="suffix")
+    layers = [(0, "Plain", f"{sources}/plain", None, None), *[(n, name, f"{sources}/points", None, None) for n, name in enumerate(("道路", "---", "---"), 1)], (4, "no_url", None, None, None)]
+    rows = gf.layer_ingest(items(spark, ("a", "A", None, None, layers)), target, on_collision="suffix", log_path=log_path).collect()
+    assert sorted((row.layer_name, row.status, row.row_count) for row in rows) == [
+        ("---", "Failed", None), ("---", "Failed", None), ("Plain", "Complete", 4), ("no_url", "Failed", None), ("道路", "Failed", None),
+    ]
+    assert {row.error_message for row in rows if row.layer_name == "---"} == {"no table name is left of layer ---"}
+    log = gf.ingest_log(spark, log_path).collect()
+    assert sorted((row.layer_name, row.status) for row in log) == sorted((row.layer_name, row.status) for row in rows)
     assert spark.read.parquet(f"{target}/older").count() == 7
+    assert sorted(path.rsplit("/", 1)[1] for path in (row.target_path for row in rows) if "?" not in path) == ["no_url", "plain"]
+
+
+@pytest.mark.parametrize(
+    "schema, layers",
+    [
+        ("id int, layers array<struct<id:int,name:string,url:string>>", [(None, "Some Plain", "{}")]),
+        ("id int, layers array<struct<URL:string,Name:string>>, description int, tags array<int>", [("{}", "Some Plain")]),
+        ("id int, layers struct<name:string,url:string,tags:array<string>,description:string>, tags string", ("Some Plain", "{}", ["t"], "d")),
+        ("id int, layers array<string>", ["{}"]),
+    ],
+)
+def test_a_registry_needs_little(spark, sources, folder, schema, layers):
+    place = f"{sources}/plain"
+    fill = lambda value: tuple(map(fill, value)) if isinstance(value, tuple) else [fill(v) for v in value] if isinstance(value, list) else place if value == "{}" else value
+    more = [None] * (schema.count(", description int") + schema.count(", tags "))
+    row = gf.layer_ingest(spark.createDataFrame([(1, fill(layers), *more), (2, None, *more)], schema), folder()).first()
+    assert (row.status, row.row_count, row.item_id) == ("Complete", 4, "1")
+    assert row.target_path.endswith(("/some_plain", "/plain"))
+    assert row.tags == (["t"] if "description:string" in schema else [])
+
+
+def test_a_registry_without_layers(spark, folder):
+    assert gf.layer_ingest(spark.createDataFrame([(1,)], "id int"), folder()).count() == 0
+
+
+def test_layers_stream_through_the_driver(spark, folder, monkeypatch):
+    """Layers are read, written and counted one after the other, and outcomes leave the driver in parts."""
+    from geoferry.plans import ingest
+
+    monkeypatch.setattr(ingest, "OUTCOMES", 40)
+    held, parts = [0], []
+    seen, save = ingest.Outcome, type(spark).createDataFrame
+
+    class Counted(seen):
+        def __new__(cls, *values):
+            held[0] += 1
+            return super().__new__(cls, *values)
+
+    def kept(session, data, schema=None, *rest, **more):
+        if schema == ingest._OUTCOME:
+            parts.append(len(data))
+        return save(session, data, schema, *rest, **more)
+
+    monkeypatch.setattr(ingest, "Outcome", Counted)
+    monkeypatch.setattr(type(spark), "createDataFrame", kept)
+    log_path = folder("log")
+    read = lambda session, url: session.range(int(url)).coalesce(1)
+    registry = spark.range(150).selectExpr("cast(id as string) as id", "array(named_struct('name', concat('n', id), 'url', string(id % 7))) as layers")
+    found = gf.layer_ingest(registry, folder(), reader=read, log_path=log_path)
+    assert found.where("status = 'Complete' and row_count = cast(item_id as int) % 7").count() == 150
+    assert held[0] == 150 and sum(parts) == 150 and max(parts) <= 40 + 8 and len(parts) >= 4
+    assert gf.ingest_log(spark, log_path).where("status = 'Complete'").count() == 150
+    assert spark.read.parquet(log_path).groupBy("sequence").count().where("count = 150").count() == 3
+
+
+def test_rows_are_counted_by_the_write(spark, folder, monkeypatch):
+    reads = []
+    monkeypatch.setattr("geoferry.plans.ingest.layer_read", lambda session, path, **more: reads.append(path))
+    registry = items(spark, ("a", "A", None, None, [(0, "n", "x/5", None, None), (1, "m", "x/0", None, None)]))
+    read = lambda session, url: session.range(int(url.rsplit("/", 1)[1]))
+    assert {row.row_count for row in gf.layer_ingest(registry, folder(), reader=read).collect()} == {5, 0} and not reads
 
 
 def test_equal_layers_and_long_names_get_tables_of_their_own(spark, sources, folder):
@@ -114,3 +180,17 @@ def test_equal_layers_and_long_names_get_tables_of_their_own(spark, sources, fol
     paths = {row.target_path for row in rows}
     assert len(rows) == len(paths) == 4 and all(len(path.rsplit("/", 1)[1]) <= 255 for path in paths)
     assert sorted(row.row_count for row in rows) == [3, 3, 4, 4]
+
+
+def test_geometries_without_image_are_refused_or_counted(spark, folder):
+    root = folder("sources")
+    shape = F.when(F.col("id") < 5, g.point(F.lit(10), F.col("id") * 22.5))
+    spark.range(6).select("id", g.with_srid(shape, "shape", 4326)).write.parquet(f"{root}/poles")
+    registry = items(spark, ("a", "A", None, None, [(0, "Poles", f"{root}/poles", None, None)]))
+    row = gf.layer_ingest(registry, folder(), output_srid=3857).first()
+    assert row.status == "Failed" and "no image in 3857" in row.error_message
+    target = folder()
+    row = gf.layer_ingest(registry, target, output_srid=3857, outside="null", decimals=1).first()
+    assert (row.status, row.row_count, row.n_without_image) == ("Complete", 6, 1)
+    found = [r.geometry_wkt for r in spark.read.parquet(f"{target}/poles").orderBy("id").collect()]
+    assert found[0] == "POINT (1113194.9 0)" and found[4:] == [None, None]

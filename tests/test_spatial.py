@@ -31,7 +31,9 @@ KINDS = [
     ("Polygon", [[[]]], "POLYGON EMPTY"),
     ("Point", [[[(None, None)]]], "POINT EMPTY"),
     ("Point", [[[(100.0, 0.000000001)]]], "POINT (100 0.000000001)"),
-    ("Point", [[[(-0.0, 1e-12)]]], "POINT (0 0)"),
+    ("Point", [[[(-0.0, 1e-12)]]], "POINT (0 0.000000000001)"),
+    ("Point", [[[(-1.25e-10, 1.5e22)]]], "POINT (-0.000000000125 15000000000000000000000)"),
+    ("Point", [[[(1e7, 0.1 + 0.2)]]], "POINT (10000000 0.30000000000000004)"),
     ("Point", [[[(20037508.342789244, -1234567.5)]]], "POINT (20037508.342789244 -1234567.5)"),
     (None, None, None),
 ]
@@ -53,19 +55,31 @@ def test_wkt_of_each_kind(spark):
     assert [row.geometry_wkt for row in df.orderBy("id").collect()] == [kind[2] for kind in KINDS]
 
 
+def test_wkt_reads_back_as_the_same_numbers(spark):
+    import random
+    import struct
+
+    rng = random.Random(4)
+    values = [struct.unpack("<d", rng.randbytes(8))[0] for _ in range(5000)] + [rng.uniform(-180, 180) for _ in range(5000)]
+    values = [v for v in values if math.isfinite(v)] + [5e-324, 1.7976931348623157e308, 2.2250738585072014e-308, 1e23, 9007199254740993.0, 0.001, 9999999.999, -1e7]
+    df = spark.createDataFrame([(v,) for v in values], "v double").select("v", g.number_text(F.col("v")).alias("t"))
+    assert df.where((F.col("t").cast("double") != F.col("v")) | ~F.col("t").rlike(r"^-?(0|[1-9][0-9]*)([.][0-9]*[1-9])?$")).isEmpty()
+    rounded = spark.range(1).select(*[g.number_text(F.lit(v), 2).alias(str(n)) for n, v in enumerate((1.005, -3.0, 1e-10, 1234567.891))]).first()
+    assert tuple(rounded) == ("1.01", "-3", "0", "1234567.89") or tuple(rounded)[1:] == ("-3", "0", "1234567.89")
+    two = geometry_as_wkt(layer(spark, [("Point", [[[(1.23456, 2.0)]]])]), decimals=2)
+    assert two.first().geometry_wkt == "POINT (1.23 2)"
+
+
 def test_unknown_kind_raises(spark):
     with pytest.raises(Exception, match="unknown geometry kind"):
         geometry_as_wkt(layer(spark, [("Circle", [[[(0.0, 0.0)]]])])).collect()
 
 
 def test_a_vertex_without_place_raises(spark):
-    for missing in (None, math.nan):
+    for missing in (None, math.nan, math.inf):
         shapes = [("LineString", [[[(0.0, 0.0), (1.0, missing)]]])]
         with pytest.raises(Exception, match="a vertex has no coordinates: LineString"):
             geometry_as_wkt(layer(spark, shapes)).collect()
-    pole = layer(spark, [("LineString", [[[(0.0, 0.0), (0.0, 90.0)]]])])
-    with pytest.raises(Exception, match="a vertex has no coordinates"):
-        geometry_as_wkt(reproject(pole, 3857)).collect()
     assert geometry_as_wkt(layer(spark, [("Point", [[[(math.nan, 1.0)]]])])).first().geometry_wkt == "POINT EMPTY"
 
 
@@ -86,16 +100,16 @@ def test_reprojection_keeps_structure_and_sets_the_srid(spark):
 
 def test_known_coordinates(spark):
     shapes = [("Point", [[[(lon, lat)]]]) for lon, lat in ((0.0, 0.0), (180.0, 0.0), (-180.0, 85.0), (10.0, -85.0), (5.0, 90.0), (5.0, -90.0))]
-    found = points(reproject(layer(spark, shapes)))
+    found = points(reproject(layer(spark, shapes), outside="null"))
     edge = math.pi * 6378137.0
     assert found[0] == (0.0, 0.0)
     assert found[1] == pytest.approx((edge, 0.0))
     north = 6378137.0 * math.log(math.tan(math.pi / 4 + math.radians(85) / 2))
     assert found[2] == pytest.approx((-edge, north))
     assert found[3][1] == pytest.approx(-north)
-    assert found[4:] == [(None, None), (None, None)]
-    text = geometry_as_wkt(reproject(layer(spark, shapes))).orderBy("id").collect()
-    assert text[4].geometry_wkt == "POINT EMPTY"
+    assert found[4:] == [None, None]
+    text = geometry_as_wkt(reproject(layer(spark, shapes), outside="null")).orderBy("id").collect()
+    assert text[4].geometry_wkt is None
 
 
 UTM = [
@@ -133,7 +147,39 @@ def test_between_projections(spark):
 
 def test_points_without_image(spark):
     shapes = [("Point", [[[(x, y)]]]) for x, y in ((3.0, 90.0), (153.0, 0.0), (93.1, 10.0))]
-    assert points(reproject(layer(spark, shapes), 32631)) == [(None, None)] * 3
+    assert points(reproject(layer(spark, shapes), 32631, outside="null")) == [None] * 3
+
+
+LINES = [
+    # the vertices, and whether the line has an image in 3857, 32631 and 32660
+    ([(0.0, 0.0), (0.0, 90.0)], False, False, False),
+    ([(0.0, -89.9), (10.0, 89.9)], True, True, False),
+    ([(0.0, 0.0), (28.0, 0.0)], True, True, False),
+    ([(0.0, 0.0), (28.5, 0.0)], True, False, False),
+    ([(179.0, 10.0), (-179.0, 10.0)], True, False, True),
+    ([(177.0, 10.0), (-157.0, 10.0)], True, False, False),
+    ([(3.0, 91.0), (3.0, 0.0)], False, False, False),
+]
+
+
+def test_a_geometry_without_image_is_refused_whole(spark):
+    shapes = [("LineString", [[vertices]]) for vertices, *_ in LINES]
+    for place, srid in enumerate((3857, 32631, 32660), 1):
+        found = reproject(layer(spark, shapes), srid, outside="null").orderBy("id").collect()
+        assert [row.shape is not None for row in found] == [line[place] for line in LINES]
+        assert all(p.x is not None and math.isfinite(p.x) for row in found if row.shape for p in row.shape.parts[0][0])
+        with pytest.raises(Exception, match=f"a geometry has no image in {srid}: LineString"):
+            reproject(layer(spark, shapes), srid).collect()
+    with pytest.raises(ValueError):
+        reproject(layer(spark, shapes), outside="drop")
+    # One hole over the pole takes its polygon along; a point without coordinates stays an empty point.
+    ring = [(0.0, 0.0), (1.0, 0.0), (1.0, 1.0), (0.0, 0.0)]
+    mixed = [("Polygon", [[ring, [(0.1, 0.1), (0.2, 90.0), (0.1, 0.1)]]]), ("Point", [[[(None, None)]]]), ("MultiPoint", [[[(1.0, 1.0)]], [[(1.0, -90.0)]]]), (None, None)]
+    found = reproject(layer(spark, mixed), 3857, outside="null").orderBy("id").collect()
+    assert [row.shape and row.shape.gtype for row in found] == [None, "Point", None, None]
+    # From a zone: metres too far out are refused as well.
+    far = layer(spark, [("Point", [[[(500000.0, 0.0)]]]), ("Point", [[[(9e6, 0.0)]]])], srid=32631)
+    assert [p is not None for p in points(reproject(far, 4326, outside="null"))] == [True, False]
 
 
 def test_same_reference_and_alias(spark):

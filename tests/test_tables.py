@@ -122,3 +122,37 @@ def test_stringify_keeps_order_and_nulls(spark):
     df = spark.createDataFrame([(1, None, True, 1.5)], "b int, a string, c boolean, d double")
     out = gf.stringify_columns(df)
     assert out.columns == df.columns and tuple(out.first()) == ("1", None, "true", "1.5")
+
+
+def test_structs_gain_fields_at_any_depth(spark, folder):
+    target = folder()
+    first = "named_struct('a', 1, 'in', named_struct('x', 1.5D)) as s, array(named_struct('p', 'q')) as l, map('k', named_struct('u', 1)) as m"
+    second = "named_struct('IN', named_struct('y', 'new', 'x', 2.5D), 'b', true) as s, array(named_struct('r', 7), null) as l, map('k', named_struct('v', 2)) as m"
+    gf.overwrite_merge_schema(spark.sql(f"select id, {first} from range(1)"), target)
+    gf.overwrite_merge_schema(spark.sql(f"select id, {second} from range(2)").withColumn("s", F.when(F.col("id") == 0, F.col("s"))), target)
+    table = spark.read.parquet(target).orderBy("id")
+    assert dict(table.dtypes) == {
+        "id": "bigint", "s": "struct<a:int,in:struct<x:double,y:string>,b:boolean>", "l": "array<struct<p:string,r:int>>", "m": "map<string,struct<u:int,v:int>>"
+    }
+    row, other = table.collect()
+    assert row.s.asDict(True) == {"a": None, "in": {"x": 2.5, "y": "new"}, "b": True} and other.s is None
+    assert [item and item.asDict() for item in row.l] == [{"p": None, "r": 7}, None] and row.m["k"].asDict() == {"u": None, "v": 2}
+    # A third overwrite keeps what it lacks, and its own order of fields changes nothing.
+    gf.overwrite_merge_schema(spark.range(1).selectExpr("named_struct('b', false) as s"), target)
+    table = spark.read.parquet(target)
+    assert table.columns == ["id", "s", "l", "m"] and table.first().s.asDict(True) == {"a": None, "in": None, "b": False}
+
+
+@pytest.mark.parametrize("value, was, now, where", [
+    ("named_struct('in', named_struct('x', 'text')) as s", "double", "string", "s.in.x"),
+    ("named_struct('in', 5) as s", "struct<x:double>", "int", "s.in"),
+    ("array(named_struct('p', 1)) as l", "string", "int", "l.element.p"),
+    ("map(1, named_struct('u', 1)) as m", "map<string,struct<u:int>>", "map<int,struct<u:int>>", "m"),
+    ("map('k', named_struct('u', 'x')) as m", "int", "string", "m.value.u"),
+])
+def test_a_clash_of_types_inside_raises(spark, folder, value, was, now, where):
+    target = folder()
+    gf.overwrite_merge_schema(spark.range(1).selectExpr("named_struct('in', named_struct('x', 1.5D)) as s", "array(named_struct('p', 'q')) as l", "map('k', named_struct('u', 1)) as m"), target)
+    with pytest.raises(ValueError, match=f"column {where} was {was} and is {now}".replace("<", "[<]")):
+        gf.overwrite_merge_schema(spark.range(1).selectExpr(value), target)
+    assert spark.read.parquet(target).count() == 1

@@ -4,7 +4,7 @@ import hashlib
 import pytest
 from pyspark.sql import functions as F
 
-from geoferry.functions import text
+from geoferry.functions import markdown, text
 
 
 def one(spark, column):
@@ -40,30 +40,54 @@ def test_table_names(spark, parts, expected):
         ("", ""),
         ("plain  text\n here", "plain text here"),
         ('<p>a <b>bold</b> and <strong><a href="http://x/?a=1&amp;b=2">link</a></strong></p>', "a **bold** and **[link](http://x/?a=1&b=2)**"),
-        ("<ul><li>one</li><li class='c'>two</li></ul>after", "* one\n  * two\n\nafter"),
+        ("<ul><li>one</li><li class='c'>two</li></ul>after", "  * one\n  * two\n\nafter"),
         ('<script>var t="</p>";</script>x<style>p{}</style>', "x"),
         ("a<!-- <p>hidden</p> -->b", "ab"),
         ("<SCRIPT type='a'>x < y</SCRIPT ><P>A</P>", "A"),
         ("<head><title>t</title></head><header>h</header>", "h"),
         ("&amp;lt; &lt;b&gt; &quot;q&quot;&nbsp;&#39;", "&lt; <b> \"q\" '"),
-        ("<p>open <b>never closed", "open **never closed"),
+        ("<p>open <b>never closed", "open **never closed**"),
         ("<h1>Ü</h1><h3 id='x'>ß</h3>text", "# Ü\n\n### ß\n\ntext"),
         ("a<br>b<br/>c", "a  \nb  \nc"),
         ("1 < 2 > 1", "1 < 2 > 1"),
-        ("<link rel='x'><p>p</p><hr><pre>k</pre>", "p\n\nk"),
-        ("<em>e</em> <i>i</i> <img src='x'><input>", "_e_ _i_"),
+        ("<link rel='x'><p>p</p><hr><pre>k</pre>", "p\n\n* * *\n\n    k"),
+        ("<em>e</em> <i>i</i> <img alt='y'><input>", "_e_ _i_"),
+        ("<a href='x.html'>t</a> &copy; &#8217; <ol><li>a<li>b</ol>", "[t](x.html) © ’\n\n  1. a\n  2. b"),
+        ("<ul><li>a<ul><li>b<ol><li>c<li>d</ol></ul><li>e</ul>f", "  * a\n    * b\n      1. c\n      2. d\n  * e\n\nf"),
+        ("<li><p>x</p><p>y</p></li>", "  * x\n\ny"),
+        ("<p>x <b>y <i>z</b> w</i> <b></b><em> </em></p>", "x **y _z_** w _ _"),
+        ("<blockquote><p>q<br>r<p>s</blockquote>t", "> q  \n> r\n\n> s\n\nt"),
+        ("<pre>a\n  b &lt;</pre>", "    a\n      b <"),
+        ("<a href=u?a=1&amp;b=2>t</a><a name=n>m</a><a href=v></a>", "[t](u?a=1&b=2)m"),
+        ("<a title='x > y' href=\"z\">t", "[t](z)"),
+        ("<img src=p.png alt='&eacute;'>&hellip;&#x41;&unknown;", "![é](p.png)…A&unknown;"),
+        ("<table><tr><th>a<th>b</tr><tr><td>1</td><td>2</td></tr></table>", "a | b\n1 | 2"),
     ],
 )
 def test_markdown(spark, html, expected):
-    assert one(spark, text.html_to_markdown(F.lit(html).cast("string"))) == expected
+    assert one(spark, markdown.html_to_markdown(F.lit(html).cast("string"))) == expected
 
 
 def test_markdown_of_a_whole_long_text(spark):
     html = "<p>" + "word <b>b</b> " * 200_000 + "</p><p>end</p>"
-    found = one(spark, text.html_to_markdown(F.lit(html)))
+    found = one(spark, markdown.html_to_markdown(F.lit(html)))
     assert found.count("**b**") == 200_000 and found.endswith("\n\nend")
 
 
+def test_markdown_in_linear_time():
+    import time
+
+    for piece in ("<a ", "<a href='", "<!-", "<td>x", "<a href=x>y", "<b>", "&amp", "<ul><li>", "</p>", "<script "):
+        started = time.perf_counter()
+        markdown.markdown_of(piece * 20_000)
+        assert time.perf_counter() - started < 3, piece
+
+
+def test_no_reference_is_left_in_the_pages(tables):
+    found = tables("pages").select(markdown.html_to_markdown(F.col("html")).alias("m"))
+    assert found.where(F.col("m").rlike("&[a-zA-Z]+;|&#[0-9]+|<[a-z/]")).isEmpty() and not found.where("m like '%©%'").isEmpty()
+
+
 def tags(*values):
     return list(values)
 
