@@ -68,40 +68,80 @@ def _u64(value: int) -> np.uint64:
 
 def laid_out(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Texts as the model reads them, each behind ``DEPTH`` end marks that are its first context; where each begins."""
-    space = _SPACE[data]
-    word = ~space
+    word = ~_SPACE[data]
     first = np.zeros(len(data) + 1, bool)
     first[starts] = True
-    after = np.empty(len(data), bool)  # the next byte is a word's, in the same text
-    after[:-1] = word[1:] & ~first[1:-1]
-    after[-1:] = False
-    words_so_far = np.concatenate(([0], np.cumsum(word)))
-    place = np.flatnonzero(word | after)
-    text = np.searchsorted(starts, place, "right") - 1
-    begun = words_so_far[place] > words_so_far[starts[text]]  # a gap before the first word is none
-    keep = word[place] | begun
-    place, text = place[keep], text[keep]
-    n = np.bincount(text, minlength=len(starts) - 1)[: len(starts) - 1]
+    keep = word.copy()
+    keep[:-1] |= word[1:] & ~first[1:-1]  # a space stays if the next byte is a word's, in the same text
+    # ... but for those before the first word.
+    words_so_far = np.concatenate(([0], np.cumsum(word, dtype=np.int64)))
+    leading = np.searchsorted(words_so_far, words_so_far[starts[:-1]] + 1) - 1  # each text's first byte of a word
+    before = leading - 1
+    keep[before[(before >= starts[:-1]) & (leading < starts[1:])]] = False
+    kept = np.concatenate(([0], np.cumsum(keep, dtype=np.int64)))
+    n = np.diff(kept[starts])
     begins = np.concatenate(([0], np.cumsum(n + DEPTH + 1)))
     out = np.full(begins[-1], END, np.uint8)
-    before = np.cumsum(n) - n
-    at = np.arange(len(place)) - before[text] + begins[text] + DEPTH
-    out[at] = np.where(word[place], _LOWER[data[place]], GAP)
+    inside = np.ones(len(out), bool)
+    for place in range(DEPTH):
+        inside[begins[:-1] + place] = False
+    inside[begins[1:] - 1] = False
+    out[inside] = np.where(word, _LOWER[data], np.uint8(GAP))[keep]
     return out, begins
 
 
 def windows(text: np.ndarray, begins: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Grams and the number of the text they stand in, slice by slice. The last byte before is the highest one."""
-    lasts = begins[1:] - 1
-    for low in range(0, len(text), SLICE):
+    pad = np.zeros(len(text), bool)
+    for place in range(DEPTH):
+        pad[begins[:-1] + place] = True
+    for low in range(DEPTH, len(text), SLICE):  # the first bytes are no grams
         high = min(len(text), low + SLICE)
-        at = np.arange(low, high)
-        of = np.searchsorted(lasts, at)
-        at, of = at[at >= begins[of] + DEPTH], of[at >= begins[of] + DEPTH]
-        grams = text[at].astype(np.uint64)
+        grams = text[low:high].astype(np.uint64)
         for back in range(1, DEPTH + 1):
-            grams |= text[at - back].astype(np.uint64) << _u64(8 * (DEPTH + 1 - back))
-        yield grams, of
+            grams |= text[low - back : high - back].astype(np.uint64) << _u64(8 * (DEPTH + 1 - back))
+        first, last = np.searchsorted(begins, [low, high - 1], "right") - 1
+        ends = np.minimum(begins[first + 1 : last + 2], high)
+        of = np.repeat(np.arange(first, last + 1), np.diff(np.concatenate(([low], ends))))
+        real = ~pad[low:high]
+        yield grams[real], of[real]
+
+
+class Lookup:
+    """Values by 64-bit ids, in a table of open addresses that many ids are looked up in at once."""
+
+    NONE = np.uint64((1 << 64) - 1)
+    FACTOR = np.uint64(0x9E3779B97F4A7C15)
+
+    def __init__(self, ids: np.ndarray, values: np.ndarray) -> None:
+        bits = max(4, (3 * len(ids)).bit_length())
+        self.shift, self.last = np.uint64(64 - bits), (1 << bits) - 1
+        self.ids, self.values = np.full(1 << bits, self.NONE), np.zeros(1 << bits)
+        slots = self._slots(ids)
+        while len(ids):
+            free = self.ids[slots] == self.NONE
+            self.ids[slots[free]] = ids[free]  # of several for one place the last one has it
+            placed = self.ids[slots] == ids
+            self.values[slots[placed]] = values[placed]
+            ids, values, slots = ids[~placed], values[~placed], (slots[~placed] + 1) & self.last
+
+    def _slots(self, ids: np.ndarray) -> np.ndarray:
+        return ((ids * self.FACTOR) >> self.shift).astype(np.int64)
+
+    def __call__(self, ids: np.ndarray) -> np.ndarray:
+        slots = self._slots(ids)
+        found = self.values[slots]
+        left = np.flatnonzero(self.ids[slots] != ids)
+        slots = slots[left]
+        while len(left):
+            slots = (slots + 1) & self.last
+            there = self.ids[slots]
+            if (there == self.NONE).any():
+                raise KeyError("an id has no value")
+            right = there == ids[left]
+            found[left[right]] = self.values[slots[right]]
+            left, slots = left[~right], slots[~right]
+        return found
 
 
 def tokens(data: np.ndarray, starts: np.ndarray, hasher: WordHasher) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -503,16 +543,16 @@ def score_bucket(n_words: int, n_distinct: int, kind: pa.DataType):
         answers = answers.sort_by("part")
         grams = int(np.searchsorted(answers.column("part").to_numpy(), WORDS_FROM))
         kinds = answers.slice(0, grams), answers.slice(grams)
-        ids, values = ([_flat(some.column(name), dtype) for some in kinds] for name, dtype in (("ids", "<u8"), ("answers", "<f8")))
+        of_gram, of_word = (Lookup(_flat(some.column("ids"), "<u8"), _flat(some.column("answers"), "<f8")) for some in kinds)
         hasher = WordHasher(np.flatnonzero(~_SPACE).tolist())
         n, known = (np.zeros(table.num_rows, np.int64) for _ in range(2))
         base, model = (np.zeros(table.num_rows) for _ in range(2))
         for data, starts, rows in _texts(table):
             size = rows.stop - rows.start
             for grams, of in windows(*laid_out(data, starts)):
-                model[rows] += np.bincount(of, values[0][np.searchsorted(ids[0], grams)], size)
+                model[rows] += np.bincount(of, of_gram(grams), size)
             for words, of in tokens(data, starts, hasher):
-                count = values[1][np.searchsorted(ids[1], words)]
+                count = of_word(words)
                 n[rows] += np.bincount(of, minlength=size)
                 known[rows] += np.bincount(of[count > 0], minlength=size)
                 base[rows] += np.bincount(of, np.log10(count + 0.5) - least, size)
