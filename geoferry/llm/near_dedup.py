@@ -5,12 +5,14 @@ on a scale of powers of ``BASE``, cut to 16 bits: registers of two sets merge by
 often as the sets are similar. Steps, each a written table in the shared folder:
 
 1. One pass over the texts gives every row its set's 128-bit hash and registers. Rows with one hash are a class.
-2. Bands of four registers deal the classes into buckets. In each bucket, everyone is paired with the smallest.
+2. Bands of six registers deal the classes into buckets. In each bucket, everyone is paired with the smallest. Bands are
+   so long that texts with a passage in common, which are no copies, seldom meet in a bucket: at a similarity of 0.3 one
+   pair in 22 does.
 3. Pairs whose similarity, estimated by maximum likelihood from the joint registers, could reach the threshold are
    confirmed on the full sets; links are joined to components.
 4. In the buckets that still hold more than one component, all members of different components are compared, in blocks
    of bounded size: a bucket of n members is dealt to n/BLOCK block pairs, so no task sees it whole, and only pairs that
-   could reach the threshold by a finer signature leave a block. They are confirmed as before.
+   could reach the threshold by their registers leave a block. They are confirmed as before.
 
 So copies are not expanded into pairs, members of one component are not compared again, and no bucket is capped.
 
@@ -28,25 +30,25 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geoferry.llm.common import shuffled_join, staged, texts_of
+from geoferry.llm.common import Scratch, shuffled_join, staged, texts_of
 from geoferry.llm.words import WordHasher, mixed, text_arrays
 
 #: Fixed values of the contract.
 SHINGLE, PERCENT = 5, 75
 SPACE_BYTES = {32, 9, 10, 11, 12, 13}
 
-#: Registers, rows of a band, and the base and rate of the sketch. Sets at the threshold share no band once in 200,000.
-REGISTERS, ROWS = 128, 4
+#: Registers, how many make a band, and bands; the registers beyond them only sharpen the estimate. Sets at the threshold
+#: share no band once in 280,000. Then the base and rate of the sketch.
+REGISTERS, ROWS, BANDS = 512, 6, 64
 BASE, RATE, LARGEST = 1.001, 20.0, (1 << 16) - 1
 #: Standard deviations below the threshold at which an estimate is still confirmed on the sets.
 SLACK = 4.5
-#: Members of a block of a bucket, and bytes of the finer signature that a block compares.
-BLOCK, FINE = 1024, 1024
+#: Members of a block of a bucket, and pairs of one leader that a task confirms at a time.
+BLOCK, LED = 1024, 512
 
 _SEEDS = np.random.default_rng(8).integers(1, 1 << 63, (REGISTERS, 1), dtype=np.uint64) | np.uint64(1)
 _PLACES = np.random.default_rng(9).integers(1, 1 << 63, SHINGLE, dtype=np.uint64) | np.uint64(1)
-_FINE_SEEDS = np.random.default_rng(11).integers(1, 1 << 63, (FINE, 1), dtype=np.uint64) | np.uint64(1)
-_FINE_LEAST = PERCENT / 100 - SLACK * np.sqrt(PERCENT / 100 * (1 - PERCENT / 100) / FINE)
+_SALTS = np.random.default_rng(10).integers(1, 1 << 63, BANDS, dtype=np.uint64)
 _LEAST = PERCENT / 100 - SLACK * np.sqrt(PERCENT / 100 * (1 - PERCENT / 100) / REGISTERS)
 
 
@@ -75,21 +77,21 @@ def shingle_sets(column: pa.Array) -> Iterator[np.ndarray]:
 def registers_of(hashes: np.ndarray) -> np.ndarray:
     """The sketch of a set. Registers of a union are the larger of both sets' registers."""
     top = np.zeros(REGISTERS, np.uint64)
-    for at in range(0, len(hashes), 1024):
-        np.maximum(top, (hashes[at : at + 1024] * _SEEDS).max(axis=1), out=top)
+    for at in range(0, len(hashes), 256):
+        np.maximum(top, (hashes[at : at + 256] * _SEEDS).max(axis=1), out=top)
     with np.errstate(divide="ignore"):
         least = -np.log((top.astype(np.float64) + 1) / 2.0**64) / RATE
         value = np.floor(1 - np.log(np.maximum(least, 1e-300)) / np.log(BASE))
     return np.clip(value + LARGEST // 2, 0, LARGEST).astype("<u2")
 
 
-def fine_signature(hashes: np.ndarray) -> np.ndarray:
-    """A byte of the extreme element for each of more functions: equal in two sets as often as the sets are similar,
-    and once in 256 by chance."""
-    top = np.zeros(FINE, np.uint64)
-    for at in range(0, len(hashes), 256):
-        np.maximum(top, (hashes[at : at + 256] * _FINE_SEEDS).max(axis=1), out=top)
-    return (mixed(top) & np.uint64(0xFF)).astype(np.uint8)
+def band_keys(registers: np.ndarray) -> np.ndarray:
+    """The buckets of sketches, a column for each band: a hash of its registers."""
+    banded = registers[:, : BANDS * ROWS].reshape(len(registers), BANDS, ROWS).astype(np.uint64)
+    keys = np.broadcast_to(_SALTS, banded.shape[:2])
+    for place in range(ROWS):
+        keys = keys * np.uint64(0x9E3779B97F4A7C15) + banded[:, :, place]
+    return mixed(keys).view(np.int64)
 
 
 def estimated(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
@@ -142,12 +144,9 @@ def sketches(docs: DataFrame) -> DataFrame:
 
 def bands(classes: DataFrame) -> DataFrame:
     """The buckets of each class: one key for each band."""
-    salts = np.random.default_rng(10).integers(1, 1 << 63, REGISTERS // ROWS, dtype=np.uint64)
-
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            packed = np.ascontiguousarray(_matrix(batch.column(1))).view("<u8")
-            keys = mixed(packed ^ salts[None, :]).view(np.int64)
+            keys = band_keys(_matrix(batch.column(1)))
             ids = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), keys.shape[1])
             yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(ids)], names=["bucket", "cid"])
 
@@ -172,7 +171,7 @@ def likely(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return near.select("a", "b", "n_a", "n_b", "r_a", "r_b").mapInArrow(keep, "a long, b long")
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+def confirmed(pairs: DataFrame, docs: DataFrame, scratch: Scratch) -> DataFrame:
     """The pairs that are links on their full sets. ``pairs`` is a written table."""
     needed = pairs.select(F.col("a").alias("__cid")).union(pairs.select("b")).distinct()
     texts = shuffled_join(docs, needed.withColumnRenamed("__cid", "doc_id"), ["doc_id"], "left_semi")
@@ -182,21 +181,35 @@ def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
             found = [x.tobytes() for x in shingle_sets(batch.column(1))]
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(found, pa.binary())], names=["cid", "shingles"])
 
-    sets = staged(texts.select("doc_id", "text").mapInArrow(collect, "cid long, shingles binary"), "sets")
-    mine = sets.withColumnsRenamed({"cid": "a", "shingles": "s_a"})
-    theirs = sets.withColumnsRenamed({"cid": "b", "shingles": "s_b"})
-    both = shuffled_join(shuffled_join(pairs, mine, ["a"]), theirs, ["b"])
+    sets = scratch.stage(texts.select("doc_id", "text").mapInArrow(collect, "cid long, shingles binary"), "sets")
+    # The first of a pair leads many: its set is sent once for so many of them, ahead of theirs.
+    sizes = pairs.groupBy("a").agg(F.ceil(F.count("*") / LED).alias("n_parts"))
+    led = scratch.stage(shuffled_join(pairs, sizes, ["a"]).select("a", "b", F.pmod(F.xxhash64("b"), F.col("n_parts")).alias("part")), "led")
+    theirs = shuffled_join(led, sets.withColumnsRenamed({"cid": "b"}), ["b"]).select("a", "part", "b", "shingles")
+    leaders = shuffled_join(led.select("a", "part").distinct(), sets.withColumnsRenamed({"cid": "a"}), ["a"])
+    both = theirs.unionByName(leaders.withColumn("b", F.lit(None).cast("long")))
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        leader, leads = None, []  # rows that share an id may have different sets
         for batch in batches:
-            fine = []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                common = len(x) + len(y) - len(np.unique(np.concatenate((x, y))))
-                fine.append(100 * common >= PERCENT * (len(x) + len(y) - common))
-            yield pa.RecordBatch.from_arrays(batch.columns[:2], names=["a", "b"]).filter(pa.array(fine, pa.bool_()))
+            kept = []
+            for a, part, b, found in zip(*(batch.column(place).to_pylist() for place in range(3)), batch.column(3)):
+                shingles = np.frombuffer(found.as_buffer(), np.uint64)
+                if b is None:
+                    if leader != (a, part):
+                        leader, leads = (a, part), []
+                    leads.append(shingles.copy())
+                    continue
+                for mine in leads:
+                    common = len(mine) + len(shingles) - len(np.unique(np.concatenate((mine, shingles))))
+                    if 100 * common >= PERCENT * (len(mine) + len(shingles) - common):
+                        kept.append((a, b))
+                        break
+            columns = list(zip(*kept)) or [[], []]
+            yield pa.RecordBatch.from_arrays([pa.array(list(column), pa.int64()) for column in columns], names=["a", "b"])
 
-    return both.select("a", "b", "s_a", "s_b").mapInArrow(check, "a long, b long")
+    dealt = both.select("a", "part", "b", "shingles").repartition("a", "part").sortWithinPartitions("a", "part", F.asc_nulls_first("b"))
+    return dealt.mapInArrow(check, "a long, b long")
 
 
 def star_pairs(dealt: DataFrame) -> DataFrame:
@@ -213,53 +226,50 @@ def star_pairs(dealt: DataFrame) -> DataFrame:
     )
 
 
-def components(links: DataFrame, start: DataFrame | None = None) -> DataFrame:
+def components(links: DataFrame, scratch: Scratch, start: DataFrame | None = None) -> DataFrame:
     """(cid, component): the least id that links lead to, for every linked id. ``start``: components known before.
 
-    Ids take the least label of their neighbours, then their label's label, until nothing changes.
+    Ids take the least label of their neighbours, then their label's label, until nothing changes. The result is a table
+    of ``scratch``; those on the way are dropped.
     """
+    spark, edge_scratch, before = links.sparkSession, Scratch(), Scratch()
     edges = links.select("a", "b")
     if start is not None:
         edges = edges.union(start.where("cid != component").select("component", "cid"))
-    edges = staged(edges.select(F.col("a").alias("cid"), F.col("b").alias("other")).union(edges.select("b", "a")).distinct(), "edges")
-    labels = staged(edges.groupBy("cid").agg(F.least(F.col("cid"), F.min("other")).alias("component")), "labels")
+    edges = edge_scratch.stage(edges.select(F.col("a").alias("cid"), F.col("b").alias("other")).union(edges.select("b", "a")).distinct(), "edges")
+    labels = before.stage(edges.groupBy("cid").agg(F.least(F.col("cid"), F.min("other")).alias("component")), "labels")
     while True:
         of_others = labels.select(F.col("cid").alias("other"), F.col("component").alias("theirs"))
         heard = shuffled_join(edges, of_others, ["other"]).groupBy("cid").agg(F.min("theirs").alias("heard"))
         taken = shuffled_join(labels, heard, ["cid"]).select("cid", F.col("component").alias("before"), F.least("component", "heard").alias("label"))
         above = labels.select(F.col("cid").alias("label"), F.col("component").alias("beyond"))
-        moved = staged(
+        after = Scratch()
+        moved = after.stage(
             shuffled_join(taken, above, ["label"]).select("cid", "before", F.least("label", "beyond").alias("component")), "labels"
         )
-        labels = moved.select("cid", "component")
+        before.drop(spark)
+        labels, before = moved.select("cid", "component"), after
         if moved.where("before != component").isEmpty():
+            edge_scratch.drop(spark)
+            scratch.paths += before.paths
             return labels
 
 
-def cross_pairs(dealt: DataFrame, classes: DataFrame, labels: DataFrame, docs: DataFrame) -> DataFrame:
-    """Pairs of different components in one bucket whose signatures allow a link, each from their first common band."""
+def cross_pairs(dealt: DataFrame, classes: DataFrame, labels: DataFrame, scratch: Scratch) -> DataFrame:
+    """Pairs of different components in one bucket whose registers allow a link, each from their first common band."""
     known = shuffled_join(classes.select("cid", "n_shingles", "registers"), labels, ["cid"], "left")
-    marked = staged(known.withColumn("component", F.coalesce("component", "cid")), "marked")
+    marked = scratch.stage(known.withColumn("component", F.coalesce("component", "cid")), "marked")
     members = shuffled_join(dealt, marked.select("cid", "component"), ["cid"])
     mixed_buckets = (
         members.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size"))
         .where("low != high").select("bucket", F.ceil(F.col("size") / BLOCK).alias("n_blocks"))
     )
-    some = staged(shuffled_join(dealt, mixed_buckets, ["bucket"]), "open-buckets")
-    texts = shuffled_join(docs, some.select(F.col("cid").alias("doc_id")).distinct(), ["doc_id"], "left_semi")
-
-    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [fine_signature(x).tobytes() for x in shingle_sets(batch.column(1))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["cid", "fine"])
-
-    signed = staged(texts.select("doc_id", "text").mapInArrow(sign, "cid long, fine binary"), "signed")
-    marked = staged(shuffled_join(marked, signed, ["cid"]), "marked")
+    some = scratch.stage(shuffled_join(dealt, mixed_buckets, ["bucket"]), "open-buckets")
     mine = F.pmod(F.xxhash64("cid"), F.col("n_blocks"))
     spread = some.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_blocks") - 1)))
     rows = shuffled_join(spread, marked, ["cid"]).select(
         "bucket", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"),
-        "mine", "cid", "component", "n_shingles", "registers", "fine",
+        "mine", "cid", "component", "n_shingles", "registers",
     )
     grouped = rows.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
 
@@ -268,9 +278,8 @@ def cross_pairs(dealt: DataFrame, classes: DataFrame, labels: DataFrame, docs: D
             i, j = group.column("i")[0].as_py(), group.column("j")[0].as_py()
             mine, ids, components_, sizes = (group.column(name).to_numpy() for name in ("mine", "cid", "component", "n_shingles"))
             registers = _matrix(group.column("registers").combine_chunks())
-            fine = np.frombuffer(b"".join(group.column("fine").to_pylist()), np.uint8).reshape(-1, FINE)
             bucket = np.int64(group.column("bucket")[0].as_py())
-            keys = mixed(np.ascontiguousarray(registers).view("<u8") ^ salts[None, :]).view(np.int64)
+            keys = band_keys(registers)
             band = int(np.argmax(keys[0] == bucket))
             for row in range(len(ids)):
                 others = np.flatnonzero((components_ != components_[row]) & ((mine > mine[row]) if i != j else (np.arange(len(ids)) > row)))
@@ -278,13 +287,10 @@ def cross_pairs(dealt: DataFrame, classes: DataFrame, labels: DataFrame, docs: D
                 if not len(others):
                     continue
                 near = others[could_link(np.broadcast_to(registers[row], (len(others), REGISTERS)), registers[others], np.full(len(others), sizes[row]), sizes[others])]
-                equal = (fine[near] == fine[row]).sum(axis=1) / FINE
-                near = near[(equal - 1 / 256) / (1 - 1 / 256) >= _FINE_LEAST]
                 if len(near):
                     a, b = np.minimum(ids[row], ids[near]), np.maximum(ids[row], ids[near])
                     yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
-    salts = np.random.default_rng(10).integers(1, 1 << 63, REGISTERS // ROWS, dtype=np.uint64)
     return grouped.mapInArrow(compare, "a long, b long").distinct()
 
 
@@ -308,32 +314,38 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
-def _labelled(texts: DataFrame) -> DataFrame:
-    """Per row: doc_id, n_shingles, set hash (s0, s1), component_id, and the columns behind the text."""
-    rows = staged(sketches(texts), "sketches")
-    classes = staged(
+def _labelled(texts: DataFrame, result: Scratch) -> DataFrame:
+    """Per row: doc_id, n_shingles, set hash (s0, s1), component_id, and the columns behind the text; a table of ``result``."""
+    spark, scratch, early = texts.sparkSession, Scratch(), Scratch()
+    rows = scratch.stage(sketches(texts), "sketches")
+    classes = scratch.stage(
         rows.where("n_shingles > 0 and doc_id is not null").groupBy("s0", "s1")
         .agg(F.min("doc_id").alias("cid"), F.first("n_shingles").alias("n_shingles"), F.first("registers").alias("registers")),
         "classes",
     )
-    dealt = staged(bands(classes), "bands")
+    dealt = scratch.stage(bands(classes), "bands")
     sure = texts.where("doc_id is not null")
-    first = staged(likely(star_pairs(dealt), classes), "pairs")
-    links = staged(confirmed(first, sure), "links")
-    labels = components(links)
-    second = staged(cross_pairs(dealt, classes, labels, sure), "pairs")
-    labels = components(confirmed(second, sure), labels)
+    first = early.stage(likely(star_pairs(dealt), classes), "pairs")
+    links = early.stage(confirmed(first, sure, early), "links")
+    labels = components(links, scratch)
+    early.drop(spark)
+    second = early.stage(cross_pairs(dealt, classes, labels, early), "pairs")
+    if not second.isEmpty():
+        labels = components(confirmed(second, sure, early), scratch, labels)
+    early.drop(spark)
     named = shuffled_join(classes.select("s0", "s1", "cid"), labels, ["cid"], "left")
-    named = staged(named.select("s0", "s1", F.coalesce("component", "cid").alias("component_id")), "named")
+    named = scratch.stage(named.select("s0", "s1", F.coalesce("component", "cid").alias("component_id")), "named")
     found = shuffled_join(rows.drop("registers"), named, ["s0", "s1"], "left")
-    return found.withColumn("component_id", F.coalesce("component_id", "doc_id"))
+    found = result.stage(found.withColumn("component_id", F.coalesce("component_id", "doc_id")), "labelled")
+    scratch.drop(spark)
+    return found
 
 
 def with_components(docs: DataFrame) -> DataFrame:
     """Per row of ``docs``: doc_id, n_shingles, component_id and kept."""
     texts = texts_of(docs)
     kind = texts.schema["doc_id"].dataType
-    found = _labelled(texts.withColumn("doc_id", F.col("doc_id").cast("long")))
+    found = _labelled(texts.withColumn("doc_id", F.col("doc_id").cast("long")), Scratch())
     return found.select(F.col("doc_id").cast(kind).alias("doc_id"), "n_shingles", F.col("component_id").cast(kind).alias("component_id")).withColumn(
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False))
     )
@@ -347,8 +359,11 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     """
     names = [F.col(f"`{name}`") for name in docs.columns]
     hashed = F.xxhash64(*[F.col(f"`{x.name}`") for x in docs.schema.fields if "map<" not in x.dataType.simpleString()])
+    scratch = Scratch()
     numbered = staged(docs.withColumns({"__draw": hashed, "__row": F.monotonically_increasing_id()}), "numbered")
     texts = numbered.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), "__draw", "__row")
-    own = _labelled(texts).where("component_id is null or doc_id = component_id")
+    own = _labelled(texts, scratch).where("component_id is null or doc_id = component_id")
     kept = own.groupBy("component_id", "s0", "s1").agg(F.min(F.struct("__draw", "__row")).alias("first")).select(F.col("first.__row").alias("__row"))
-    return shuffled_join(numbered, staged(kept, "kept"), ["__row"], "left_semi").select(*names)
+    kept = staged(kept, "kept")
+    scratch.drop(docs.sparkSession)
+    return shuffled_join(numbered, kept, ["__row"], "left_semi").select(*names)

@@ -168,13 +168,13 @@ def shingles(text):
 
 
 def test_components_equal_brute_force(spark):
-    documents = spark.read.parquet(f"{SF_DIR.replace('0.01', '0.001')}/documents.parquet")
+    documents = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     texts = {row.doc_id: row.text for row in documents.collect()}
     chance = random.Random(3)
     near = []
     for group in range(3):  # chains of copies, each an edit further
         words = [f"g{group}w{chance.randrange(10**6)}" for _ in range(150)]
-        for copy in range(12):
+        for copy in range(40):
             words = [f"e{chance.randrange(10**6)}" if chance.random() < 0.012 else word for word in words]
             near.append((10**7 + 100 * group + copy, " ".join(words)))
     every = {**texts, **dict(near)}
@@ -221,6 +221,35 @@ def test_registers_merge_and_estimate():
     assert abs(estimate - 800 / 1500) < 0.2
 
 
+def test_bands_meet_at_the_threshold_and_seldom_below():
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+
+    def meets(similarity, times):
+        met = 0
+        for _ in range(times):
+            n, common = 200, round(2 * 200 * similarity / (1 + similarity))
+            pool = rng.integers(1, 1 << 63, 2 * n, dtype=np.uint64)
+            a, b = (near_dedup.registers_of(x)[None] for x in (pool[:n], pool[n - common : 2 * n - common]))
+            met += (near_dedup.band_keys(a) == near_dedup.band_keys(b)).any()
+        return met / times
+
+    assert meets(0.76, 400) == 1.0 and meets(0.3, 400) < 0.1
+
+
+def test_near_dedup_leaves_one_table(spark, edges):
+    from geoferry.workspace import shared_folder
+
+    def tables():
+        path = spark._jvm.org.apache.hadoop.fs.Path(shared_folder(spark))
+        return {x.getPath().getName() for x in path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)}
+
+    before = tables()
+    near_dedup.with_components(edges)
+    assert len(tables() - before) == 1
+
+
 def test_compact_windows_hold_every_minimum():
     import numpy as np
 
@@ -344,6 +373,30 @@ def test_good_documents_are_kept(spark, documents):
     assert judged.where("kept").count() == judged.count()
 
 
+def test_a_filter_on_the_report_reads_a_long_text_once(spark):
+    import time
+
+    docs = spark.createDataFrame([(1, " ".join(f"w{n % 7919}" for n in range(20_000)))], "doc_id long, text string")
+    report = quality_rules.quality_report(docs)
+    began = time.perf_counter()
+    assert report.where("not base_failed and kept and n_repeat_words < 20000").count() == 0
+    assert time.perf_counter() - began < 10
+
+
+def test_filter_and_report_agree(spark, documents):
+    kept = {row.doc_id for row in quality_rules.quality_report(documents).where("kept").collect()}
+    assert {row.doc_id for row in quality_rules.quality_filter(documents).collect()} == kept
+
+
+def test_cheap_rules_that_reject_much_come_first(spark, documents):
+    def rules(text, words):
+        dear = F.aggregate(F.transform(words, lambda word: F.sha2(F.repeat(word, 50), 512)), F.lit(0), lambda n, h: n + F.length(h))
+        return {"dear": dear < 0, "dear_and_fair": dear % 2 == 0, "cheap": F.size(words) < 400}
+
+    order = quality_rules.measured_order(documents, rules)
+    assert order[0] == "cheap" and order[-1] == "dear"
+
+
 def test_pipeline_equals_its_stages_in_python(spark):
     import corpus_pipeline
 
