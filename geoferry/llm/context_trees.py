@@ -42,7 +42,7 @@ from geoferry.llm.words import WordHasher, mixed, text_arrays
 #: Bytes of a context, and of its beginning that rows are dealt by.
 DEPTH, TAIL = 5, 3
 #: Text that a task counts at a time, rows of a tail that a task merges, and bytes whose windows are sorted at a time.
-BUCKET_BYTES, FAN, SLICE = 16 << 20, 512, 2 << 20
+BUCKET_BYTES, FAN, SLICE = 16 << 20, 512, 1 << 19
 #: Parts beyond the tails hold words, by so many bits of their hash.
 WORDS_FROM, WORD_BITS = 1 << (8 * TAIL), 12
 
@@ -218,7 +218,7 @@ def _texts(table: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray, slice]]:
     """Bytes of the texts, where each begins and the last ends, and which rows they are."""
     at = 0
     for chunk in table.column("text").chunks:
-        for data, starts in text_arrays(chunk):
+        for data, starts in text_arrays(chunk, 1 << 20):
             n = len(starts) - 1
             yield data, np.array(starts, np.int64), slice(at, at + n)
             at += n
