@@ -212,18 +212,37 @@ def confirmed(pairs: DataFrame, docs: DataFrame, scratch: Scratch) -> DataFrame:
     return dealt.mapInArrow(check, "a long, b long")
 
 
-def star_pairs(dealt: DataFrame) -> DataFrame:
+def shared_buckets(dealt: DataFrame) -> DataFrame:
+    """(bucket, cid, leader): the members of buckets that have several, with the least of them.
+
+    Rows are brought together by bucket and gone through in order; of a bucket no more than its leader is held.
+    """
+
+    def share(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before = None  # the last row's bucket, its leader, and whether the leader's own row is out
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            bucket, cid = (column.to_numpy() for column in batch.columns)
+            if before is not None:
+                bucket, cid = np.append(before[0], bucket), np.append(before[1], cid)
+            begins = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+            sizes = np.diff(np.append(begins, len(bucket)))
+            leader = np.repeat(cid[begins], sizes)
+            several = np.repeat(sizes > 1, sizes)
+            if before is not None and before[2]:
+                several[0] = False
+            yield pa.RecordBatch.from_arrays([pa.array(x[several]) for x in (bucket, cid, leader)], names=["bucket", "cid", "leader"])
+            goes_on = before is not None and before[2] and len(begins) == 1
+            before = bucket[-1:], leader[-1:], bool(sizes[-1] > 1) or goes_on
+
+    together = dealt.repartition("bucket").sortWithinPartitions("bucket", "cid")
+    return together.mapInArrow(share, "bucket long, cid long, leader long")
+
+
+def star_pairs(shared: DataFrame) -> DataFrame:
     """Everyone in a bucket with the least of it. A group's buckets mostly agree on it, so its pairs are few."""
-    leaders = (
-        dealt.groupBy("bucket").agg(F.min("cid").alias("leader"), F.max("cid").alias("most"))
-        .where("leader != most").select("bucket", "leader")
-    )
-    return (
-        shuffled_join(dealt, leaders, ["bucket"])
-        .where("cid != leader")
-        .select(F.col("leader").alias("a"), F.col("cid").alias("b"))
-        .distinct()
-    )
+    return shared.where("cid != leader").select(F.col("leader").alias("a"), F.col("cid").alias("b")).distinct()
 
 
 def components(links: DataFrame, scratch: Scratch, start: DataFrame | None = None) -> DataFrame:
@@ -255,16 +274,16 @@ def components(links: DataFrame, scratch: Scratch, start: DataFrame | None = Non
             return labels
 
 
-def cross_pairs(dealt: DataFrame, classes: DataFrame, labels: DataFrame, scratch: Scratch) -> DataFrame:
+def cross_pairs(shared: DataFrame, classes: DataFrame, labels: DataFrame, scratch: Scratch) -> DataFrame:
     """Pairs of different components in one bucket whose registers allow a link, each from their first common band."""
     known = shuffled_join(classes.select("cid", "n_shingles", "registers"), labels, ["cid"], "left")
     marked = scratch.stage(known.withColumn("component", F.coalesce("component", "cid")), "marked")
-    members = shuffled_join(dealt, marked.select("cid", "component"), ["cid"])
+    members = shuffled_join(shared.drop("leader"), marked.select("cid", "component"), ["cid"])
     mixed_buckets = (
         members.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size"))
         .where("low != high").select("bucket", F.ceil(F.col("size") / BLOCK).alias("n_blocks"))
     )
-    some = scratch.stage(shuffled_join(dealt, mixed_buckets, ["bucket"]), "open-buckets")
+    some = scratch.stage(shuffled_join(shared.drop("leader"), mixed_buckets, ["bucket"]), "open-buckets")
     mine = F.pmod(F.xxhash64("cid"), F.col("n_blocks"))
     spread = some.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_blocks") - 1)))
     rows = shuffled_join(spread, marked, ["cid"]).select(
@@ -323,13 +342,13 @@ def _labelled(texts: DataFrame, result: Scratch) -> DataFrame:
         .agg(F.min("doc_id").alias("cid"), F.first("n_shingles").alias("n_shingles"), F.first("registers").alias("registers")),
         "classes",
     )
-    dealt = scratch.stage(bands(classes), "bands")
+    shared = scratch.stage(shared_buckets(bands(classes)), "buckets")
     sure = texts.where("doc_id is not null")
-    first = early.stage(likely(star_pairs(dealt), classes), "pairs")
+    first = early.stage(likely(star_pairs(shared), classes), "pairs")
     links = early.stage(confirmed(first, sure, early), "links")
     labels = components(links, scratch)
     early.drop(spark)
-    second = early.stage(cross_pairs(dealt, classes, labels, early), "pairs")
+    second = early.stage(cross_pairs(shared, classes, labels, early), "pairs")
     if not second.isEmpty():
         labels = components(confirmed(second, sure, early), scratch, labels)
     early.drop(spark)
