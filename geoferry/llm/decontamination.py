@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,15 +25,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
-from geoferry.llm.common import ascii_lower, staged, texts_of
+from geoferry.llm.common import Scratch, ascii_lower, staged, texts_of
 from geoferry.llm.words import WordHasher, text_arrays
 
 #: Fixed values of the contract.
 WINDOW = 10
 
-#: Items up to so many bytes are held by one automaton.
-BLOCK_BYTES = 16 << 20
+#: Items up to so many bytes are held by one automaton. A byte of items takes 60 to 80 bytes of a worker, as measured on
+#: 2 and 5 MB of items without a word window in common: a block takes about 300 MB.
+BLOCK_BYTES = 4 << 20
 
 #: The bytes of words: digits, letters and everything beyond ASCII.
 LETTERS = [*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]
@@ -40,14 +43,13 @@ LETTERS = [*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]
 _FIRST = re.compile(r"[A-Z]+")
 _WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
-FOUND = T.StructType(
-    [
-        T.StructField("__n_words", T.LongType()),
-        T.StructField("__n_hit", T.LongType()),
-        T.StructField("__items", T.ArrayType(T.LongType())),
-        T.StructField("__spans", T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))),
-    ]
-)
+_SPANS = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
+
+
+def found_fields(item_id: T.DataType) -> list[T.StructField]:
+    """What is found in a text; items have ids of any type."""
+    kinds = {"__n_words": T.LongType(), "__n_hit": T.LongType(), "__items": T.ArrayType(item_id), "__spans": _SPANS}
+    return [T.StructField(name, kind) for name, kind in kinds.items()]
 
 
 def words_of(text: str) -> list[str]:
@@ -56,24 +58,42 @@ def words_of(text: str) -> list[str]:
 
 
 class Windows:
-    """The windows of some items, as an automaton over word numbers."""
+    """The windows of some items, as an automaton over word numbers.
 
-    def __init__(self, items: list[tuple[int, str]], window: int = WINDOW) -> None:
+    The automaton's values are window numbers. Where a window's words stand, and which items have it, is in arrays of
+    numbers: the words of all items one after the other, and for each window the places of its items in a second one.
+    """
+
+    def __init__(self, items: list[tuple[object, str]], window: int = WINDOW) -> None:
         import ahocorasick
 
         self.hasher = WordHasher(LETTERS)
+        self.ids = [item_id for item_id, _ in items]
         numbers: dict[str, int] = {}
-        found: dict[tuple[int, ...], set[int]] = {}
-        for item_id, text in items:
-            words = [numbers.setdefault(word, len(numbers) + 1) for word in words_of(text)]
-            for at in range(max(1, len(words) - window + 1) if words else 0):
-                found.setdefault(tuple(words[at : at + window]), set()).add(item_id)
-        self.words = [w.encode() for w in numbers]
-        self.shortest = min(map(len, found), default=0)
-        self.automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
-        for key, ids in found.items():
-            self.automaton.add_word(key, (len(key), key, ids))
+        words, places, of_window, of_item = array("i"), array("q"), array("q"), array("i")
+        self.shortest = 0
+        self.automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
+        for item, (_, text) in enumerate(items):
+            begin = len(words)
+            words.extend(numbers.setdefault(word, len(numbers) + 1) for word in words_of(text))
+            size = min(window, len(words) - begin)
+            for at in range(begin, len(words) - size + 1 if size else begin):
+                key = tuple(words[at : at + size])
+                number = self.automaton.get(key, -1)
+                if number < 0:
+                    number = len(places) // 2
+                    self.automaton.add_word(key, number)
+                    places.extend((at, size))
+                of_window.append(number)
+                of_item.append(item)
+            if size:
+                self.shortest = min(size, self.shortest or size)
         self.automaton.make_automaton()
+        self.words = [w.encode() for w in numbers]
+        self.stream, self.places = np.array(words, np.int32), np.array(places, np.int64).reshape(-1, 2)
+        order = np.lexsort((of_item, of_window))
+        self.items = np.array(of_item, np.int32)[order]
+        self.items_from = np.searchsorted(np.array(of_window, np.int64)[order], np.arange(len(self.places) + 1))
         hashes = np.zeros(0, np.uint64)
         if self.words:
             joined = np.frombuffer(b" ".join(self.words), np.uint8)
@@ -93,18 +113,18 @@ class Windows:
             numbers[some[right]] = self.numbers[at[right]]
         return numbers
 
-    def matches(self, numbers: np.ndarray) -> Iterator[tuple[int, int, tuple[int, ...], set[int]]]:
-        """First word, word behind the last, the words and the items of each occurrence."""
+    def matches(self, numbers: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        """First word, word behind the last, and the number of the window of each occurrence."""
         if not self.shortest:
             return
         inside = np.concatenate(([False], numbers > 0, [False]))
         turns = np.flatnonzero(inside[1:] != inside[:-1])
         for begin, end in zip(turns[::2].tolist(), turns[1::2].tolist()):
             if end - begin >= self.shortest:
-                for last, (length, key, ids) in self.automaton.iter(tuple(numbers[begin:end].tolist())):
-                    yield begin + last + 1 - length, begin + last + 1, key, ids
+                for last, window in self.automaton.iter(tuple(numbers[begin:end].tolist())):
+                    yield begin + last + 1 - int(self.places[window, 1]), begin + last + 1, window
 
-    def of_texts(self, data: np.ndarray, starts: list[int]) -> Iterator[tuple[int, int, list[int], list[dict]]]:
+    def of_texts(self, data: np.ndarray, starts: list[int]) -> Iterator[tuple[int, int, list, list[dict]]]:
         """For each text (``starts`` has one place more than there are texts): words, hit words, items, spans."""
         breaks = np.array(starts, np.int64)
         found = [(first, last, self.known(hashes)) for first, last, hashes in self.hasher.slices(data, breaks)]
@@ -113,12 +133,13 @@ class Windows:
         for row in range(len(starts) - 1):
             lo, hi = int(edges[row]), int(edges[row + 1])
             hit, items = None, set()
-            for begin, end, key, ids in self.matches(number[lo:hi]):
-                if all(self.words[key[k] - 1] == data[first[lo + begin + k] : last[lo + begin + k]].tobytes().lower() for k in range(end - begin)):
+            for begin, end, window in self.matches(number[lo:hi]):
+                place = self.places[window, 0]
+                if all(self.words[self.stream[place + k] - 1] == data[first[lo + begin + k] : last[lo + begin + k]].tobytes().lower() for k in range(end - begin)):
                     hit = np.zeros(hi - lo + 1, np.int32) if hit is None else hit
                     hit[begin] += 1
                     hit[end] -= 1
-                    items |= ids
+                    items.update(self.items[self.items_from[window] : self.items_from[window + 1]].tolist())
             if hit is None:
                 yield hi - lo, 0, [], []
                 continue
@@ -130,13 +151,13 @@ class Windows:
                 {"start": int(points[first[lo + a] - starts[row]]), "end": int(points[last[lo + b - 1] - starts[row]])}
                 for a, b in zip(turns[::2], turns[1::2])
             ]
-            yield hi - lo, int(inside.sum()), sorted(items), spans
+            yield hi - lo, int(inside.sum()), sorted({self.ids[item] for item in items}), spans
 
 
 _MADE: dict[str, Windows] = {}
 
 
-def _windows(items: list[tuple[int, str]], window: int) -> Windows:
+def _windows(items: list[tuple[object, str]], window: int) -> Windows:
     """Made once in each Python worker."""
     key = hashlib.sha256(repr((window, items)).encode()).hexdigest()
     if key not in _MADE:
@@ -145,12 +166,12 @@ def _windows(items: list[tuple[int, str]], window: int) -> Windows:
     return _MADE[key]
 
 
-def _scan(docs: DataFrame, text: str, items: list[tuple[int, str]], window: int) -> DataFrame:
+def _scan(docs: DataFrame, text: str, items: list[tuple[object, str]], window: int, kind: T.DataType) -> DataFrame:
     """The rows of ``docs`` with what one block of items finds in them."""
     shared = docs.sparkSession.sparkContext.broadcast(items)
     place = docs.columns.index(text)
-    schema = T.StructType([*docs.schema.fields, *FOUND.fields])
-    kinds = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))]
+    schema = T.StructType([*docs.schema.fields, *found_fields(kind)])
+    kinds = [pa.int64(), pa.int64(), pa.list_(to_arrow_type(kind)), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         windows = _windows(shared.value, window)
@@ -165,7 +186,7 @@ def _scan(docs: DataFrame, text: str, items: list[tuple[int, str]], window: int)
     return docs.mapInArrow(scan, schema)
 
 
-def item_blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[list[tuple[int, str]]]:
+def item_blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[list[tuple[object, str]]]:
     """The items in blocks of a bounded number of bytes, in a fixed order."""
     items = texts_of(benchmark, "item_id").where("item_id is not null").withColumn("size", F.octet_length("text") + 16)
     total = items.agg(F.sum("size")).first()[0] or 0
@@ -180,13 +201,16 @@ def item_blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[list[tuple[i
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``docs`` with ``__n_words``, ``__n_hit``, ``__items`` (sorted ids) and ``__spans`` (hit code points) for each row."""
-    found = None
+    found, kind, earlier = None, benchmark.schema["item_id"].dataType, Scratch()
     for items in item_blocks(benchmark, block_bytes):
         if found is None:
-            found = _scan(docs, text, items, window)
+            found = _scan(docs, text, items, window, kind)
             continue
-        before = staged(found.withColumnsRenamed({"__items": "__items_a", "__spans": "__spans_a", "__n_words": "__n_a", "__n_hit": "__hit_a"}), "scanned")
-        both = _scan(before, text, items, window)
+        after = Scratch()
+        before = after.stage(found.withColumnsRenamed({"__items": "__items_a", "__spans": "__spans_a", "__n_words": "__n_a", "__n_hit": "__hit_a"}), "scanned")
+        earlier.drop(docs.sparkSession)
+        earlier = after
+        both = _scan(before, text, items, window, kind)
         found = _merged(both, docs.columns, text)
     return found
 
@@ -196,7 +220,7 @@ def _merged(both: DataFrame, columns: list[str], text: str) -> DataFrame:
     spans = F.array_sort(F.concat("__spans_a", "__spans"))
     united = F.aggregate(
         spans,
-        F.array().cast(FOUND["__spans"].dataType),
+        F.array().cast(_SPANS),
         lambda done, span: F.when(
             (F.size(done) > 0) & (F.get(done, F.size(done) - 1)["end"] >= span["start"]),
             F.concat(
@@ -211,7 +235,7 @@ def _merged(both: DataFrame, columns: list[str], text: str) -> DataFrame:
         both.withColumn("__spans", united)
         .withColumn("__n_hit", counted)
         .withColumn("__items", F.array_sort(F.array_union("__items_a", "__items")))
-        .select(*[f"`{name}`" for name in columns], *[field.name for field in FOUND])
+        .select(*[f"`{name}`" for name in columns], *[field.name for field in found_fields(T.LongType())])
     )
 
 
@@ -228,17 +252,25 @@ def decontamination_report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     )
 
 
+def _numbered(docs: DataFrame, text: str) -> tuple[DataFrame, str]:
+    """The frame with columns named by their place, which can't clash with what is found, and the text's name in it."""
+    names = [f"c{place}" for place in range(len(docs.columns))]
+    return docs.toDF(*names), names[docs.columns.index(text)]
+
+
 def without_hits(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
     """The documents with the hit passages cut out of their texts; all columns stay, and so do all rows."""
-    found = decontaminated(docs, benchmark, text)
-    whole = F.col(f"`{text}`").cast("string")
+    numbered, place = _numbered(docs, text)
+    found = decontaminated(numbered, benchmark, place)
+    whole = F.col(place).cast("string")
     ends = F.concat(F.array(F.lit(0).cast("long")), F.transform("__spans", lambda span: span["end"]))
     gaps = F.zip_with(ends, F.transform("__spans", lambda span: span["start"]), lambda end, start: F.when(start.isNull(), F.substring(whole, (end + 1).cast("int"), F.lit(2147483647))).otherwise(F.substring(whole, (end + 1).cast("int"), (start - end).cast("int"))))
-    cut = F.when(F.size("__spans") > 0, F.array_join(gaps, "")).otherwise(whole).alias(text)
-    return found.select(*[cut if name == text else F.col(f"`{name}`") for name in docs.columns])
+    cut = F.when(F.size("__spans") > 0, F.array_join(gaps, "")).otherwise(whole)
+    return found.select(*[(cut if own == place else F.col(own)).alias(name) for own, name in zip(numbered.columns, docs.columns)])
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
     """The documents without a hit word, with all their columns."""
-    found = decontaminated(docs, benchmark, text)
-    return found.where("__n_hit = 0").select(*[F.col(f"`{name}`") for name in docs.columns])
+    numbered, place = _numbered(docs, text)
+    found = decontaminated(numbered, benchmark, place).where("__n_hit = 0")
+    return found.select(*[F.col(own).alias(name) for own, name in zip(numbered.columns, docs.columns)])
