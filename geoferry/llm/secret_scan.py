@@ -1,27 +1,31 @@
 """Secrets in texts, in native functions: a random forest takes the false positives out of a wide scan.
 
-Candidates are values assigned to a telling name and passwords in URLs, of any length and alphabet, and runs of 16 and
-more letters, digits and ``+/_=-`` that hold a digit. Each is described by its length, how
-often its characters change between kinds, the share of it that common words cover, its digits and distinct characters,
-where the text came from (``path``) and the words beside it. The forest is trained from labelled findings (candidates
-with ``label`` 1 for a secret and 0 for a false positive); a bounded sample of them is enough.
-
-``rule_findings`` gives such labels where nobody has written any: formats of well-known issuers, and values assigned to
+Candidates are values assigned to a telling name and passwords in URLs, of any length and alphabet, behind names, white
+space and user names of any length, and runs of 16 and more letters, digits and ``+/_=-`` that hold a digit. Each is
+described by how it was found, its length, how often its characters change between kinds, the share of it that common
+words cover, its digits and distinct characters, where the text came from (``path``) and the words beside it. The forest
+is trained from labelled findings (candidates with ``label`` 1 for a secret and 0 for a false positive); a bounded sample
+of them is enough. It judges every candidate but those in the format of a well-known issuer, which are secrets.
+
+``rule_findings`` gives labels where nobody has written any: formats of issuers, and values assigned to
 a telling name, are secrets; numbers, dates, repeated characters and stand-ins are not. The forest sees none of these
-formats, only the features, and judges the candidates that no rule knows.
+formats, only the features.
 
 Null and empty texts have no candidates. Rows are scanned one by one, so a repeated row repeats its findings.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from geoferry.llm.common import ascii_lower, staged
+from geoferry.llm.common import Scratch, ascii_lower, staged
+from geoferry.llm.quality_rules import bind
 from geoferry.llm.spans import spans_of, with_marks
 
 #: A run is entered at its beginning and never given back, so the scan is linear.
@@ -30,15 +34,16 @@ AROUND = 32
 #: Formats of issuers, names that secrets are assigned to, and stand-ins.
 ISSUED = r"^(?:AKIA[0-9A-Z]{16}$|gh[pousr]_[A-Za-z0-9]{36}|xox[abprs]-|sk_live_|AIza|eyJ[A-Za-z0-9_-]{10})"
 NAMES = r"(?:token|secret|passw(?:or)?d|pwd|api[_-]?key|access[_-]?key|auth|bearer|credential)"
-NAMED = NAMES + r"[a-z_-]*[\"']?\s*(?:=|:|=>)\s*[\"']?$"
-#: Values after a telling name, quoted or up to white space, and the password of a URL. Looking behind needs bounds.
-_ASSIGNED = rf"(?i:{NAMES}[a-z_-]{{0,24}})[\"']?\s{{0,8}}(?:=>|=|:)\s{{0,8}}"
+#: Only texts that hold one of these are searched for names and URLs.
+HINTS = ["token", "secret", "passw", "pwd", "key", "auth", "bearer", "credential", "://"]
+#: A word with a telling name in it and a sign of assignment, matched forwards: the word is entered at its beginning and
+#: left at its end, once. Then the value: in quotes, or up to white space.
+_ASSIGNED = rf"(?<![A-Za-z0-9_-])(?>[A-Za-z0-9_-]*?(?i:{NAMES})[A-Za-z0-9_-]*+)[\"']?\s*+(?:=>|=|:)\s*+"
 VALUE = (
-    rf"(?<=[\"'])(?<={_ASSIGNED}[\"'])[^\"'\r\n]++(?=[\"'])|(?<=[=:>\s\"'])(?<={_ASSIGNED}[\"']?)(?![=:>])[^\s\"'&]*[^\s\"'&,;.)\]}}]"
-    r"|(?<=:)(?<=://[^\s/:@]{0,64}:)[^\s/@\"']++(?=@)"
+    rf"({_ASSIGNED}\")([^\"\r\n]++)(?=\")|({_ASSIGNED}')([^'\r\n]++)(?=')"
+    rf"|({_ASSIGNED}[\"']?)(?![=:>])([^\s\"'&]*[^\s\"'&,;.)\]}}])"
 )
-CANDIDATE = f"{VALUE}|{RUN}"
-IN_URL = r"://[^\s/:@]*:$"
+IN_URL = r"(://[^\s/:@]*+:)([^\s/@\"']++)(?=@)"
 #: What prose has after a telling name and a colon: words. No rule knows them.
 WORDS = r"^[A-Za-z]+(?:[ ,.;:]+[A-Za-z]+)+[.!?]?$"
 TELLING = r"token|secret|passw|pwd|key|auth|bearer|credential|private"
@@ -46,7 +51,7 @@ STAND_IN = r"^[0-9=-]+$|^(.)\1+$|example|sample|dummy|placeholder|changeme|your[
 #: Common beginnings and endings of words in the languages at hand, and words of code; what they cover is prose.
 PROSE = r"the|and|ing|tion|ment|able|that|with|from|this|here|for|are|not|you|der|die|und|ein|sch|ung|heit|keit|lich|les|des|que|eux|elle|pour|ci[oó]n|ado|mente|http|www|com|html|page|index|user|name|file|data|test"
 PARTS_OF_PATH = r"test|example|sample|doc|mock|fixture"
-FEATURES = ["length", "transitions", "covered", "digits", "distinct", "hex", "mixed_case", "telling", "assigned", "quoted", "prose_beside", "doubtful_path"]
+FEATURES = ["named", "in_url", "length", "transitions", "covered", "digits", "distinct", "hex", "mixed_case", "telling", "assigned", "quoted", "prose_beside", "doubtful_path"]
 SAMPLE, TREES, DEPTH = 20_000, 20, 6
 
 
@@ -55,16 +60,39 @@ def _left(text: Column, pattern: str) -> Column:
     return 1 - F.char_length(F.regexp_replace(text, pattern, "")) / F.char_length(text)
 
 
+def _found(text: Column) -> Column:
+    """The spans of all candidates of a text, each with its kind: named, url or run. A run that holds one of the others, or
+    lies in one, is none."""
+
+    def of(spans: Column, kind: str) -> Column:
+        return F.transform(spans, lambda span: span.withField("kind", F.lit(kind)))
+
+    lowered = ascii_lower(text)
+    hinted = reduce(lambda a, b: a | b, [F.contains(lowered, F.lit(hint)) for hint in HINTS])
+    runs = of(spans_of(with_marks(text, RUN), AROUND), "run")
+    named = of(spans_of(with_marks(text, VALUE, "$1$3$5", "$2$4$6"), AROUND), "named")
+    urls = of(spans_of(with_marks(text, IN_URL, "$1", "$2"), AROUND), "url")
+
+    def apart(spans: Column, others: Column) -> Column:
+        meets = lambda span: F.exists(others, lambda other: (other["start"] < span["end"]) & (span["start"] < other["end"]))
+        return F.filter(spans, lambda span: ~meets(span))
+
+    sure = bind(urls, lambda url: F.concat(url, apart(named, url)))
+    return F.when(hinted, bind(sure, lambda known: F.concat(known, apart(runs, known)))).otherwise(runs)
+
+
 def candidates(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str | None = None) -> DataFrame:
-    """A row for each candidate: doc_id, start, end, match, before, after and the features."""
+    """A row for each candidate: doc_id, start, end, match, before, after, kind and the features."""
     source = F.coalesce(F.col(f"`{path}`").cast("string"), F.lit("")) if path else F.lit("")
     whole = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
-    found = docs.select(F.col(f"`{key}`").alias("doc_id"), source.alias("path"), F.explode(spans_of(with_marks(whole, CANDIDATE), AROUND)).alias("span"))
+    found = docs.select(F.col(f"`{key}`").alias("doc_id"), source.alias("path"), F.explode(_found(whole)).alias("span"))
     match, before, after = F.col("match"), ascii_lower(F.col("before")), F.col("after")
     shapes = F.regexp_replace(F.regexp_replace(F.regexp_replace(F.regexp_replace(match, "[a-z]+", "a"), "[A-Z]+", "b"), "[0-9]+", "0"), r"[+/_=-]+", "-")
     # A kind may be written down several times in a row only once, so the length of the shape counts the changes.
     return found.select("doc_id", "path", "span.*").select(
-        "doc_id", "start", "end", "match", "before", "after",
+        "doc_id", "start", "end", "match", "before", "after", "kind",
+        (F.col("kind") == "named").cast("double").alias("named"),
+        (F.col("kind") == "url").cast("double").alias("in_url"),
         F.char_length(match).cast("double").alias("length"),
         (F.char_length(shapes) / F.char_length(match)).alias("transitions"),
         _left(ascii_lower(match), PROSE).alias("covered"),
@@ -81,12 +109,12 @@ def candidates(docs: DataFrame, key: str = "doc_id", text: str = "text", path: s
 
 
 def rule_label() -> Column:
-    """1 for what a rule knows as a secret, 0 for what it knows as none, null for the rest."""
-    match, before = F.col("match"), ascii_lower(F.col("before"))
+    """1 for what a rule takes for a secret, 0 for what it takes for none, null for the rest."""
+    match, before, kind = F.col("match"), ascii_lower(F.col("before")), F.col("kind")
     doubtful = ascii_lower(match).rlike(STAND_IN)
     prose = match.rlike(WORDS) | match.rlike("^[A-Za-z]+$") & before.rlike(r":\s+$")
-    named = before.rlike(IN_URL) | before.rlike(NAMED) & ~prose
-    return F.when(doubtful, 0).when(match.rlike(ISSUED) | named, 1).when(F.col("covered") > 0.6, 0)
+    assigned = (kind == "url") | (kind == "named") & ~prose
+    return F.when(doubtful, 0).when(match.rlike(ISSUED) | assigned, 1).when(F.col("covered") > 0.6, 0)
 
 
 def rule_findings(found: DataFrame) -> DataFrame:
@@ -99,7 +127,14 @@ def train(findings: DataFrame) -> RandomForestClassificationModel | None:
 
     Of more than ``SAMPLE`` findings of a class a sample is taken, by a hash of the finding, the same each time.
     """
-    findings = staged(findings.select("label", F.xxhash64("doc_id", "start", "match").alias("draw"), *FEATURES), "findings")
+    scratch = Scratch()
+    try:
+        return _fitted(scratch.stage(findings.select("label", F.xxhash64("doc_id", "start", "match").alias("draw"), *FEATURES), "findings"))
+    finally:
+        scratch.drop(findings.sparkSession)
+
+
+def _fitted(findings: DataFrame) -> RandomForestClassificationModel | None:
     sizes = {row["label"]: row["count"] for row in findings.groupBy("label").count().collect()}
     if set(sizes) != {0, 1}:
         return None
@@ -112,14 +147,20 @@ def train(findings: DataFrame) -> RandomForestClassificationModel | None:
 def secrets(docs: DataFrame, findings: DataFrame | None = None, path: str | None = None, threshold: float = 0.5) -> DataFrame:
     """Every candidate with its score and verdict: doc_id, start, end, match_sha256, score, secret.
 
-    A rule that knows a candidate decides it; the forest judges the rest. The value itself is given as a digest only. Without a forest, the rules alone decide.
+    The forest, trained from ``findings`` (or from what the rules say), judges all candidates; those in an issuer's format
+    are secrets. The value itself is given as a digest only. Without a forest, for lack of one of the labels, the rules
+    decide those they know. The result is a written table.
     """
-    found = staged(candidates(docs, path=path), "secret-candidates")
+    scratch = Scratch()
+    found = scratch.stage(candidates(docs, path=path), "secret-candidates")
     model = train(rule_findings(found) if findings is None else findings)
     if model is None:
-        known = rule_findings(found).select("doc_id", "start", "end", "match", F.col("label").cast("double").alias("score"))
-        scored = known
+        scored = rule_findings(found).withColumn("score", F.col("label").cast("double"))
     else:
         vectors = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(found)
-        scored = model.transform(vectors).select("doc_id", "start", "end", "match", F.coalesce(rule_label().cast("double"), vector_to_array("probability")[1]).alias("score"))
-    return scored.select("doc_id", "start", "end", F.sha2("match", 256).alias("match_sha256"), "score", (F.col("score") >= threshold).alias("secret"))
+        sure = F.when(F.col("match").rlike(ISSUED), 1.0)
+        scored = model.transform(vectors).withColumn("score", F.coalesce(sure, vector_to_array("probability")[1]))
+    result = scored.select("doc_id", "start", "end", F.sha2("match", 256).alias("match_sha256"), "score", (F.col("score") >= threshold).alias("secret"))
+    result = staged(result, "secrets")
+    scratch.drop(docs.sparkSession)
+    return result

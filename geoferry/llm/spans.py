@@ -8,13 +8,16 @@ from pyspark.sql import functions as F
 _MARK, _OTHER = "\x01", "\x02"
 
 
-def with_marks(text: Column, pattern: str) -> Column:
+def with_marks(text: Column, pattern: str, before: str = "", match: str = "$0") -> Column:
     """The text cut at its matches: every second part, from the second on, is a match.
 
+    ``before`` and ``match`` name the groups of what stands in front of a match proper and of itself, where the pattern
+    takes in more. A match can be empty then.
+
     Matches are fenced by a control character that none of the patterns matches; one in the text is set to its
     neighbour beforehand, which moves no place.
     """
-    fenced = F.regexp_replace(F.translate(text, _MARK, _OTHER), pattern, f"{_MARK}$0{_MARK}")
+    fenced = F.regexp_replace(F.translate(text, _MARK, _OTHER), pattern, f"{before}{_MARK}{match}{_MARK}")
     return F.split(fenced, _MARK)
 
 
