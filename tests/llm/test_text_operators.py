@@ -357,6 +357,70 @@ def test_passages_of_fifty_words_are_found(spark):
     assert all(row.start_word <= 80 + row.doc_id and row.end_word >= 135 + row.doc_id for row in got)
 
 
+def test_passages_equal_brute_force(spark):
+    """Every place of the table whose surroundings another document has, at a similarity of 0.75, lies in a passage; and
+    every passage holds such a place."""
+    documents = spark.read.parquet(f"{SF_DIR.replace('0.01', '0.001')}/documents.parquet")
+    words = {row.doc_id: WORD.findall((row.text or "").translate(LOW)) for row in documents.collect()}
+    rows = {doc: [tuple(found[at : at + 5]) for at in range(len(found) - 4)] for doc, found in words.items()}
+    holders = {}
+    for doc, found in rows.items():
+        for at, shingle in enumerate(found):
+            holders.setdefault(shingle, []).append((doc, at))
+    alike = set()
+    for places in holders.values():
+        for doc, at in places:
+            for other, there in places:
+                if doc != other and (doc, at) not in alike:
+                    for before in (0, 11, 22, 34, 45):  # the stretch of 50 words may lie anywhere around the place
+                        x, y = rows[doc][max(0, at - before) : at - before + 46], rows[other][max(0, there - before) : there - before + 46]
+                        if at >= before and there >= before and len(x) == len(y) == 46:
+                            common = len(set(x) & set(y))
+                            if 100 * common >= 75 * (len(set(x)) + len(set(y)) - common):
+                                alike.add((doc, at))
+                                break
+    got = passages.repeated_passages(documents).collect()
+    spans = {}
+    for row in got:
+        spans.setdefault(row.doc_id, []).append((row.start_word, row.end_word))
+    found = sum(any(a <= at and at + 5 <= b for a, b in spans.get(doc, [])) for doc, at in alike)
+    print(f"{found} of {len(alike)} places")
+    assert len(alike) > 500 and found >= 0.98 * len(alike)
+    assert all(any((row.doc_id, at) in alike for at in range(row.start_word, row.end_word)) for row in got)
+    assert all(row.end_word - row.start_word >= 50 and row.least_doc_id <= row.doc_id and row.n_members > 1 for row in got)
+
+
+def test_copies_are_passages_and_rows_of_one_document_are_none(spark):
+    chance = random.Random(13)
+    prose = lambda n: " ".join(f"w{chance.randrange(10**7)}" for _ in range(n))
+    whole, twice, part = prose(80), prose(90), prose(60)
+    rows = [(5, whole), (3, whole), (9, f"{prose(70)} {part} {prose(60)}"), (7, f"{part} {prose(30)}"), (1, twice), (1, twice), (1, f"{twice} end"), (2, prose(49)), (4, prose(200))]
+    got = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.start_word <= s, r.end_word >= e, r.class_id, r.n_members) for r, s, e in [(r, {9: 70}.get(r.doc_id, 0), {9: 130, 7: 60}.get(r.doc_id, 80)) for r in got]) == [
+        (3, True, True, "3:0", 2), (5, True, True, "3:0", 2), (7, True, True, "7:0", 2), (9, True, True, "7:0", 2),
+    ]
+
+
+@pytest.mark.parametrize("batch", [1, 3, 1000])
+def test_groups_over_the_bounds_of_batches(spark, batch):
+    chance = random.Random(batch)
+    rows = [(chance.randrange(9), chance.randrange(5), chance.randrange(3), 10 << 32 | 5 << 16 | 0xFFFF) for _ in range(80)] + [(50, 1, 1, 10 << 32 | 5 << 16 | 6)] * 3
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    try:
+        windows = spark.createDataFrame(rows, "key long, same long, at int, around long")
+        met = [tuple(row) for row in passages.met_windows(windows).collect()]
+        members = passages.members_of(passages.met_windows(windows)).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    contents = {key: {same for k, same, *_ in rows if k == key} for key, *_ in rows}
+    expected = sorted({row for row in rows if len(contents[row[0]]) > 1})
+    assert sorted(met) == expected
+    assert len(members) == len(expected)  # one half of each window lies in the text
+    places = {(same, at) for _, same, at, _ in expected}
+    assert all(row.doc != row.other and (row.other, row.at_other) in places for row in members)
+
+
 def test_passages_with_words_put_in_and_left_out(spark):
     chance = random.Random(6)
     prose = lambda n: [f"w{chance.randrange(10**7)}" for _ in range(n)]
