@@ -56,14 +56,34 @@ def hash128(prefix: str, *columns: Column) -> list[Column]:
     return [F.xxhash64(F.lit(seed), *columns).alias(f"{prefix}{number}") for number, seed in enumerate((1, 2))]
 
 
-def shuffled_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+def shuffled_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner", always: bool = False) -> DataFrame:
     """Join by keys through shuffles of both sides, which adaptive execution can split at a hot key.
 
-    A side that was grouped by the same keys would otherwise lend its partitioning, and then nothing is split.
+    A side that was grouped by the same keys would otherwise lend its partitioning, and then nothing is split. A right side
+    that Spark sees to be small is broadcast, unless the join shall ``always`` be the one of large tables.
     """
     a, b = "__left_hash", "__right_hash"
     mine = left.withColumn(a, F.xxhash64(*keys))
     theirs = right.withColumn(b, F.xxhash64(*keys)).withColumnsRenamed({key: f"__{key}" for key in keys})
     match = reduce(lambda x, y: x & y, [F.col(key) == F.col(f"__{key}") for key in keys], F.col(a) == F.col(b))
-    return mine.join(theirs, match, how).drop(a, b, *[f"__{key}" for key in keys])
+    return mine.join(theirs.hint("merge") if always else theirs, match, how).drop(a, b, *[f"__{key}" for key in keys])
 
+
+#: Numbers that a filter of ids tells apart, 64 to a row: it has 2^19 rows at most, some 8 MB.
+FILTER_BITS = 25
+
+
+def id_filter(ids: DataFrame, key: str, scratch: Scratch) -> DataFrame:
+    """A table of bounded size that says of any id whether it may be among these: a bit for each of 2^25 hashes."""
+    number = F.pmod(F.xxhash64(F.lit(25), key), F.lit(1 << FILTER_BITS))
+    bits = ids.select(F.shiftright(number, 6).alias("__word"), F.call_function("shiftleft", F.lit(1).cast("long"), number.bitwiseAND(F.lit(63)).cast("int")).alias("__bit"))
+    return scratch.stage(bits.groupBy("__word").agg(F.bit_or("__bit").alias("__bits")), "id-filter")
+
+
+def maybe_among(rows: DataFrame, key: str, known: DataFrame) -> DataFrame:
+    """The rows with ``__maybe``: false for those whose id is surely not among the ids of a filter; nothing is shuffled."""
+    number = F.pmod(F.xxhash64(F.lit(25), key), F.lit(1 << FILTER_BITS))
+    marked = rows.withColumns({"__number": number, "__place": F.shiftright(number, 6)})
+    joined = marked.join(F.broadcast(known), F.col("__place") == F.col("__word"), "left")
+    bit = F.col("__bits").bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("__number").bitwiseAND(F.lit(63)).cast("int"))) != 0
+    return joined.withColumn("__maybe", F.coalesce(bit, F.lit(False))).drop("__number", "__place", "__word", "__bits")

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geoferry.llm.common import Scratch, shuffled_join, staged, texts_of
+from geoferry.llm.common import Scratch, id_filter, maybe_among, shuffled_join, staged, texts_of
 from geoferry.llm.words import WordHasher, mixed, text_arrays
 
 #: Fixed values of the contract.
@@ -173,8 +173,10 @@ def likely(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 
 def confirmed(pairs: DataFrame, docs: DataFrame, scratch: Scratch) -> DataFrame:
     """The pairs that are links on their full sets. ``pairs`` is a written table."""
-    needed = pairs.select(F.col("a").alias("__cid")).union(pairs.select("b")).distinct()
-    texts = shuffled_join(docs, needed.withColumnRenamed("__cid", "doc_id"), ["doc_id"], "left_semi")
+    needed = scratch.stage(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "needed")
+    # Few texts are needed: only those that may be are shuffled.
+    some = maybe_among(docs, "doc_id", id_filter(needed, "doc_id", scratch)).where("__maybe").drop("__maybe")
+    texts = shuffled_join(some, needed, ["doc_id"], "left_semi", always=True)
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -185,8 +187,8 @@ def confirmed(pairs: DataFrame, docs: DataFrame, scratch: Scratch) -> DataFrame:
     # The first of a pair leads many: its set is sent once for so many of them, ahead of theirs.
     sizes = pairs.groupBy("a").agg(F.ceil(F.count("*") / LED).alias("n_parts"))
     led = scratch.stage(shuffled_join(pairs, sizes, ["a"]).select("a", "b", F.pmod(F.xxhash64("b"), F.col("n_parts")).alias("part")), "led")
-    theirs = shuffled_join(led, sets.withColumnsRenamed({"cid": "b"}), ["b"]).select("a", "part", "b", "shingles")
-    leaders = shuffled_join(led.select("a", "part").distinct(), sets.withColumnsRenamed({"cid": "a"}), ["a"])
+    theirs = shuffled_join(led, sets.withColumnsRenamed({"cid": "b"}), ["b"], always=True).select("a", "part", "b", "shingles")
+    leaders = shuffled_join(led.select("a", "part").distinct(), sets.withColumnsRenamed({"cid": "a"}), ["a"], always=True)
     both = theirs.unionByName(leaders.withColumn("b", F.lit(None).cast("long")))
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -383,6 +385,10 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     texts = numbered.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), "__draw", "__row")
     own = _labelled(texts, scratch).where("component_id is null or doc_id = component_id")
     kept = own.groupBy("component_id", "s0", "s1").agg(F.min(F.struct("__draw", "__row")).alias("first")).select(F.col("first.__row").alias("__row"))
-    kept = staged(kept, "kept")
+    kept = scratch.stage(kept, "kept")
+    # Most rows stay, and those that surely do are not shuffled.
+    goes = staged(shuffled_join(numbered.select("__row"), kept, ["__row"], "left_anti", always=True), "dropped")
+    asked = maybe_among(numbered, "__row", id_filter(goes, "__row", Scratch()))
+    left = shuffled_join(asked.where("__maybe"), goes, ["__row"], "left_anti", always=True)
     scratch.drop(docs.sparkSession)
-    return shuffled_join(numbered, kept, ["__row"], "left_semi").select(*names)
+    return asked.where(~F.col("__maybe")).unionByName(left).select(*names)
