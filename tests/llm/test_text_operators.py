@@ -11,7 +11,7 @@ from checks.compare import database, difference
 from conftest import SF_DIR
 from pyspark.sql import functions as F
 
-from geoferry.llm import decontamination, html_text, line_dedup, near_dedup, passages, personal_data, pieces, quality_rules, secret_scan, toxicity
+from geoferry.llm import common, decontamination, html_text, line_dedup, near_dedup, passages, personal_data, pieces, quality_rules, secret_scan, toxicity
 from geoferry.llm.common import staged
 from geoferry.llm.queries import ORACLES, QUERIES
 
@@ -326,6 +326,16 @@ def test_buckets_over_the_bounds_of_batches(spark, batch):
     assert sorted(map(tuple, got)) == sorted((b, cid, min(members[b])) for b, cid in rows if len(members[b]) > 1)
 
 
+def test_a_filter_of_ids_misses_none(spark):
+    ids = spark.range(0, 30_000, 3).select((F.col("id") * 7919 - 10**9).alias("k"))
+    rows = spark.range(30_000).select((F.col("id") * 7919 - 10**9).alias("k"), F.lit("x" * 50).alias("t"))
+    marked = common.maybe_among(rows, "k", common.id_filter(ids, "k", common.Scratch()))
+    assert marked.columns == ["k", "t", "__maybe"] and marked.count() == 30_000
+    among = marked.where((F.col("k") + 10**9) % (3 * 7919) == 0)
+    assert among.where("not __maybe").isEmpty() and marked.where("__maybe").count() < 10_000 + 30
+    assert marked.where("__maybe").count() >= 10_000
+
+
 def test_near_dedup_leaves_one_table(spark, edges):
     from geoferry.workspace import shared_folder
 
@@ -489,6 +499,69 @@ def test_personal_data_equals_plain_patterns(spark, texts):
         assert row.base_sha256 == hashlib.sha256(listed.encode()).hexdigest() and set(listed.split(",")) <= set(row.spans.split(",")) | {""}
 
 
+def test_reliabilities_equal_a_plain_version():
+    """The same estimate, candidate by candidate and with one product of chances at a time."""
+    chance = random.Random(3)
+    counts = {(chance.randrange(4), chance.random() < 0.5, chance.randrange(3**5)): chance.randrange(1, 40) for _ in range(60)}
+    votes = lambda pattern: [pattern // 3**place % 3 for place in range(4, -1, -1)]
+    total = {key: sum(votes(key[2])) - 5 for key in counts}
+    usual = {base: sum(total[key] * counts[key] for key in counts if key[1] == base) / sum(counts[key] for key in counts if key[1] == base) for base in (True, False)}
+    posterior = {key: 1 / (1 + 2.718281828459045 ** -(3 * total[key] - 2 * usual[key[1]])) for key in counts}
+    for _ in range(50):
+        share = {}
+        for base in (True, False):
+            some = [key for key in counts if key[1] == base]
+            share[base] = (sum(posterior[key] * counts[key] for key in some) + 1) / (sum(counts[key] for key in some) + 2)
+        says = {}
+        for labeler in range(5):
+            for truth in (1, 0):
+                belief = personal_data.BELIEFS[personal_data.LABELERS[labeler]][0 if truth else 1]
+                seen = [x * (1 + sum(counts.values()) / 50 if labeler == 3 else 1) for x in belief]
+                for key, n in counts.items():
+                    seen[votes(key[2])[labeler]] += n * (posterior[key] if truth else 1 - posterior[key])
+                says[labeler, truth] = [x / sum(seen) for x in seen]
+        for key in counts:
+            yes, no = share[key[1]], 1 - share[key[1]]
+            for labeler, vote in enumerate(votes(key[2])):
+                yes, no = yes * says[labeler, 1][vote], no * says[labeler, 0][vote]
+            posterior[key] = yes / (yes + no)
+    got = personal_data.reliabilities(counts)
+    assert all(abs(got[key] - posterior[key]) < 1e-6 for key in counts)
+
+
+def loose_texts(chance, n):
+    """Lines with looser candidates, true and false; the text of each and its true spans."""
+    number = lambda: f"{chance.randrange(201, 990)}-{chance.randrange(200, 999)}-{chance.randrange(1000, 9999)}"
+    mail = lambda: f"{chance.choice(['ann', 'joe.b', 'info'])}{chance.randrange(99)} [at] {chance.choice(['mail', 'web-x', 'uni'])} [dot] {chance.choice(['com', 'de', 'org'])}"
+    rows = []
+    for key in range(n):
+        parts, real = [], []
+        for _ in range(5):
+            kind = chance.randrange(8)
+            value, is_real = (mail() if kind == 0 else f"({number()[:3]}) {number()[4:]}" if kind == 1 else number()), kind < 4
+            lead = {0: "contact ", 1: "tel. ", 2: "phone: ", 3: "call me at ", 4: "order no ", 5: "serial ", 6: "invoice ", 7: "version "}[kind]
+            parts.append(f"some words {lead}")
+            if is_real:
+                real.append((sum(map(len, parts)), sum(map(len, parts)) + len(value)))
+            parts.append(value + chance.choice([". ", " and so on, ", "; "]))
+        rows.append((key, "".join(parts), real))
+    return rows
+
+
+def test_loose_spans_are_judged_by_what_stands_around_them(spark):
+    rows = loose_texts(random.Random(14), 400)
+    docs = spark.createDataFrame([row[:2] for row in rows], "doc_id long, text string")
+    got = {row.doc_id: {(s.start, s.end) for s in row.found if not s.base} for row in personal_data.personal_data(docs).collect()}
+    hits = sum(len(got[key] & set(real)) for key, _, real in rows)
+    precision, recall = hits / sum(map(len, got.values())), hits / sum(len(real) for *_, real in rows)
+    print(f"precision {precision:.2f}, recall {recall:.2f}")
+    assert precision >= 0.95 and recall >= 0.9
+    more = [(1000, "order no 555-123-4567 serial"), (1001, "x" * 90 + " [at] " + "y" * 80 + " [dot] com")]
+    both = docs.union(spark.createDataFrame(more, "doc_id long, text string"))
+    found = {row.doc_id: row.found for row in personal_data.personal_data(both).collect()}
+    assert not found[1000] and [(s.start, s.end) for s in found[1001]] == [(0, 90 + 6 + 80 + 7 + 3)]
+
+
 def test_secrets_are_told_from_numbers(spark, documents, texts):
     got = {(row.doc_id, row.start): row for row in secret_scan.secrets(documents, path="source").collect()}
     tokens = {(key, m.start(1)) for key, text in texts.items() for m in re.finditer(r'token = "([0-9a-f]{40})"', text)}
