@@ -52,14 +52,15 @@ _COMMIT_ENTRY = f"{RUN_ID} string, {BATCH_KEY} string, {_WRITTEN} bigint"
 Sink = Callable[[DataFrame, str, str, int], int | None]
 
 
-def write_partitions(rows: DataFrame, target: str, overwrite: str, attempt: int) -> int:
+def write_partitions(rows: DataFrame, target: str, overwrite: str, attempt: int) -> int | None:
     """The usual sink. A dynamic overwrite replaces only the batches it holds, so writing twice is writing once.
 
-    Gives the rows that its job took; the job has written all of them, or it fails.
+    Gives the rows that its job took, if they are known; the job has written all of them, or it fails.
     """
     rows, count = observed(rows)
     rows.write.mode("overwrite").option("partitionOverwriteMode", overwrite).partitionBy(*_LAYOUT).parquet(target)
-    return count()["n"]
+    found = count()
+    return found and found["n"]
 
 
 def layer_target(target: str, layer: str | None) -> str:

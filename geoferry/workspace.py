@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+#: How long counts of a job that has ended are waited for.
+EVENT_SECONDS = 60
+
 
 def shared_folder(spark: SparkSession) -> str:
     """Folder that every executor reaches.
@@ -40,16 +44,24 @@ def stage(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
-def observed(df: DataFrame, **more: Column) -> tuple[DataFrame, Callable[[], dict[str, int]]]:
+def observed(df: DataFrame, **more: Column) -> tuple[DataFrame, Callable[[], dict[str, int] | None]]:
     """The frame, and the number ``n`` of its rows, and further aggregates by name, that the one job that then writes it
     has seen: no row is read again to count it.
 
     Let nothing that shuffles or filters come between this and the writer. The counts are those of the writing tasks that
-    succeeded; asking for them after a job that failed gives no answer.
+    succeeded. They come with the job's last event; where a crowded driver has lost that, there are none after a minute.
     """
     seen = Observation()
     wanted = [F.count(F.lit(1)).alias("n"), *[value.alias(name) for name, value in more.items()]]
-    return df.observe(seen, *wanted), lambda: {name: int(value) for name, value in seen.get.items()}
+
+    def counts() -> dict[str, int] | None:
+        found: dict[str, int] = {}
+        waiting = threading.Thread(target=lambda: found.update(seen.get), daemon=True)
+        waiting.start()
+        waiting.join(EVENT_SECONDS)
+        return {name: int(value) for name, value in found.items()} if found else None
+
+    return df.observe(seen, *wanted), counts
 
 
 def folder_exists(spark: SparkSession, path: str) -> bool:

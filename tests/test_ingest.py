@@ -194,3 +194,25 @@ def test_geometries_without_image_are_refused_or_counted(spark, folder):
     assert (row.status, row.row_count, row.n_without_image) == ("Complete", 6, 1)
     found = [r.geometry_wkt for r in spark.read.parquet(f"{target}/poles").orderBy("id").collect()]
     assert found[0] == "POINT (1113194.9 0)" and found[4:] == [None, None]
+
+
+def test_lost_counts_are_read_from_the_footers(spark, sources, folder, monkeypatch):
+    """A driver that loses the event with a job's counts neither hangs nor fails a layer or an export."""
+    from geoferry import workspace
+
+    class Silent(workspace.Observation):
+        @property
+        def get(self):
+            import time
+
+            time.sleep(5)
+            return super().get
+
+    monkeypatch.setattr(workspace, "Observation", Silent)
+    monkeypatch.setattr(workspace, "EVENT_SECONDS", 0.1)
+    registry = items(spark, ("a", "A", None, None, [(0, "Points", f"{sources}/points", None, None)]))
+    row = gf.layer_ingest(registry, folder()).first()
+    assert (row.status, row.row_count, row.n_without_image) == ("Complete", 3, None)
+    target = folder()
+    assert gf.batch_export(spark.range(30).withColumn("b", F.col("id") % 3), target, "b", "svc", retry_delay_seconds=0)
+    assert gf.read_export(spark, target, spark.range(1).withColumn("b", F.lit(1).cast("long")).schema).count() == 30
