@@ -49,7 +49,7 @@ def _decoded_sql(text: str) -> str:
     return f"regexp_replace({text}, '&amp;?', '&', 'g')"
 
 
-MARKDOWN_SQL = f"""
+MARKDOWN_SQL = rf"""
     with cleaned as (
         select page_id, regexp_replace(coalesce(html, ''),
             '(?is)<!--.*?-->|<script[\s>].*?</script\s*>|<style[\s>].*?</style\s*>|<head[\s>].*?</head\s*>', '', 'g') as h

@@ -15,9 +15,9 @@ from pyspark.sql import types as T
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|head|template)(?=[\s/>])[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<(?P<raw>script|style|head|template)(?=[\s/>])[^<>]*>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<end>/?)(?P<tag>[a-z][a-z0-9]*)(?P<rest>(?:\"[^\"]*\"|'[^']*'|[^'\"<>])*)>"
-    r"|<[!?/][^>]*>"
+    r"|<[!?/][^<>]*>"
     r"|(?P<text>[^<]+|<)",
     re.IGNORECASE | re.DOTALL,
 )
@@ -30,6 +30,7 @@ _BLOCKS = set(
 )
 _MARKS = {"b": "**", "strong": "**", "i": "_", "em": "_", "code": "`", "tt": "`", "s": "~~", "del": "~~"}
 _BREAK = "\x01"
+_BLANK = _BREAK + " \t\r\n\f\xa0"
 
 
 class _Writer:
@@ -41,7 +42,7 @@ class _Writer:
         self.prefix = ""
         self.lists: list[list] = []  # kind and number of the last item
         self.links: list[tuple[str, int]] = []
-        self.marks: list[str] = []
+        self.marks: list[tuple[str, int]] = []  # open ones, and which part each is
         self.quotes = self.verbatim = 0
         self.tight = False
 
@@ -53,11 +54,12 @@ class _Writer:
         else:
             while self.links:
                 self.end_link()
+            opened = {place for _, place in self.marks}
+            while self.parts and (len(self.parts) - 1 in opened or not self.parts[-1].strip(_BLANK)):
+                self.parts.pop()  # behind a mark without text, too
+            closing = "".join(mark for mark, place in reversed(self.marks) if place < len(self.parts))
             text = _SPACE.sub(" ", "".join(self.parts)).replace("\xa0", " ")
-            text = re.sub(rf" ?{_BREAK} ?", _BREAK, text).strip(f" {_BREAK}")
-            text += "".join(reversed(self.marks))
-            if self.marks and text.endswith(f"{self.marks[0]}{''.join(reversed(self.marks))}"):
-                text = text[: -2 * len("".join(self.marks))].rstrip()  # nothing stands behind the marks
+            text = re.sub(rf" ?{_BREAK} ?", _BREAK, text).strip(f" {_BREAK}") + closing
             text = text.replace(_BREAK, "  \n")
         if text:
             whole = self.prefix + text
@@ -67,8 +69,8 @@ class _Writer:
     def start(self, tag: str, rest: str) -> None:
         if tag in _MARKS:
             if not self.verbatim:
+                self.marks.append((_MARKS[tag], len(self.parts)))
                 self.parts.append(_MARKS[tag])
-                self.marks.append(_MARKS[tag])
         elif tag == "a":
             self.end_link()
             href = _attributes(rest).get("href")
@@ -114,9 +116,9 @@ class _Writer:
 
     def end(self, tag: str) -> None:
         if tag in _MARKS:
-            while _MARKS[tag] in self.marks:  # marks within it end with it
-                mark = self.marks.pop()
-                if self.parts[-1] == mark:
+            while any(mark == _MARKS[tag] for mark, _ in self.marks):  # marks within it end with it
+                mark, place = self.marks.pop()
+                if place == len(self.parts) - 1:
                     self.parts.pop()
                 else:
                     self.parts.append(mark)
@@ -139,9 +141,12 @@ class _Writer:
         if self.links:
             href, place = self.links.pop()
             if any(part.strip() for part in self.parts[place + 1 :]):
+                while self.marks and self.marks[-1][1] > place:  # marks in a link end with it
+                    self.parts.append(self.marks.pop()[0])
                 self.parts.append(f"]({href})")
             else:
                 del self.parts[place:]
+                self.marks = [mark for mark in self.marks if mark[1] < place]
 
     def whole(self) -> str:
         self.flush()

@@ -56,6 +56,8 @@ def test_table_names(spark, parts, expected):
         ("<ul><li>a<ul><li>b<ol><li>c<li>d</ol></ul><li>e</ul>f", "  * a\n    * b\n      1. c\n      2. d\n  * e\n\nf"),
         ("<li><p>x</p><p>y</p></li>", "  * x\n\ny"),
         ("<p>x <b>y <i>z</b> w</i> <b></b><em> </em></p>", "x **y _z_** w _ _"),
+        ("<p><b>a***</b> c<p><b>x***<br><p>a<b> <i>", "**a***** c\n\n**x*****\n\na"),
+        ("<a href=x><b>t</a> u", "[**t**](x) u"),
         ("<blockquote><p>q<br>r<p>s</blockquote>t", "> q  \n> r\n\n> s\n\nt"),
         ("<pre>a\n  b &lt;</pre>", "    a\n      b <"),
         ("<a href=u?a=1&amp;b=2>t</a><a name=n>m</a><a href=v></a>", "[t](u?a=1&b=2)m"),
@@ -77,10 +79,10 @@ def test_markdown_of_a_whole_long_text(spark):
 def test_markdown_in_linear_time():
     import time
 
-    for piece in ("<a ", "<a href='", "<!-", "<td>x", "<a href=x>y", "<b>", "&amp", "<ul><li>", "</p>", "<script "):
+    for piece in ("<a ", "<a href='", "<!-", "<td>x", "<a href=x>y", "<b>", "&amp", "<ul><li>", "</p>", "<script ", "<b>x<i>"):
         started = time.perf_counter()
         markdown.markdown_of(piece * 20_000)
-        assert time.perf_counter() - started < 3, piece
+        assert time.perf_counter() - started < 1, piece
 
 
 def test_no_reference_is_left_in_the_pages(tables):
