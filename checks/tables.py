@@ -169,13 +169,13 @@ def export_layers(spark, sf_dir):
         pending.append(left.agg(F.count(F.lit(1)).alias("n_pending")).withColumn("layer", F.lit(layer)))
     wanted = spark.createDataFrame([("shop", layer) for layer in layers], "name string, layer_name string")
     places = gf.ensure_layers(spark, registry, wanted).select(F.col("layer_name").alias("layer"), "service_id", "layer_id", "layer_url")
-    versions = spark.read.parquet(registry).agg(F.count(F.lit(1)).alias("n_versions"))
+    n_versions = spark.read.parquet(registry).count()
     log = gf.batch_log(spark, log_path).select(
         F.col("layer_name").alias("layer"), F.col("batch").alias("logged"), "status", F.col("retry_attempts").alias("attempts")
     )
     rows, left = found[0].union(found[1]), pending[0].union(pending[1])
     logged = rows.join(log, (rows["layer"] == log["layer"]) & F.col("batch").eqNullSafe(F.col("logged")), "left").drop(log["layer"], "logged")
-    return logged.join(places, "layer", "left").join(left, "layer").crossJoin(versions)
+    return logged.join(places, "layer", "left").join(left, "layer").withColumn("n_versions", F.lit(n_versions).cast("bigint"))
 
 
 @check(
