@@ -2,6 +2,11 @@
 
 Each stage is written as Parquet and read again as the next one's documents, in the shared folder. All but the last
 return the columns of ``documents``, with ``n_chars`` kept in step with the text.
+
+Null and empty texts have no words and go in the first stage. Rows with a null doc_id are documents like others, but none
+that others are copies of: in near dedup they go for a copy with an id, and one of equal ones stays. Of rows that share an
+id, equal ones become one in near dedup, the rest are judged row by row. An empty table gives an empty result; further
+columns stay, whatever their names.
 """
 
 from __future__ import annotations
@@ -10,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geoferry.llm import decontamination, line_dedup, near_dedup, pieces, quality_rules
-from geoferry.llm.common import staged, table
+from geoferry.llm.common import Scratch, table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,7 +53,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), Scratch()
     for name, stage in STAGES:
-        docs = staged(stage(spark, docs, sf_dir), f"stage-{name}")
+        after = Scratch()
+        docs = after.stage(stage(spark, docs, sf_dir), f"stage-{name}")
+        before.drop(spark)
+        before = after
     return docs
