@@ -1,13 +1,15 @@
 """SentencePiece encoding and decoding for merge-type models, by backtracking.
 
 A text is encoded exactly if every two neighbouring tokens are what merging would leave of them: the encoder takes the
-longest match at each place (from an Aho-Corasick scan), goes to a shorter one where the neighbours don't agree, and
+longest match at each place (from an Aho-Corasick scan, or down a tree of the pieces), goes to a shorter one where the neighbours don't agree, and
 steps back, marking the place as failed in a bitfield, where none is left. Whether two tokens agree is found by merging
 their characters again, and remembered.
 
 The proof needs distinct scores. Runs of the space symbol, which share one score in common models, are merged by the
-queue itself; no piece holds a space symbol behind another character, so texts fall apart before each such run, and the
-results of short parts are kept in a dictionary.
+queue itself; no piece holds a space symbol behind another character, so texts fall apart before each such run.
+
+The texts of a batch are encoded together: each different part once, and the short parts, which are nearly all, by the
+same backtracking in step with each other, as arrays that hold the state of every part. What short parts gave is kept.
 
 Null texts are empty texts and have no tokens. Rows are encoded one by one, so repeated rows and further columns stay.
 """
@@ -30,8 +32,15 @@ from pyspark.sql import types as T
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 
-#: Parts of at most so many characters are remembered, and so many of them in a worker.
-PART_LENGTH, PARTS, PAIRS = 32, 200_000, 500_000
+#: Parts of at most so many characters are remembered and encoded in step, and so many of them remembered in a worker;
+#: parts that go in step at a time, and under which number each goes on alone.
+PART_LENGTH, PARTS, BESIDE, FEW = 32, 100_000, 1 << 15, 24
+#: Pairs whose agreement is remembered: by parts alone, and by parts in step, as a power of two.
+PAIRS, PAIR_BITS = 50_000, 19
+#: Places for the nodes of the tree of pieces, as a power of two.
+CHILD_BITS = 20
+#: Parts the texts of a batch; a text that holds it is cut by itself.
+CUT = "\0"
 #: Tokens from this number on stand for single characters that no piece has.
 FOREIGN = 1 << 20
 #: A long part is scanned for matches in blocks of so many characters.
@@ -131,9 +140,16 @@ class Pieces:
         self.byte_of = {number: value for value, number in self.byte_id.items()}
         self.first_plain = 1 + max((number for number, (_, _, kind) in enumerate(self.pieces) if kind != NORMAL), default=-1)
         self.silent = {number for number, (_, _, kind) in enumerate(self.pieces) if kind == CONTROL}
-        self.parts: dict[str, tuple[tuple[int, ...], str]] = {}
-        self.older: dict[str, tuple[tuple[int, ...], str]] = {}
         self.agreed: dict[int, bool] = {}
+        self.pair_keys, self.pair_agrees = np.full(1 << PAIR_BITS, -1), np.zeros(1 << PAIR_BITS, bool)
+        self.lengths, self.next_shorter = np.ones(FOREIGN + 0x110000, np.int16), np.full(FOREIGN + 0x110000, -1, np.int32)
+        self.lengths[: len(self.pieces)], self.next_shorter[: len(self.pieces)] = self.length_of, self.shorter
+        self.steps = self.token_id and not any(CUT in piece for piece in self.token_id)
+        self._grow()
+        # What ids stand for in bytes, and again for the first id of a text, whose leading space goes.
+        bytes_of = [bytes([self.byte_of[number]]) if number in self.byte_of else surface.encode() for number, surface in enumerate(self.surface)]
+        self.bytes_of = pa.array([*bytes_of, *[x.removeprefix(b" ") for x in bytes_of]], pa.binary())
+        self.forget()
 
     @staticmethod
     def merged(text: str, score: dict[str, float], last: list[str] | None = None) -> list[str]:
@@ -262,19 +278,140 @@ class Pieces:
             return tuple(tokens)
         return tuple(number for token in tokens for number in ([token] if token < FOREIGN else [self.byte_id[x] for x in chr(token - FOREIGN).encode()]))
 
-    def part(self, part: str) -> tuple[tuple[int, ...], str]:
-        """Ids and decoded text of a part; short parts seen lately are remembered."""
-        known = self.parts.get(part)
-        if known is None:
-            known = self.older.get(part)
-            if known is None:
-                ids = self.ids_of_part(part)
-                known = ids, self.decode(ids, first=False)
-            if len(part) <= PART_LENGTH:
-                if len(self.parts) >= PARTS:
-                    self.older, self.parts = self.parts, {}
-                self.parts[part] = known
-        return known
+    def forget(self) -> None:
+        """No part is remembered any more: their places in one array of ids, its bounds, and the ids."""
+        self.known: dict[str, int] = {"": 0}
+        self.bounds, self.known_ids = np.zeros(2, np.int64), np.zeros(0, np.int32)
+
+    def _agree_all(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """``agree`` for many pairs; the last ones that fell on a place of the table are remembered."""
+        keys = left << 22 | right
+        places = self._place(keys, PAIR_BITS)
+        agrees = self.pair_agrees[places]
+        new = np.flatnonzero(self.pair_keys[places] != keys)
+        if len(new):
+            pairs, which = np.unique(keys[new], return_inverse=True)
+            found = np.array([self.agree(pair >> 22, pair & ((1 << 22) - 1)) for pair in pairs.tolist()])
+            agrees[new] = found[which]
+            at = self._place(pairs, PAIR_BITS)
+            _, first = np.unique(at, return_index=True)
+            self.pair_keys[at[first]], self.pair_agrees[at[first]] = pairs[first], found[first]
+        return agrees
+
+    def _grow(self) -> None:
+        """The pieces as a tree: the child of a node by character in a table, in which each has one place, or in order."""
+        first = {"": 0}
+        for piece in self.token_id:
+            for size in range(1, len(piece) + 1):
+                if piece[:size] not in first:
+                    first[piece[:size]] = len(first)
+        keys = np.array([first[piece[:-1]] << 21 | ord(piece[-1]) for piece in first if piece], np.int64)
+        order = np.argsort(keys)
+        self.child_keys, self.children = keys[order], (order + 1).astype(np.int32)
+        self.child_places = np.full(1 << CHILD_BITS, -1, np.int32)
+        self.child_places[self._place(self.child_keys, CHILD_BITS)] = np.arange(len(keys))
+        self.token_at = np.array([self.token_id.get(piece, -1) for piece in first], np.int32)
+
+    @staticmethod
+    def _place(keys: np.ndarray, bits: int) -> np.ndarray:
+        return (keys * 0x9E3779B97F4A7C1 >> 20) & ((1 << bits) - 1)
+
+    def _longest_of_all(self, text: str) -> np.ndarray:
+        """``longest_matches`` as an array: from every place, the tree is gone down together."""
+        letters = np.frombuffer(text.encode("utf-32-le"), "<u4").astype(np.int64)
+        found = FOREIGN + letters
+        place, node = np.arange(len(letters)), np.zeros(len(letters), np.int64)
+        for depth in range(self.longest + 1):
+            keys = node << 21 | letters[place + depth]
+            at = self.child_places[self._place(keys, CHILD_BITS)]
+            there = self.child_keys[at] == keys
+            # Another's key may be in the place of this one.
+            other = np.flatnonzero(~there & (at >= 0))
+            if len(other):
+                again = np.minimum(np.searchsorted(self.child_keys, keys[other]), len(self.child_keys) - 1)
+                at[other], there[other] = again, self.child_keys[again] == keys[other]
+            place, node = place[there], self.children[at[there]].astype(np.int64)
+            tokens = self.token_at[node]
+            ends = tokens >= 0
+            found[place[ends]] = tokens[ends]
+            inside = place + depth + 1 < len(letters)
+            place, node = place[inside], node[inside]
+            if not len(place):
+                break
+        return found
+
+    def _tokens_in_step(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """``tokens`` of short parts, all at once: one after the other, and how many each has; none for the last few parts."""
+        longest = self._longest_of_all(CUT.join(parts) + CUT)
+        sizes = np.array([len(part) for part in parts])
+        begin = np.cumsum(np.append(0, sizes[:-1] + 1))
+        stack, n_tokens = np.zeros(len(longest), np.int64), np.zeros(len(parts), np.int64)
+        failed = np.zeros(len(longest), bool)
+        # Of each part that is not done: where it begins and ends, where its stack ends, and the token tried at a place.
+        row, first, last, top, place = np.arange(len(parts)), begin, begin + sizes, begin.copy(), begin.copy()
+        token = longest[place]
+        while len(row) > FEW:
+            end = place + self.lengths[token]
+            fits = ~failed[end]
+            behind = np.flatnonzero(fits & (top > first))
+            fits[behind] = self._agree_all(stack[top[behind] - 1], token[behind])
+            stack[top[fits]] = token[fits]
+            top += fits
+            done = fits & (end == last)
+            n_tokens[row[done]] = (top - first)[done]
+            place[fits] = end[fits]
+            back = np.flatnonzero(~fits)
+            shorter = self.next_shorter[token[back]]
+            token[back] = shorter
+            back = back[shorter < 0]
+            failed[place[back]] = True
+            top[back] -= 1
+            token[back] = stack[top[back]]
+            place[back] -= self.lengths[token[back]]
+            on = fits & ~done
+            token[on] = longest[place[on]]
+            if done.any():
+                row, first, last, top, place, token = (x[~done] for x in (row, first, last, top, place, token))
+        before = np.cumsum(n_tokens) - n_tokens
+        return stack[np.arange(n_tokens.sum()) + np.repeat(begin - before, n_tokens)], n_tokens
+
+    def _with_bytes(self, tokens: np.ndarray, n_tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids for tokens: characters of no piece are replaced by their bytes."""
+        foreign = tokens >= FOREIGN
+        if not foreign.any():
+            return tokens, n_tokens
+        letters, which = np.unique(tokens[foreign], return_inverse=True)
+        of_letter = [[self.byte_id[x] for x in chr(letter - FOREIGN).encode()] for letter in letters.tolist()]
+        times = np.ones(len(tokens), np.int64)
+        times[foreign] = np.array([len(x) for x in of_letter])[which]
+        ends = np.cumsum(times)
+        ids = np.repeat(tokens, times)
+        inside = np.repeat(foreign, times)
+        within = np.arange(len(ids)) - np.repeat(ends - times, times)
+        table = np.array([[*x, 0, 0, 0, 0][:4] for x in of_letter])
+        ids[inside] = table[np.repeat(which, times[foreign]), within[inside]]
+        bounds = np.append(0, ends)[np.append(0, np.cumsum(n_tokens))]
+        return ids, np.diff(bounds)
+
+    def ids_of_parts(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The ids of many parts one after the other, how many each has, and the order in which the parts come."""
+        # In step go short parts of one space symbol at most and other characters.
+        alike = [self.steps and 1 < len(part) <= PART_LENGTH and part[1] != SPACE and CUT not in part for part in parts]
+        alone, short = [place for place, one in enumerate(alike) if not one], [place for place, one in enumerate(alike) if one]
+        ids, sizes, order = [], [], []
+        for at in range(0, len(short), BESIDE):
+            some = np.array(short[at : at + BESIDE])
+            tokens, n_tokens = self._tokens_in_step([parts[place] for place in some.tolist()])
+            found, n_found = self._with_bytes(tokens, n_tokens)
+            ids.append(found)
+            sizes.append(n_found[n_found > 0])
+            order.append(some[n_found > 0])
+            alone += some[n_found == 0].tolist()
+        found = [self.ids_of_part(parts[place]) for place in alone]
+        ids.append(np.array([number for one in found for number in one], np.int64))
+        sizes.append(np.array([len(one) for one in found], np.int64))
+        order.append(np.array(alone, np.int64))
+        return np.concatenate(ids), np.concatenate(sizes), np.concatenate(order)
 
     _CUT = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 
@@ -286,7 +423,7 @@ class Pieces:
         return marked.replace(SPACE, "\0" + SPACE).split("\0")[1:] if "\0" not in text else self._CUT.findall(marked)
 
     def encode(self, text: str) -> list[int]:
-        return [number for part in self.split(text) for number in self.part(part)[0]] if text else []
+        return [number for part in self.split(text) for number in self.ids_of_part(part)] if text else []
 
     def decode(self, ids, first: bool = True) -> str:
         """The text of some ids; at the beginning of a text the leading space goes."""
@@ -315,14 +452,61 @@ class Pieces:
             done.append(_text_of_bytes(held))
         return "".join(done)
 
+    def cut(self, texts: pa.Array) -> pa.ListArray:
+        """``split`` for texts without the mark, as a column; empty parts among them stand for nothing."""
+        import pyarrow.compute as pc
+
+        marked = pc.binary_join_element_wise(pa.scalar(""), pc.replace_substring(texts, " ", SPACE), SPACE)
+        if pc.any(pc.match_substring(marked, SPACE + SPACE)).as_py():
+            marked = pc.replace_substring_regex(marked, f"({SPACE}+)", CUT + r"\1")
+        else:
+            marked = pc.replace_substring(marked, SPACE, CUT + SPACE)
+        return pc.split_pattern(pc.if_else(pc.equal(texts, ""), "", marked), CUT)
+
+    def encode_all(self, texts: pa.Array) -> pa.ListArray:
+        """The ids of each text of a column without nulls."""
+        import pyarrow.compute as pc
+
+        odd = pc.match_substring(texts, CUT)
+        if pc.any(odd).as_py():
+            plain = self.cut(pc.if_else(odd, "", texts)).to_pylist()
+            cut = pa.array([self.split(text) if is_odd else parts for text, is_odd, parts in zip(texts.to_pylist(), odd.to_pylist(), plain)], pa.list_(pa.string()))
+        else:
+            cut = self.cut(texts)
+        words = cut.flatten().dictionary_encode()
+        parts = words.dictionary.to_pylist()
+        number = np.array([self.known.get(part, -1) for part in parts], np.int64)
+        new = np.flatnonzero(number < 0)
+        found, n_found, order = self.ids_of_parts([parts[place] for place in new.tolist()])
+        number[new[order]] = np.arange(len(new)) + len(self.bounds) - 1
+        ids = np.concatenate([self.known_ids, found.astype(np.int32)])
+        bounds = np.concatenate([self.bounds, self.bounds[-1] + np.cumsum(n_found)])
+        # Each part's ids, one after the other, from where they are in the array.
+        each = number[words.indices.to_numpy()]
+        sizes = np.diff(bounds)[each]
+        ends = np.append(0, np.cumsum(sizes))
+        flat = ids[np.arange(ends[-1]) + np.repeat(bounds[:-1][each] - ends[:-1], sizes)]
+        if len(self.known) + len(new) > PARTS or len(ids) > 8 * PARTS:
+            self.forget()
+        else:
+            self.known_ids, self.bounds = ids, bounds
+            self.known.update((parts[place], at) for place, at in zip(new.tolist(), number[new].tolist()) if len(parts[place]) <= PART_LENGTH)
+        offsets = cut.offsets.to_numpy()
+        return pa.ListArray.from_arrays(pa.array(ends[offsets - offsets[0]].astype(np.int32)), pa.array(flat))
+
+    def decode_all(self, ids: pa.ListArray) -> pa.Array:
+        """The text of each list of ids that encoding gave."""
+        import pyarrow.compute as pc
+
+        offsets, numbers = ids.offsets.to_numpy(), ids.values.to_numpy().copy()
+        numbers[offsets[:-1][np.diff(offsets) > 0]] += len(self.pieces)
+        pieces = pa.ListArray.from_arrays(ids.offsets, self.bytes_of.take(pa.array(numbers)))
+        return pc.binary_join(pieces, b"").cast(pa.string())
+
     def both(self, text: str) -> tuple[np.ndarray, str]:
         """Ids of a text and the text decoded from them."""
-        if not text:
-            return np.zeros(0, np.int32), ""
-        known, part = self.parts, self.part
-        parts = [known.get(one) or part(one) for one in self.split(text)]
-        ids = [number for found, _ in parts for number in found]
-        return np.array(ids, np.int32), "".join([decoded for _, decoded in parts])[1:]
+        ids = self.encode_all(pa.array([text], pa.string()))
+        return ids.values.to_numpy(), self.decode_all(ids)[0].as_py()
 
 
 def _text_of_bytes(held: bytearray) -> str:
@@ -364,15 +548,13 @@ def tokenized(docs: DataFrame, model: bytes, text: str = "text") -> DataFrame:
     schema = T.StructType([*docs.schema.fields, *ADDED.fields])
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import pyarrow.compute as pc
+
         coder = pieces_of(shared.value)
         for batch in batches:
             for one in _small(batch, place):
-                found = [coder.both(x or "") for x in one.column(place).to_pylist()]
-                ends = np.cumsum([0, *(len(ids) for ids, _ in found)])
-                flat = np.concatenate([ids for ids, _ in found]) if found else np.zeros(0, np.int32)
-                ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()))
-                decoded = pa.array([x for _, x in found], pa.string())
-                yield pa.RecordBatch.from_arrays([*one.columns, ids, decoded], names=[field.name for field in schema])
+                ids = coder.encode_all(pc.fill_null(one.column(place), ""))
+                yield pa.RecordBatch.from_arrays([*one.columns, ids, coder.decode_all(ids)], names=[field.name for field in schema])
 
     return docs.mapInArrow(encode, schema)
 

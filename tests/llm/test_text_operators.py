@@ -188,6 +188,28 @@ def test_pieces_equal_the_library(texts):
         assert ids.tolist() == expected and decoded == theirs.decode(expected) == ours.decode(expected)
 
 
+def test_texts_of_a_batch_go_in_step(monkeypatch):
+    import pyarrow as pa
+    import sentencepiece
+
+    model = pieces.model_bytes()
+    ours, theirs = pieces.Pieces(model), sentencepiece.SentencePieceProcessor(model_proto=model)
+    chance = random.Random(3)
+    word = lambda: "".join(chance.choice("abcdefghilnorstué漢🙂\n▁<") for _ in range(chance.randrange(1, 40)))
+    texts = [" ".join(word() for _ in range(chance.randrange(60))) for _ in range(200)] + ["", " ", "a  b ", "nul\0 here", "\0", "é" * 50, " " * 40 + "x"]
+    alone = []
+    monkeypatch.setattr(ours, "tokens", lambda text, one=ours.tokens: alone.append(text) or one(text))
+    for _ in range(2):  # the second time from what is remembered
+        ids = ours.encode_all(pa.array(texts, pa.string()))
+        assert ids.to_pylist() == theirs.encode(texts) and ours.decode_all(ids).to_pylist() == theirs.decode(theirs.encode(texts))
+    assert len([x for x in alone if len(x) <= pieces.PART_LENGTH]) < 1000 < len({x for text in texts for x in ours.split(text)})
+    monkeypatch.setattr(pieces, "PARTS", 50)
+    monkeypatch.setattr(pieces, "BESIDE", 100)
+    assert ours.encode_all(pa.array(texts[:60] * 2, pa.string()).slice(20, 80)).to_pylist() == theirs.encode((texts[:60] * 2)[20:100])
+    assert len(ours.known) == 1
+    assert ours.encode_all(pa.array([], pa.string())).to_pylist() == [] and ours.encode_all(pa.array([""], pa.string())).to_pylist() == [[]]
+
+
 def test_pieces_seam_equals_full_merging():
     ours = pieces.Pieces(pieces.model_bytes())
     chance, tokens = random.Random(2), list(ours.token_id)
