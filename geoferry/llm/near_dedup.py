@@ -153,9 +153,18 @@ def bands(classes: DataFrame) -> DataFrame:
     return classes.select("cid", "registers").mapInArrow(deal, "bucket long, cid long")
 
 
-def likely(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose registers allow a link."""
+def sketches_among(classes: DataFrame, ids: DataFrame, scratch: Scratch) -> DataFrame:
+    """cid, n_shingles and registers of the classes that may be among ``ids``, a written table with a column ``cid``.
+
+    Registers are the bulk of what is shuffled, so those of classes that are in no pair or open bucket stay where they are.
+    """
     known = classes.select("cid", "n_shingles", "registers")
+    return maybe_among(known, "cid", id_filter(ids, "cid", scratch)).where("__maybe").drop("__maybe")
+
+
+def likely(pairs: DataFrame, classes: DataFrame, scratch: Scratch) -> DataFrame:
+    """The pairs (a, b) whose registers allow a link. ``pairs`` is a written table."""
+    known = sketches_among(classes, pairs.select(F.col("a").alias("cid")).union(pairs.select("b")), scratch)
     mine = known.withColumnsRenamed({"cid": "a", "n_shingles": "n_a", "registers": "r_a"})
     theirs = known.withColumnsRenamed({"cid": "b", "n_shingles": "n_b", "registers": "r_b"})
     both = shuffled_join(shuffled_join(pairs, mine, ["a"]), theirs, ["b"])
@@ -278,9 +287,9 @@ def components(links: DataFrame, scratch: Scratch, start: DataFrame | None = Non
 
 def cross_pairs(shared: DataFrame, classes: DataFrame, labels: DataFrame, scratch: Scratch) -> DataFrame:
     """Pairs of different components in one bucket whose registers allow a link, each from their first common band."""
-    known = shuffled_join(classes.select("cid", "n_shingles", "registers"), labels, ["cid"], "left")
-    marked = scratch.stage(known.withColumn("component", F.coalesce("component", "cid")), "marked")
-    members = shuffled_join(shared.drop("leader"), marked.select("cid", "component"), ["cid"])
+    known = shuffled_join(classes.select("cid"), labels, ["cid"], "left")
+    marked = scratch.stage(known.select("cid", F.coalesce("component", "cid").alias("component")), "marked")
+    members = shuffled_join(shared.drop("leader"), marked, ["cid"])
     mixed_buckets = (
         members.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size"))
         .where("low != high").select("bucket", F.ceil(F.col("size") / BLOCK).alias("n_blocks"))
@@ -288,7 +297,8 @@ def cross_pairs(shared: DataFrame, classes: DataFrame, labels: DataFrame, scratc
     some = scratch.stage(shuffled_join(shared.drop("leader"), mixed_buckets, ["bucket"]), "open-buckets")
     mine = F.pmod(F.xxhash64("cid"), F.col("n_blocks"))
     spread = some.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_blocks") - 1)))
-    rows = shuffled_join(spread, marked, ["cid"]).select(
+    sketched = shuffled_join(sketches_among(classes, some.select("cid"), scratch), marked, ["cid"])
+    rows = shuffled_join(spread, sketched, ["cid"]).select(
         "bucket", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"),
         "mine", "cid", "component", "n_shingles", "registers",
     )
@@ -346,7 +356,8 @@ def _labelled(texts: DataFrame, result: Scratch) -> DataFrame:
     )
     shared = scratch.stage(shared_buckets(bands(classes)), "buckets")
     sure = texts.where("doc_id is not null")
-    first = early.stage(likely(star_pairs(shared), classes), "pairs")
+    stars = early.stage(star_pairs(shared), "stars")
+    first = early.stage(likely(stars, classes, early), "pairs")
     links = early.stage(confirmed(first, sure, early), "links")
     labels = components(links, scratch)
     early.drop(spark)

@@ -743,3 +743,15 @@ def test_pipeline_equals_its_stages_in_python(spark):
     theirs = sentencepiece.SentencePieceProcessor(model_proto=pieces.model_bytes())
     assert {r.doc_id: list(r.ids) for r in rows} == {r.doc_id: theirs.encode(r.text) for r in docs.collect()}
     assert 0 < len(rows) < documents.count()
+
+
+def test_only_sketches_in_question_are_shuffled(spark, documents):
+    texts = common.texts_of(documents).withColumn("doc_id", F.col("doc_id").cast("long"))
+    classes = common.staged(near_dedup.sketches(texts).where("n_shingles > 0").withColumnRenamed("doc_id", "cid"), "test-classes")
+    asked = {row.cid for row in classes.select("cid").orderBy("cid").limit(7).collect()}
+    scratch = common.Scratch()
+    pairs = scratch.stage(spark.createDataFrame([(min(asked), cid) for cid in asked], "a long, b long"), "test-pairs")
+    some = near_dedup.sketches_among(classes, pairs.selectExpr("b as cid"), scratch)
+    assert some.columns == ["cid", "n_shingles", "registers"] and asked == {row.cid for row in some.collect()} and classes.count() > 50
+    assert {(row.a, row.b) for row in near_dedup.likely(pairs, classes, scratch).collect()} >= {(min(asked), min(asked))}
+    scratch.drop(spark)
