@@ -31,7 +31,7 @@ from geoferry.operators.conform import conform_schema
 from geoferry.operators.logs import batch_log_rows
 from geoferry.operators.registry import find_service
 from geoferry.operators.upsert import current_state
-from geoferry.sources.chunked import BATCH_KEY, CHUNK, check_names, spread_chunks
+from geoferry.sources.chunked import BATCH_KEY, CHUNK, check_names, chunk_count, spread_chunks
 from geoferry.plans.services import ensure_layers, find_layers
 from geoferry.sources.layers import is_path, layer_read
 from geoferry.sources.tables import append
@@ -282,7 +282,8 @@ def batch_export(
             pending, path = stage(_uncommitted(spark, expected, target, run_id), "found")
             chunked.staged.append(path)
         for attempt in range(1, max_attempts + 1):
-            sizes = pending.agg(F.count(F.lit(1)).alias("n"), F.sum(_EXPECTED).alias("rows")).first()
+            n_chunks = chunk_count(F.col(_EXPECTED), chunk_rows).alias("chunks")
+            sizes = pending.agg(F.count(F.lit(1)).alias("n"), F.sum(_EXPECTED).alias("rows"), n_chunks).first()
             if sizes.n == 0:
                 break
             if attempt > 1 or resumed:
@@ -290,7 +291,7 @@ def batch_export(
             problem = written = None
             with _deadline(spark, timeout_minutes and timeout_minutes * sizes.n) as late:
                 try:
-                    written = sink(spread_chunks(wanted, parallelism), target, "dynamic", attempt)
+                    written = sink(spread_chunks(wanted, parallelism, sizes.chunks, sizes.rows, order_by), target, "dynamic", attempt)
                 except Exception as error:
                     problem = str(error).strip() or type(error).__name__
                     _logger.error("attempt %s failed: %s", attempt, problem)

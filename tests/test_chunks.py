@@ -202,3 +202,16 @@ def test_counting_reads_no_column_of_one_size(tables):
     width = chunks.row_bytes(lineitem.select("l_orderkey", "l_extendedprice", "l_returnflag"))
     plan = plan_of(lineitem.groupBy("l_returnflag").agg(F.sum(width)))
     assert "ReadSchema: struct<l_returnflag:string>" in plan
+
+
+def test_many_chunks_are_dealt_to_writing_tasks(spark):
+    from geoferry.sources import chunked
+
+    rows = spark.range(800).selectExpr("id", f"'v-a' as {chunked.BATCH_KEY}", f"cast(id div 8 + 1 as int) as {chunked.CHUNK}").coalesce(1)
+    dealt = chunked.spread_chunks(rows, None, 100, 800, ["id"])
+    found = dealt.withColumn("task", F.spark_partition_id()).collect()
+    assert dealt.rdd.getNumPartitions() == 4 and len({row.task for row in found}) > 1
+    assert len({(row.task, row.chunk) for row in found}) == 100 and sorted(row.id for row in found) == list(range(800))
+    assert chunked.spread_chunks(rows, None, chunked.CHUNKS_PER_TASK, 800) is rows
+    sizes = spark.createDataFrame([(8,), (9,), (1,)], "n long")
+    assert sizes.agg(chunked.chunk_count(F.col("n"), 8)).first()[0] == 4 and sizes.limit(0).agg(chunked.chunk_count(F.col("n"), 8)).first()[0] == 0
