@@ -114,8 +114,9 @@ def measured_order(docs: DataFrame, rules: Rules = default_rules, text: str = "t
     spark = docs.sparkSession
     some = docs.select(F.col(f"`{text}`").cast("string").alias("text")).where(F.char_length("text") <= SAMPLE_LENGTH)
     sample = [row.text for row in some.sample(0.1, 7).take(SAMPLE_ROWS)] or [""]
-    frame = spark.sql("select explode(:sample) as text", args={"sample": F.array(*[F.lit(text) for text in sample])})
-    many = frame.crossJoin(spark.range(REPEATS)).coalesce(1)
+    # Rows and not literals: Spark keeps the text of each plan, and with it all that stands in one.
+    frame = spark.createDataFrame([(one,) for one in sample], "text string").coalesce(1)
+    many = frame.select(F.explode(F.array_repeat("text", REPEATS)).alias("text"))
     names = list(rules(F.col("text"), F.col("text")))
 
     def seconds(name: str | None) -> tuple[int, float]:

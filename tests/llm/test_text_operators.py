@@ -755,3 +755,16 @@ def test_only_sketches_in_question_are_shuffled(spark, documents):
     assert some.columns == ["cid", "n_shingles", "registers"] and asked == {row.cid for row in some.collect()} and classes.count() > 50
     assert {(row.a, row.b) for row in near_dedup.likely(pairs, classes, scratch).collect()} >= {(min(asked), min(asked))}
     scratch.drop(spark)
+
+
+def test_plans_of_the_measured_order_hold_no_text(spark):
+    """Spark keeps the text of a thousand plans in the driver, so sampled texts may not stand in them."""
+    words = [f"unusual{n}" for n in range(500)]
+    docs = spark.createDataFrame([(n, " ".join(words)) for n in range(2_000)], "doc_id long, text string")
+    store = spark._jsparkSession.sharedState().statusStore()
+    before = store.executionsCount()
+    assert set(quality_rules.measured_order(docs)) == set(quality_rules.default_rules(F.col("text"), F.col("text")))
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    plans = store.executionsList()
+    late = [plans.apply(n).physicalPlanDescription() for n in range(before, plans.size())]
+    assert len(late) > 6 and not any("unusual499" in plan for plan in late)
