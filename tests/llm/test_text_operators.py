@@ -768,3 +768,46 @@ def test_plans_of_the_measured_order_hold_no_text(spark):
     plans = store.executionsList()
     late = [plans.apply(n).physicalPlanDescription() for n in range(before, plans.size())]
     assert len(late) > 6 and not any("unusual499" in plan for plan in late)
+
+
+def test_shuffle_files_go_once_a_table_is_written(spark):
+    import time
+
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = lambda: {x for x in (disk.getAllFiles().apply(n).getName() for n in range(disk.getAllFiles().size())) if x.startswith("shuffle_")}
+    before, setting = files(), spark.conf.get(common.SHUFFLES_GO, None)
+    scratch = common.Scratch()
+    numbers = spark.range(10_000).repartition(8, "id").sortWithinPartitions("id").mapInArrow(lambda batches: batches, "id long")
+    table = scratch.stage(numbers.groupBy((F.col("id") % 7).alias("k")).count(), "test-shuffles")
+    until = time.time() + 10
+    while (left := files() - before) and time.time() < until:
+        time.sleep(0.2)
+    assert not left and spark.conf.get(common.SHUFFLES_GO, None) == setting
+    assert {(row.k, row["count"]) for row in table.collect()} == {(k, len(range(k, 10_000, 7))) for k in range(7)}
+    scratch.drop(spark)
+
+
+def test_passages_leave_no_words_of_documents_behind(spark, monkeypatch):
+    """By the time pairs are compared, what all documents hold, and the windows, are gone from the shared folder."""
+    from geoferry.workspace import folder_exists
+
+    chance, seen = random.Random(15), []
+    prose = lambda n: " ".join(f"w{chance.randrange(10**7)}" for _ in range(n))
+    shared = prose(60)
+    stage, links = common.Scratch.stage, passages.passage_links
+    paths = {}
+
+    def noted(self, df, name):
+        table = stage(self, df, name)
+        paths[name] = self.paths[-1]
+        return table
+
+    def compared(contents, pairs):
+        seen.append({name for name, path in paths.items() if folder_exists(spark, path)})
+        return links(contents, pairs)
+
+    monkeypatch.setattr(common.Scratch, "stage", noted)
+    monkeypatch.setattr(passages, "passage_links", compared)
+    docs = spark.createDataFrame([(n, f"{prose(70)} {shared} {prose(70)}") for n in range(6)], "doc_id long, text string")
+    assert sorted(row.doc_id for row in passages.repeated_passages(docs).collect()) == list(range(6))
+    assert len(seen) == 2 and not any({"coded", "met-windows"} & held for held in seen) and "members" not in seen[1]
