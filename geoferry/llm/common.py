@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,18 +26,33 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 SHUFFLES_GO = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
-    """``stage``, with the shuffle files of the job removed behind it: what is read from then on is the written table."""
-    conf = df.sparkSession.conf
-    before = conf.get(SHUFFLES_GO, None)
-    conf.set(SHUFFLES_GO, "true")
+#: Spark's setting of how many bytes go to a Python worker at a time.
+BYTES_AT_A_TIME = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+@contextmanager
+def _setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    """The setting for the jobs that run within, and what it was before from then on."""
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
     try:
-        return stage(df, f"llm-{name}")
+        yield
     finally:
         if before is None:
-            conf.unset(SHUFFLES_GO)
+            spark.conf.unset(name)
         else:
-            conf.set(SHUFFLES_GO, before)
+            spark.conf.set(name, before)
+
+
+def written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``stage``, with the shuffle files of the job removed behind it: what is read from then on is the written table."""
+    with _setting(df.sparkSession, SHUFFLES_GO, "true"):
+        return stage(df, f"llm-{name}")
+
+
+def in_batches(spark: SparkSession, n_bytes: int):
+    """For jobs with wide rows: a batch is full at so many bytes, and not only by its rows."""
+    return _setting(spark, BYTES_AT_A_TIME, str(n_bytes))
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
@@ -91,11 +107,15 @@ def shuffled_join(left: DataFrame, right: DataFrame, keys: list[str], how: str =
 FILTER_BITS = 25
 
 
-def id_filter(ids: DataFrame, key: str, scratch: Scratch) -> DataFrame:
-    """A table of bounded size that says of any id whether it may be among these: a bit for each of 2^25 hashes."""
+def id_filter(ids: DataFrame, key: str, scratch: Scratch | None = None) -> DataFrame:
+    """A table of bounded size that says of any id whether it may be among these: a bit for each of 2^25 hashes.
+
+    It is written if there is a ``scratch``; what one job alone reads need not be.
+    """
     number = F.pmod(F.xxhash64(F.lit(25), key), F.lit(1 << FILTER_BITS))
     bits = ids.select(F.shiftright(number, 6).alias("__word"), F.call_function("shiftleft", F.lit(1).cast("long"), number.bitwiseAND(F.lit(63)).cast("int")).alias("__bit"))
-    return scratch.stage(bits.groupBy("__word").agg(F.bit_or("__bit").alias("__bits")), "id-filter")
+    found = bits.groupBy("__word").agg(F.bit_or("__bit").alias("__bits"))
+    return found if scratch is None else scratch.stage(found, "id-filter")
 
 
 def maybe_among(rows: DataFrame, key: str, known: DataFrame) -> DataFrame:

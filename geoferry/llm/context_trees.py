@@ -36,13 +36,15 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from geoferry.llm.common import SPACES, Scratch, shuffled_join, staged, texts_of
+from geoferry.llm.common import SPACES, Scratch, in_batches, shuffled_join, staged, texts_of
 from geoferry.llm.words import WordHasher, mixed, text_arrays
 
 #: Bytes of a context, and of its beginning that rows are dealt by.
 DEPTH, TAIL = 5, 3
 #: Text that a task counts at a time, rows of a tail that a task merges, and bytes whose windows are sorted at a time.
 BUCKET_BYTES, FAN, SLICE = 16 << 20, 512, 1 << 19
+#: Bytes that a task gets at a time; a row that asked comes with all that its tail has.
+BATCH_BYTES = 4 << 20
 #: Parts beyond the tails hold words, by so many bits of their hash.
 WORDS_FROM, WORD_BITS = 1 << (8 * TAIL), 12
 
@@ -575,6 +577,11 @@ def language_scores(docs: DataFrame, key: str = "doc_id", text: str = "text", bu
     Learned from the rows whose crc32(doc_id as text) mod 5 is not 1. ``score`` is the model's base-10 logarithm of the
     text's probability, ``base_score`` that of a unigram model with half a count added to each word.
     """
+    with in_batches(docs.sparkSession, BATCH_BYTES):
+        return _scores(docs, key, text, bucket_bytes)
+
+
+def _scores(docs: DataFrame, key: str, text: str, bucket_bytes: int) -> DataFrame:
     spark, scratch = docs.sparkSession, Scratch()
     texts = texts_of(docs, key, text).withColumnsRenamed({key: "doc_id", text: "text"})
     kind = texts.schema["doc_id"].dataType.simpleString()

@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import zlib
 from collections import Counter, defaultdict
 
@@ -271,3 +272,25 @@ def test_components_that_do_not_fit_raise(spark):
     rows = spark.createDataFrame([(1, [1e9, 0.0])], "vec_id long, embedding array<double>")
     with pytest.raises(Exception, match="beyond"):
         clusters.clusters(rows, dimensions=2).collect()
+
+
+def test_tails_come_in_small_batches(spark, monkeypatch):
+    """What a row asks of comes with it, so a batch of many rows would hold the tails' grams many times."""
+    most, pick = 1 << 14, context_trees.pick
+
+    def watched(batches):
+        def looked_at():
+            for batch in batches:
+                assert batch.num_rows == 1 or batch.nbytes <= 4 * most
+                yield batch
+
+        return pick(looked_at())
+
+    monkeypatch.setattr(context_trees, "BATCH_BYTES", most)
+    monkeypatch.setattr(context_trees, "pick", watched)
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(setting)
+    chance = random.Random(23)
+    docs = spark.createDataFrame([(n, " ".join(f"{chance.randrange(10**9)}" for _ in range(200))) for n in range(60)], "doc_id long, text string")
+    found = context_trees.language_scores(docs, bucket_bytes=4_000)
+    assert found.count() == 60 and spark.conf.get(setting) == before
