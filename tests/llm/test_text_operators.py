@@ -811,3 +811,21 @@ def test_passages_leave_no_words_of_documents_behind(spark, monkeypatch):
     docs = spark.createDataFrame([(n, f"{prose(70)} {shared} {prose(70)}") for n in range(6)], "doc_id long, text string")
     assert sorted(row.doc_id for row in passages.repeated_passages(docs).collect()) == list(range(6))
     assert len(seen) == 2 and not any({"coded", "met-windows"} & held for held in seen) and "members" not in seen[1]
+
+
+def test_only_stretches_with_places_are_cut(spark):
+    """All stretches of a content are several times its words; of those, only what holds a place is shuffled."""
+    import numpy as np
+
+    chance = random.Random(22)
+    codes = [np.array([chance.randrange(1 << 32) for _ in range(10_000)], "<u4").tobytes() for _ in range(2)]
+    contents = spark.createDataFrame([(n, bytearray(held)) for n, held in enumerate(codes)], "same long, codes binary")
+    around = passages.AROUND
+    spots = [(0, 5), (0, 9_995), (0, 4_000), (0, 4_001), (1, 130)]
+    places = spark.createDataFrame([(n, doc, at, at // around, None, 1) for n, (doc, at) in enumerate(spots)], "key long, doc long, at long, part long, class long, n_blocks long")
+    got = sorted(tuple(row) for row in passages.stretches_of(places, contents).collect())
+    shingles = [passages.shingles_of(held) for held in codes]
+    wanted = sorted({(doc, at // around) for doc, at in spots})
+    assert [row[:2] for row in got] == wanted
+    for doc, part, base, held in got:
+        assert base == max(0, (part - 1) * around) and bytes(held) == shingles[doc][base : (part + 2) * around].tobytes()
