@@ -153,7 +153,7 @@ def bands(classes: DataFrame) -> DataFrame:
     return classes.select("cid", "registers").mapInArrow(deal, "bucket long, cid long")
 
 
-def sketches_among(classes: DataFrame, ids: DataFrame, scratch: Scratch) -> DataFrame:
+def sketches_among(classes: DataFrame, ids: DataFrame, scratch: Scratch | None = None) -> DataFrame:
     """cid, n_shingles and registers of the classes that may be among ``ids``, a written table with a column ``cid``.
 
     Registers are the bulk of what is shuffled, so those of classes that are in no pair or open bucket stay where they are.
@@ -162,9 +162,10 @@ def sketches_among(classes: DataFrame, ids: DataFrame, scratch: Scratch) -> Data
     return maybe_among(known, "cid", id_filter(ids, "cid", scratch)).where("__maybe").drop("__maybe")
 
 
-def likely(pairs: DataFrame, classes: DataFrame, scratch: Scratch) -> DataFrame:
-    """The pairs (a, b) whose registers allow a link. ``pairs`` is a written table."""
-    known = sketches_among(classes, pairs.select(F.col("a").alias("cid")).union(pairs.select("b")), scratch)
+def likely(pairs: DataFrame, classes: DataFrame, scratch: Scratch | None = None, ids: DataFrame | None = None) -> DataFrame:
+    """The pairs (a, b) whose registers allow a link. ``pairs`` is a written table, or else ``ids`` is one that has all that
+    are in pairs as ``cid``."""
+    known = sketches_among(classes, pairs.select(F.col("a").alias("cid")).union(pairs.select("b")) if ids is None else ids, scratch)
     mine = known.withColumnsRenamed({"cid": "a", "n_shingles": "n_a", "registers": "r_a"})
     theirs = known.withColumnsRenamed({"cid": "b", "n_shingles": "n_b", "registers": "r_b"})
     both = shuffled_join(shuffled_join(pairs, mine, ["a"]), theirs, ["b"])
@@ -182,10 +183,10 @@ def likely(pairs: DataFrame, classes: DataFrame, scratch: Scratch) -> DataFrame:
 
 def confirmed(pairs: DataFrame, docs: DataFrame, scratch: Scratch) -> DataFrame:
     """The pairs that are links on their full sets. ``pairs`` is a written table."""
-    needed = scratch.stage(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "needed")
+    needed = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b"))
     # Few texts are needed: only those that may be are shuffled.
-    some = maybe_among(docs, "doc_id", id_filter(needed, "doc_id", scratch)).where("__maybe").drop("__maybe")
-    texts = shuffled_join(some, needed, ["doc_id"], "left_semi", always=True)
+    some = maybe_among(docs, "doc_id", id_filter(needed, "doc_id")).where("__maybe").drop("__maybe")
+    texts = shuffled_join(some, needed.distinct(), ["doc_id"], "left_semi", always=True)
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -266,12 +267,14 @@ def components(links: DataFrame, scratch: Scratch, start: DataFrame | None = Non
     edges = links.select("a", "b")
     if start is not None:
         edges = edges.union(start.where("cid != component").select("component", "cid"))
-    edges = edge_scratch.stage(edges.select(F.col("a").alias("cid"), F.col("b").alias("other")).union(edges.select("b", "a")).distinct(), "edges")
+    there, back = F.struct(F.col("a").alias("cid"), F.col("b").alias("other")), F.struct(F.col("b").alias("cid"), F.col("a").alias("other"))
+    edges = edge_scratch.stage(edges.select(F.inline(F.array(there, back))), "edges")
     labels = before.stage(edges.groupBy("cid").agg(F.least(F.col("cid"), F.min("other")).alias("component")), "labels")
     while True:
         of_others = labels.select(F.col("cid").alias("other"), F.col("component").alias("theirs"))
-        heard = shuffled_join(edges, of_others, ["other"]).groupBy("cid").agg(F.min("theirs").alias("heard"))
-        taken = shuffled_join(labels, heard, ["cid"]).select("cid", F.col("component").alias("before"), F.least("component", "heard").alias("label"))
+        heard = shuffled_join(edges, of_others, ["other"]).select("cid", F.lit(None).cast("long").alias("component"), "theirs")
+        both = heard.unionByName(labels.withColumn("theirs", F.col("component")))
+        taken = both.groupBy("cid").agg(F.max("component").alias("before"), F.min("theirs").alias("label"))
         above = labels.select(F.col("cid").alias("label"), F.col("component").alias("beyond"))
         after = Scratch()
         moved = after.stage(
@@ -287,18 +290,16 @@ def components(links: DataFrame, scratch: Scratch, start: DataFrame | None = Non
 
 def cross_pairs(shared: DataFrame, classes: DataFrame, labels: DataFrame, scratch: Scratch) -> DataFrame:
     """Pairs of different components in one bucket whose registers allow a link, each from their first common band."""
-    known = shuffled_join(classes.select("cid"), labels, ["cid"], "left")
-    marked = scratch.stage(known.select("cid", F.coalesce("component", "cid").alias("component")), "marked")
-    members = shuffled_join(shared.drop("leader"), marked, ["cid"])
+    known = shuffled_join(shared.drop("leader"), labels, ["cid"], "left")
+    members = known.select("bucket", "cid", F.coalesce("component", "cid").alias("component"))
     mixed_buckets = (
         members.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size"))
         .where("low != high").select("bucket", F.ceil(F.col("size") / BLOCK).alias("n_blocks"))
     )
-    some = scratch.stage(shuffled_join(shared.drop("leader"), mixed_buckets, ["bucket"]), "open-buckets")
+    some = scratch.stage(shuffled_join(members, mixed_buckets, ["bucket"]), "open-buckets")
     mine = F.pmod(F.xxhash64("cid"), F.col("n_blocks"))
     spread = some.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_blocks") - 1)))
-    sketched = shuffled_join(sketches_among(classes, some.select("cid"), scratch), marked, ["cid"])
-    rows = shuffled_join(spread, sketched, ["cid"]).select(
+    rows = shuffled_join(spread, sketches_among(classes, some.select("cid")), ["cid"]).select(
         "bucket", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"),
         "mine", "cid", "component", "n_shingles", "registers",
     )
@@ -356,17 +357,15 @@ def _labelled(texts: DataFrame, result: Scratch) -> DataFrame:
     )
     shared = scratch.stage(shared_buckets(bands(classes)), "buckets")
     sure = texts.where("doc_id is not null")
-    stars = early.stage(star_pairs(shared), "stars")
-    first = early.stage(likely(stars, classes, early), "pairs")
-    links = early.stage(confirmed(first, sure, early), "links")
-    labels = components(links, scratch)
+    first = early.stage(likely(star_pairs(shared), classes, ids=shared), "pairs")
+    labels = components(confirmed(first, sure, early), scratch)
     early.drop(spark)
     second = early.stage(cross_pairs(shared, classes, labels, early), "pairs")
     if not second.isEmpty():
         labels = components(confirmed(second, sure, early), scratch, labels)
     early.drop(spark)
     named = shuffled_join(classes.select("s0", "s1", "cid"), labels, ["cid"], "left")
-    named = scratch.stage(named.select("s0", "s1", F.coalesce("component", "cid").alias("component_id")), "named")
+    named = named.select("s0", "s1", F.coalesce("component", "cid").alias("component_id"))
     found = shuffled_join(rows.drop("registers"), named, ["s0", "s1"], "left")
     found = result.stage(found.withColumn("component_id", F.coalesce("component_id", "doc_id")), "labelled")
     scratch.drop(spark)

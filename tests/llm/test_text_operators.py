@@ -813,6 +813,24 @@ def test_passages_leave_no_words_of_documents_behind(spark, monkeypatch):
     assert len(seen) == 2 and not any({"coded", "met-windows"} & held for held in seen) and "members" not in seen[1]
 
 
+def test_near_dedup_writes_few_tables(spark, monkeypatch):
+    """Each written table is a job over all partitions, however few its rows, so only what is read again is written."""
+    chance = random.Random(21)
+    prose = lambda n: [f"w{chance.randrange(10**7)}" for _ in range(n)]
+    rows, near = [], prose(300)
+    for n in range(40):
+        words = list(near)
+        words[7 * n] = f"other{n}"
+        rows.append((n, " ".join(words)))
+    rows += [(40 + n, " ".join(prose(80))) for n in range(10)]
+    names, write = [], common.written
+    monkeypatch.setattr(common, "written", lambda df, name: names.append(name) or write(df, name))
+    got = {row.doc_id: row.component_id for row in near_dedup.with_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {n: 0 if n < 40 else n for n, _ in rows}
+    assert not {"stars", "needed", "id-filter", "marked", "named"} & set(names)
+    assert len([name for name in names if name != "labels"]) <= 12
+
+
 def test_only_stretches_with_places_are_cut(spark):
     """All stretches of a content are several times its words; of those, only what holds a place is shuffled."""
     import numpy as np
