@@ -847,3 +847,64 @@ def test_only_stretches_with_places_are_cut(spark):
     assert [row[:2] for row in got] == wanted
     for doc, part, base, held in got:
         assert base == max(0, (part - 1) * around) and bytes(held) == shingles[doc][base : (part + 2) * around].tobytes()
+
+
+def edited(chance, words, n):
+    """The numbers with n of them exchanged, put in or left out."""
+    found = list(words)
+    for _ in range(n):
+        at = chance.randrange(len(found))
+        found[at : at + chance.randrange(2)] = [chance.randrange(1 << 62)] * chance.randrange(2)
+    return found
+
+
+def test_most_credit_bounds_what_grown_finds():
+    import numpy as np
+
+    chance, found = random.Random(23), 0
+    assert passages.most_credit(np.zeros(0, bool)).size == 0 and (passages.most_credit(np.ones(45, bool)) < 0).all()
+    assert passages.most_credit(np.ones(46, bool)).tolist() == [46] * 46
+    for _ in range(300):
+        shared = [chance.randrange(1 << 62) for _ in range(chance.randrange(40, 200))]
+        x, y = (np.array(edited(chance, shared, chance.randrange(9)), np.uint64) for _ in range(2))
+        mine, theirs = passages.most_credit(np.isin(x, y)), passages.most_credit(np.isin(y, x))
+        assert (passages.maybe_in(x, y) >= np.isin(x, y)).all()
+        for i, j in np.argwhere(x[:, None] == y)[::9].tolist():
+            if passages.grown(x, y, i, j):
+                found += 1
+                assert mine[i] + theirs[j] >= 0
+        begin, end = sorted(chance.sample(range(len(x) + 1), 2))
+        # Plainly: the best stretch of 46 or more around each place that begins and ends with a common shingle.
+        common = np.isin(x, y)
+        for at in range(begin, end, 17):
+            sums = [int(7 * common[low:high].sum() - 6 * (high - low)) for low in range(at + 1) for high in range(max(at + 1, low + 46), len(x) + 1) if common[low] and common[high - 1]]
+            assert max(sums, default=None) == (int(mine[at]) if sums else None) and (sums or mine[at] < -(1 << 20))
+    assert found > 1000
+
+
+@pytest.mark.parametrize("few", [2, 16])
+def test_places_with_lines_in_common_are_not_grown(monkeypatch, few):
+    """Documents that share lines around a place, but no passage, are told apart without growing each pair of them."""
+    import numpy as np
+    import pyarrow as pa
+
+    chance, calls, grown = random.Random(24), [], passages.grown
+    monkeypatch.setattr(passages, "_FEW", few)
+    monkeypatch.setattr(passages, "grown", lambda *x: calls.append(x) or grown(*x))
+    prose = lambda n: [chance.randrange(1, 1 << 64) for _ in range(n)]
+    lines, rows = [prose(16) for _ in range(3)], []
+    for key in range(3):
+        for doc in range(12):
+            around = prose(20) + lines[0] + prose(12) + lines[1] + prose(12) + lines[2] + prose(37)
+            rows.append((key, 0, 0, 0, doc, 1000, 56, None, np.array(around, np.uint64).tobytes()))
+        for doc in (20, 21):  # and two that have lines 0 and 1 with all between them
+            around = prose(18) + (shared := prose(2) + lines[0] + prose(12) + lines[1] + prose(1) if doc == 20 else shared) + prose(40)
+            rows.append((key, 0, 0, 0, doc, 1000, 56, None, np.array(around, np.uint64).tobytes()))
+    names = ["key", "i", "j", "mine", "doc", "at", "here", "class", "around"]
+    types = [pa.int64()] * 6 + [pa.int64(), pa.int64(), pa.binary()]
+    table = pa.table([pa.array(list(column), kind) for column, kind in zip(zip(*rows), types)], names=names)
+    for size in (5, 1000):
+        calls.clear()
+        got = [pair for part in passages.whole_groups(iter(table.to_batches(max_chunksize=size))) for pair in passages.joined_places(part)]
+        assert got == [(20, 1000, 21, 1000)] * 3
+        assert len(calls) <= 10  # and not one for most of the 273 pairs
