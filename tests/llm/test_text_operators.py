@@ -762,11 +762,12 @@ def test_plans_of_the_measured_order_hold_no_text(spark):
     words = [f"unusual{n}" for n in range(500)]
     docs = spark.createDataFrame([(n, " ".join(words)) for n in range(2_000)], "doc_id long, text string")
     store = spark._jsparkSession.sharedState().statusStore()
-    before = store.executionsCount()
+    ids = lambda plans: [plans.apply(n).executionId() for n in range(plans.size())]
+    before = max(ids(store.executionsList()), default=-1)  # of what many tests have run Spark keeps the last thousand
     assert set(quality_rules.measured_order(docs)) == set(quality_rules.default_rules(F.col("text"), F.col("text")))
     spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
     plans = store.executionsList()
-    late = [plans.apply(n).physicalPlanDescription() for n in range(before, plans.size())]
+    late = [plans.apply(n).physicalPlanDescription() for n, number in enumerate(ids(plans)) if number > before]
     assert len(late) > 6 and not any("unusual499" in plan for plan in late)
 
 
@@ -908,3 +909,68 @@ def test_places_with_lines_in_common_are_not_grown(monkeypatch, few):
         got = [pair for part in passages.whole_groups(iter(table.to_batches(max_chunksize=size))) for pair in passages.joined_places(part)]
         assert got == [(20, 1000, 21, 1000)] * 3
         assert len(calls) <= 10  # and not one for most of the 273 pairs
+
+
+@pytest.mark.parametrize("part", [1 << 13, 100])
+def test_words_of_long_contents_are_sent_once(spark, monkeypatch, part):
+    """Pairs take along the words of the shorter content, and those of the longer one are sent once for all its pairs."""
+    import numpy as np
+
+    chance = random.Random(25)
+    monkeypatch.setattr(passages, "WORDS_A_PART", part)
+    prose = lambda n: [chance.randrange(1 << 32) for _ in range(n)]
+    lines = [prose(60) for _ in range(30)]
+    long = {1000 + n: prose(500) + [word for line in lines for word in prose(20) + line] for n in (0, -2000)}
+    long[5000] = prose(300) + lines[0] + prose(90) + lines[0] + prose(20)  # as long as itself in another pair, and twice the line
+    long[-5000] = prose(100) + lines[0] + prose(350)
+    long |= {7000: prose(20) + lines[1] + prose(40), -7000: prose(30) + lines[1] + prose(30)}  # of one length
+    contents = {n: lines[n] + prose(9) for n in range(30)} | long
+    codes = {n: np.array(words, "<u4") for n, words in contents.items()}
+    shingled = {n: passages.shingles_of(held.tobytes()) for n, held in codes.items()}
+    pairs = [(min(doc, n), max(doc, n)) for doc in (1000, -1000) for n in range(30)] + [(-5000, 5000), (0, 5000), (-7000, 7000)]
+    spots = {(a, b): [(int(i), int(j)) for i, j in np.argwhere(shingled[a][:, None] == shingled[b])[::13]] for a, b in pairs}
+    table = spark.createDataFrame([(n, bytearray(held.tobytes())) for n, held in codes.items()], "same long, codes binary")
+    places = spark.createDataFrame([(a, i, b, j) for (a, b), found in spots.items() for i, j in found], "a long, at_a int, b long, at_b int")
+
+    sent = passages.sent_words(table, places).collect()
+    assert sent and len({tuple(row[:3]) for row in sent}) == len(sent)
+    with_pairs = [row for row in sent if row.small is not None]
+    assert sorted((min(row.large, row.small), max(row.large, row.small)) for row in with_pairs) == sorted(pairs)
+    assert all(len(contents[row.small]) <= len(contents[row.large]) and bytes(row.codes) == codes[row.small].tobytes() for row in with_pairs)
+    assert {tuple(row[:2]) for row in with_pairs} == {tuple(row[:2]) for row in sent if row.small is None}
+    assert all(bytes(row.codes) == codes[row.large].tobytes() for row in sent if row.small is None)
+    if part > 5000:
+        both = sum(codes[a].nbytes + codes[b].nbytes for a, b in pairs)
+        assert sum(len(row.codes) for row in sent) < both / 5  # both contents of each pair were sent before
+
+    expected = {(a, s[0], s[1] + 4, b, s[2], s[3] + 4) for (a, b), found in spots.items() for s in passages.passages_from(shingled[a], shingled[b], np.array([i << 32 | j for i, j in found]))}
+    assert {tuple(row) for row in passages.passage_links(table, places).collect()} == expected and len(expected) >= len(pairs)
+
+
+def test_places_go_to_blocks_with_words(spark, monkeypatch):
+    """What blocks compare travels as the codes of words, half as many bytes as the shingles, with the same links."""
+    import numpy as np
+    import pyarrow as pa
+
+    chance, around = random.Random(26), passages.AROUND
+    prose = lambda n: [chance.randrange(1 << 32) for _ in range(n)]
+    shared = prose(70)
+    contents = {1: prose(5) + shared + prose(10), 2: prose(300) + shared, 3: prose(130) + shared + prose(400), 4: prose(600)}
+    codes = {n: np.array(words, "<u4") for n, words in contents.items()}
+    table = spark.createDataFrame([(n, bytearray(held.tobytes())) for n, held in codes.items()], "same long, codes binary")
+    spots = [(9, 1, 25), (9, 2, 320), (9, 3, 150), (8, 1, 45), (8, 3, 170), (7, 4, 595), (7, 4, 1), (7, 2, 2)]
+    places = spark.createDataFrame([(key, None, doc, at, at // around, 1) for key, doc, at in spots], "key long, class long, doc long, at int, part long, n_blocks long")
+    wide = {tuple(row[:2]): row for row in passages.stretches_of(places, table).collect()}
+    narrow = {tuple(row[:2]): row for row in passages.stretches_of(places, table, words=True).collect()}
+    assert wide.keys() == narrow.keys() and len(wide) == len({(doc, at // around) for _, doc, at in spots})
+    for at, row in narrow.items():
+        assert row.base == wide[at].base and passages.shingles_of(bytes(row.words)).tobytes() == bytes(wide[at].shingles)
+        assert len(row.words) <= len(wide[at].shingles) / 2 + 16
+    rows = pa.table({"doc": list(range(len(narrow))), "around": pa.array([bytes(row.words) for row in narrow.values()], pa.binary())})
+    assert passages.with_shingles(rows).column("around").to_pylist() == [bytes(wide[at].shingles) for at in narrow]
+    for most in (1, 1 << 13):
+        monkeypatch.setattr(passages, "PLACES", most)
+        found = passages.cross_pairs(places, table)
+        got = sorted(tuple(row) for row in found.collect())
+        assert got == [(1, 25, 2, 320), (1, 25, 3, 150), (1, 45, 3, 170)]
+    assert passages.cross_pairs(places.limit(0), table).collect() == []
